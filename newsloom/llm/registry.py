@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, toxicity, url_reputation
+from . import exact_dedup, mixing, prefix_table, secrets, token_files, toxicity, url_reputation, warc, weak_quality
 
 LLM_QUERIES = {
     "op1_url_reputation": url_reputation.op1_url_reputation,
+    "op2_warc": warc.op2_warc,
+    "op3_secrets": secrets.op3_secrets,
+    "op4_token_files": token_files.op4_token_files,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_mixing": mixing.op6_mixing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_weak_quality": weak_quality.op8_weak_quality,
+    "op9_prefix_table": prefix_table.op9_prefix_table,
 }
 LLM_SQL = {
     "op1_url_reputation": url_reputation.SQL_OP1,
+    "op2_warc": warc.SQL_OP2,
     "op6_mixing": mixing.SQL_OP6,
     "op7_exact_dedup": exact_dedup.SQL_OP7,
+    "op8_weak_quality": weak_quality.SQL_OP8,
 }
