@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 #: The white space of every contract: space and \t \n \v \f \r.
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Texts that a task works on at once, in bytes (a single longer text is one slice).
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +55,7 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def flat_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, "pa.Array"]:
+def flat_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts in one array, and how many each text has (null text: none)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
@@ -61,7 +65,22 @@ def flat_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, "pa.Arra
     parents = pc.list_parent_indices(lists)
     some = pc.greater(pc.binary_length(words), 0)
     words, parents = words.filter(some), parents.filter(some)
-    import numpy as np
-
     counts = np.bincount(parents.to_numpy(), minlength=len(texts)).astype(np.int64)
     return words, counts
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts hold about ``most`` bytes at most (one row at least)."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + most, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions starts[i] .. starts[i] + counts[i], one run after another."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)

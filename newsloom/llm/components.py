@@ -1,0 +1,29 @@
+"""Connected components of a table of links, by label propagation and pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import stored
+
+
+def components(links: DataFrame) -> DataFrame:
+    """links: a, b (long). Returns id, comp: the smallest id of each linked id's component.
+
+    Every round takes the smallest label among the neighbours and then the label of
+    the label, so a path of n links needs about log n rounds. Labels only fall: the
+    rounds end when their sum stays the same. Each round is a table in the shared
+    folder; only that sum reaches the driver.
+    """
+    both = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "edges")
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
+    total = lambda t: t.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
+    before, now = None, total(labels)
+    while before != now:
+        next_to = both.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
+        low = stored(labels.join(next_to, F.col("id") == F.col("a")).select("id", F.least("comp", "m").alias("comp")), "labels")
+        up = low.select(F.col("id").alias("up"), F.col("comp").alias("top"))
+        labels = stored(low.join(up, F.col("comp") == F.col("up")).select("id", F.least("comp", "top").alias("comp")), "labels")
+        before, now = now, total(labels)
+    return labels

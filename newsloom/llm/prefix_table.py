@@ -34,12 +34,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
-from .toxicity import expand
+from .common import expand, slices, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-SLICE_BYTES = 16 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -347,16 +345,6 @@ def prefix_table(path: str) -> PrefixTable:
     return PrefixTable(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts hold about ``most`` bytes at most (one row at least)."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    a = 0
-    while a < len(size):
-        b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + most, side="right")))
-        yield batch.slice(a, b - a)
-        a = b
-
-
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """docs with a column more, the ids with begin and end id; other columns pass."""
     from pyspark.sql import types as T

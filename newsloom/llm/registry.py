@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, prefix_table, secrets, token_files, toxicity, url_reputation, warc, weak_quality
+import corpus_pipeline
+
+from . import exact_dedup, mixing, parity_join, prefix_table, secrets, token_files, toxicity, url_reputation, warc, weak_quality
 
 LLM_QUERIES = {
     "op1_url_reputation": url_reputation.op1_url_reputation,
@@ -14,6 +16,8 @@ LLM_QUERIES = {
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_weak_quality": weak_quality.op8_weak_quality,
     "op9_prefix_table": prefix_table.op9_prefix_table,
+    "op10_parity_join": parity_join.op10_parity_join,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_SQL = {
     "op1_url_reputation": url_reputation.SQL_OP1,

@@ -43,9 +43,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, stored, table
-from .prefix_table import slices, vocabulary_path
-from .toxicity import expand
+from .common import expand, new_path, slices, stored, table
+from .prefix_table import vocabulary_path
 
 TOKENIZER, END = "byte_bpe_50k.json", 2
 FRAME_TOKENS, FILE_TOKENS, CACHE = 1 << 16, 1 << 27, 400_000

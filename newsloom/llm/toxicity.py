@@ -24,16 +24,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_words, table
+from .common import expand, flat_words, slices, table
 
 BITS = 18
 DIM = 1 << BITS
 SIZES = (3, 4, 5)
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 4000
 THRESHOLD = 0.3
 
 
@@ -64,13 +63,6 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(words))[: len(words)]))), cell[order]
 
 
-def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The positions starts[i] .. starts[i] + counts[i], one run after another."""
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
-
-
 def document_cells(texts: pa.Array) -> Iterator[np.ndarray]:
     """The distinct cells of each text."""
     words, counts = flat_words(texts)
@@ -138,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             out = [c.astype(np.int32) for c in document_cells(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "toxic", "cells"])
 
@@ -154,7 +146,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM weights, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, text)):
             s = shared.value.score(b.column(text))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, out])
 
