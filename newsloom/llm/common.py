@@ -55,11 +55,9 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def flat_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts in one array, and how many each text has (null text: none)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
     words = lists.values
     parents = pc.list_parent_indices(lists)

@@ -59,10 +59,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     """The ascending distinct shingle hashes of each text."""
-    words, counts = flat_words(texts, lower=True)
+    words, counts = flat_words(texts)
     coded = words.dictionary_encode()
     names = coded.dictionary.to_pylist()
-    word = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in names), np.uint64, len(names))[coded.indices.to_numpy()]
+    # bytes.lower() lowers A-Z alone.
+    word = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in names), np.uint64, len(names))[coded.indices.to_numpy()]
     rolled = np.full(max(0, len(word) - k + 1), k, np.uint64)
     for j in range(k):
         rolled = (rolled ^ word[j : len(word) - k + 1 + j]) * _A
