@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import DATA, same_rows
+from helpers import DATA, same_rows
 from newsloom.plans.catalog import QUERIES, SQL
 
 

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from helpers import DATA
 from newsloom.sources import readers as R
 from newsloom.streaming import flows
 
