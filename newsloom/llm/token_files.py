@@ -47,7 +47,7 @@ from .common import expand, new_path, slices, stored, table
 from .prefix_table import vocabulary_path
 
 TOKENIZER, END = "byte_bpe_50k.json", 2
-FRAME_TOKENS, FILE_TOKENS, CACHE = 1 << 16, 1 << 27, 400_000
+FRAME_TOKENS, FILE_TOKENS, CACHE = 1 << 16, 1 << 27, 300_000
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 
 
@@ -67,19 +67,23 @@ class ByteBpe:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}  # two generations, so that frequent pieces stay
+        self.old: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
         word = piece.encode().decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
 
     def chunk(self, chunk: str) -> bytes:
-        found = self.cache.get(chunk)
+        found = self.young.get(chunk)
         if found is None:
-            body = chunk[1:] if chunk[:1] == " " else chunk
-            found = self.piece(chunk) if body.isalpha() else b"".join(map(self.piece, self.split(chunk)))
-            if len(self.cache) < CACHE:
-                self.cache[chunk] = found
+            found = self.old.get(chunk)
+            if found is None:
+                body = chunk[1:] if chunk[:1] == " " else chunk
+                found = self.piece(chunk) if body.isalpha() else b"".join(map(self.piece, self.split(chunk)))
+            if len(self.young) >= CACHE:
+                self.young, self.old = {}, self.young
+            self.young[chunk] = found
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
