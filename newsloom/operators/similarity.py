@@ -8,8 +8,6 @@ joined on. Pairs are verified exactly.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,16 +74,23 @@ def keep_first_greedy(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges: a, b. id, comp: the smallest id of each component (label propagation, pointer jumping)."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    """edges: a, b. Returns id, comp: the smallest id of each linked id's component.
+
+    Every round takes the smallest label among the neighbours and then the label of
+    the label, so a path of n links needs about log n rounds. Labels only fall: the
+    rounds end when their sum stays the same. Each round is a table in the shared
+    folder; only that sum reaches the driver.
+    """
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
-    before, now = None, label.agg(F.sum("comp")).first()[0]
+    total = lambda t: t.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
+    before, now = None, total(label)
     while before != now:
         near = both.join(label.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
         low = stored(label.join(near, F.col("id") == F.col("a")).select("id", F.least("comp", "m").alias("comp")), "labels")
         up = low.select(F.col("id").alias("up"), F.col("comp").alias("top"))
-        label = stored(low.join(up, F.col("comp") == F.col("up")).select("id", "top").withColumnRenamed("top", "comp"), "labels")
-        before, now = now, label.agg(F.sum("comp")).first()[0]
+        label = stored(low.join(up, F.col("comp") == F.col("up")).select("id", F.least("comp", "top").alias("comp")), "labels")
+        before, now = now, total(label)
     return label
 
 
@@ -145,7 +150,3 @@ def best_match(pairs: DataFrame, query: str, order: list[Column]) -> DataFrame:
     """One row a query: the first in the order given."""
     nth = F.row_number().over(Window.partitionBy(query).orderBy(*order))
     return pairs.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-
-
-def ceil_share(n: int, least: float) -> int:
-    return math.ceil(n * least - 1e-9)
