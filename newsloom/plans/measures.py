@@ -172,3 +172,31 @@ def report_checks(spark, sf):
     numbers = lambda c: F.regexp_extract_all(F.col(c), F.lit(r"\d+"), F.lit(0))
     sections = F.filter(F.split("text", "\n"), lambda x: x.rlike("^#+ "))
     return r.select("conv_id", "turn", F.size(numbers("text")).alias("n_numbers"), F.size(F.array_except(numbers("text"), numbers("before"))).alias("n_new"), F.size(sections).alias("n_sections"))
+
+
+@query(r"""with p as (select lower(regexp_extract(url, '://([^/?#]*)', 1)) as host, case when page_id % 7 = 0 then 403 when page_id % 11 = 0 then null else 200 end as status, page_id from pages)
+select host, count(*) as n, count(*) filter (status = 200) as ok, min(status) filter (status <> 200) as error_status from p group by host having count(*) filter (status is distinct from 200) > 0""")
+def fetch_error_hosts(spark, sf):
+    """Hosts with failed fetches, with a status where there is one."""
+    i = F.col("page_id")
+    status = F.when(i % 7 == 0, 403).when(i % 11 == 0, F.lit(None).cast("int")).otherwise(200)
+    p = table(spark, sf, "pages").select(T.url_host(F.col("url")).alias("host"), status.alias("status"))
+    bad = ~F.col("status").eqNullSafe(F.lit(200))
+    g = p.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == 200).alias("ok"), F.min(F.when(bad, F.col("status"))).alias("error_status"), F.count_if(bad).alias("failed"))
+    return g.where("failed > 0").drop("failed")
+
+
+@query(f"""with {ART}, s as (select strftime(published + interval 8 hours, '%G-W%V') as week_id, lang, source, value, published::date as day, id, regexp_matches(text, 'idiot|vequ|lowei|chlla') as off from art where published is not null),
+r as (select week_id, lang, 'before' as run, value, source, day from s union all select week_id, lang, 'after' as run, value, source, day from s where not off),
+g as (select week_id, lang, run, sum(value::decimal(38,9))::double * ln(count(distinct source) + 1.0) * ln(greatest(count(distinct day), 1) + 1.0) as score from r group by all)
+select week_id, lang, round(max(score) filter (run = 'before'), 4) as before, round(max(score) filter (run = 'after'), 4) as after, coalesce(max(score) filter (run = 'after'), 0) >= 500 as still_hot from g group by all""")
+def relevance_replay(spark, sf):
+    """Bucket scores of past weeks before and after a relevance rule."""
+    from newsloom.operators.topics import momentum
+
+    s = articles(spark, sf).where("published is not null").select(T.week_id(F.col("published")).alias("week_id"), "lang", "source", F.col("value").alias("quality"), F.to_date("published").alias("day"), F.col("text").rlike("idiot|vequ|lowei|chlla").alias("off"))
+    runs = s.withColumn("run", F.explode(F.when(F.col("off"), F.array(F.lit("before"))).otherwise(F.array(F.lit("before"), F.lit("after")))))
+    g = momentum(runs, ["week_id", "lang", "run"])
+    at = lambda run: F.max(F.when(F.col("run") == run, F.col("score")))
+    out = g.groupBy("week_id", "lang").agg(F.round(at("before"), 4).alias("before"), F.round(at("after"), 4).alias("after"), at("after").alias("raw"))
+    return out.withColumn("still_hot", F.coalesce("raw", F.lit(0.0)) >= 500).drop("raw")

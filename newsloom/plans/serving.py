@@ -96,3 +96,50 @@ def display_state(spark, sf):
     hidden = spark.createDataFrame([("src1",), ("src3",)], "source string").withColumn("hidden", F.lit(True))
     d = table(spark, sf, "documents").select("doc_id", "source").join(hidden, "source", "left")
     return d.select("doc_id", F.when(F.col("hidden"), "hidden").when(F.col("source") == "src5", "collapsed").otherwise("normal").alias("state"))
+
+
+@query(r"""with t as (select doc_id as id, regexp_replace(split_part(text, chr(10), 1), '([A-Z][a-zéü]+)', '[[\1]]', 'g') as text from documents),
+m as (select distinct id, unnest(regexp_extract_all(text, '\[\[([^\[\]]+)\]\]', 1)) as term from t)
+select term, count(*) as n from m where term not in ('The', 'De') and term not in (select r_name from region) group by term""")
+def kb_unknown_terms(spark, sf):
+    """Marked terms that the term base and the ignore list lack."""
+    from newsloom.operators import knowledge as K
+
+    known = spark.createDataFrame([("The",), ("De",)], "term string")
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace(T.title_of(F.col("text")), "([A-Z][a-zéü]+)", "[[$1]]").alias("text"))
+    ignored = table(spark, sf, "region").select(F.col("r_name").alias("term"))
+    return K.unknown_terms(rows, known, ignored).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""select doc_id as id, replace(replace(split_part(text, chr(10), 1), 'the', 'THE'), 'de ', 'of ') as text from documents""")
+def kb_rewrite(spark, sf):
+    """Markers replaced by the term base; later levels override earlier ones."""
+    from newsloom.operators import knowledge as K
+
+    title = T.title_of(F.col("text"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.replace(F.replace(title, F.lit("the"), F.lit("[[the]]")), F.lit("de "), F.lit("[[de ]]")).alias("text"))
+    values = K.precedence(spark.createDataFrame([("the", "x"), ("de ", "of ")], "term string, value string"), spark.createDataFrame([("the", "THE")], "term string, value string"))
+    return K.rewrite_markers(rows, values)
+
+
+@query(f"""with {ART}, p as (select id, lang, row_number() over (partition by lang order by value desc nulls last, id) as nth from art)
+select lang, count(*) filter (nth <= 20) as selected, count(*) filter (nth > 20) as residual, count(*) as consumed from p group by lang""")
+def digest_consume(spark, sf):
+    """A digest's rows and the rest of its pool are both marked as consumed."""
+    from newsloom.operators import store as K
+    from newsloom.operators.topics import digest_pool
+
+    a = articles(spark, sf).select("id", "lang", F.col("value").alias("quality")).withColumn("analysed", F.lit(False))
+    best = digest_pool(a, "lang", 40, 20, [F.col("quality").desc_nulls_last(), F.col("id")]).select("id")
+    rest = a.join(best, "id", "left_anti").select("id")
+    done = K.mark(a, best.union(rest), "id", "analysed")
+    tagged = done.join(best.withColumn("chosen", F.lit(True)), "id", "left")
+    return tagged.groupBy("lang").agg(F.count_if("chosen").alias("selected"), F.count_if(F.col("chosen").isNull()).alias("residual"), F.count_if("analysed").alias("consumed"))
+
+
+@query("select doc_id as id from documents where doc_id not in (select doc_id from labels where toxic = 1)")
+def verdict_drop(spark, sf):
+    from newsloom.operators import knowledge as K
+
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    return K.drop_verdicts(rows, table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))

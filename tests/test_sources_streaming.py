@@ -72,3 +72,28 @@ def test_streaming_insert_ignore_is_idempotent(spark, tmp_path):
         df = spark.readStream.schema("k bigint, v string").parquet(str(tmp_path / "in"))
         flows.insert_ignore_batches(df, str(tmp_path / "out"), str(tmp_path / f"cp{run}"), ["k"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_sinks(spark, tmp_path):
+    from newsloom.sources import sinks
+
+    a = spark.createDataFrame([("2024-W01", "高", ["x", ""]), ("2024-W01", "低", ["x", "y"]), ("2024-W02", "高", [])], "week_id string, importance string, tags array<string>")
+    old = spark.createDataFrame([("2024-W01", 9, 9), ("2023-W52", 1, 0)], "week_id string, article_count bigint, high_count bigint")
+    assert [tuple(r) for r in sinks.week_index(a, old).collect()] == [("2024-W02", 1, 1), ("2024-W01", 2, 1), ("2023-W52", 1, 0)]
+    assert {r.tag: r.n for r in sinks.tag_totals(a, spark.createDataFrame([("x", 5)], "tag string, n bigint")).collect()} == {"x": 7, "y": 1}
+    sinks.write_weeks(a, str(tmp_path / "w"))
+    sinks.write_weeks(a.where("week_id = '2024-W02'"), str(tmp_path / "w"))
+    assert spark.read.json(str(tmp_path / "w")).count() == 3
+    items = spark.createDataFrame([("<item>1</item>", "2024-01-01"), ("<item>2</item>", "2024-01-02")], "item string, published string")
+    sinks.feed(items, "t", "l", str(tmp_path / "f"), limit=1)
+    assert "<item>2</item></channel>" in spark.read.text(str(tmp_path / "f")).first()[0]
+
+
+def test_term_base(spark):
+    from newsloom.operators import knowledge as K
+
+    rows = spark.createDataFrame([(1, "a [[x]] b [[y]]"), (2, "none"), (3, None), (4, "[[x]][[x]]")], "id bigint, text string")
+    values = K.precedence(spark.createDataFrame([("x", "1")], "term string, value string"), spark.createDataFrame([("x", "2")], "term string, value string"))
+    assert {r.id: r.text for r in K.rewrite_markers(rows, values).collect()} == {1: "a 2 b y", 2: "none", 3: None, 4: "22"}
+    none = spark.createDataFrame([], "term string")
+    assert sorted((r.id, r.term) for r in K.unknown_terms(rows, values, none).collect()) == [(1, "y")]
