@@ -17,9 +17,10 @@ two sketches is at most the size of the symmetric difference of the sets.
    are filled and not hot meets each partner in one of those, so its hot keys are
    dropped without loss; common passages and frequent words go this way.
 4. Verification. In each key every set is compared with the key's smallest id (a star,
-   not all pairs); links give components; then only pairs of a key that still lie in
-   different components are compared. A pair is first held against the Hamming
-   distance of compact sketches and then, if it may link, against the whole sets.
+   not all pairs), and links give components. Sets of keys that still hold several
+   components are compared across components, if they share one of their rarest
+   shingles (prefix filter, exact). A pair is first held against the Hamming distance of
+   compact sketches and then, if it may link, against the whole sets.
 
 Sets that are equal are one node (groups by a 128-bit sum of the hashes), so copies
 never form pairs. Components come from label propagation with pointer jumping over
@@ -43,8 +44,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.similarity import components
+
 from .common import flat_words, slices, stored, table
-from .components import components
 
 HOT = 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -189,9 +191,9 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices(b, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([h.tobytes() for h in shingle_sets(part.column("text"), k)], pa.binary())], names=["id", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([h.view(np.int64) for h in shingle_sets(part.column("text"), k)], pa.list_(pa.int64()))], names=["id", "hashes"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, hashes binary")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, hashes array<long>")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -215,7 +217,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -224,6 +226,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return with_a.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _rare_partners(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """rows: id, hashes, comp. Pairs of different components that may link: a, b.
+
+    With shingles ordered from rare to frequent, linked sets of n shingles share one of
+    their first n - ceil(t * n) + 1. Shingles of one set alone come first and join
+    nothing, so a set with enough of its own takes no part, however many passages it
+    shares with others.
+    """
+    each = rows.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    each = each.join(shared, "h")
+    by_id = Window.partitionBy("id")
+    alone = F.col("n") - F.count(F.lit(1)).over(by_id)
+    nth = F.row_number().over(by_id.orderBy("df", "h"))
+    most = F.col("n") - F.ceil(F.col("n") * num / den - 1e-9) + 1
+    first = each.withColumn("alone", alone).where(F.col("alone") < most).withColumn("nth", nth).where(F.col("nth") <= most - F.col("alone"))
+    first = stored(first.select("h", "id", "comp", "n"), "rare-shingles")
+    a, b = (first.select("h", F.col("id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    return a.join(b, "h").where("a < b and ca <> cb").where(near).select("a", "b").distinct()
+
+
 def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int = HOT) -> DataFrame:
     """docs: doc_id, text. One row a document: doc_id, n_shingles, component_id."""
     signed = stored(_signatures(docs, k, num, den), "signatures")
@@ -248,12 +272,11 @@ def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int =
     links = stored(_verified(stored(_possible(stars, nodes, num, den), "possible"), sets, num, den), "links")
     comp = components(links)
 
-    # Pairs of a key that the stars left in different components.
-    placed = met.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+    # Sets of keys that the stars left in different components.
+    placed = stored(met.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp")), "placed-keys")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    placed = stored(placed.join(mixed, "key", "left_semi"), "mixed-keys")
-    a, b = (placed.select("key", F.col("id").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab")
-    pairs = a.join(b, "key").where("a < b and ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    left = stored(placed.join(mixed, "key", "left_semi").select("id", "comp").distinct(), "mixed-sets")
+    pairs = _rare_partners(sets.join(left, "id"), num, den).join(stars, ["a", "b"], "left_anti")
     more = stored(_verified(stored(_possible(pairs, nodes, num, den), "possible"), sets, num, den), "links")
     if not more.isEmpty():
         comp = components(links.union(more))

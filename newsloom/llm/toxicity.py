@@ -1,10 +1,11 @@
 """Toxicity: a character n-gram linear classifier scaled by naive Bayes log-count ratios.
 
-A document's features are the distinct character n-grams (3 to 5 code points,
-inside lower-cased words with a blank at either end), hashed to ``DIM`` cells.
-Each present cell counts ``log((p + a) / |p|) - log((q + a) / |q|)`` of the
-toxic (p) and clean (q) training documents, and a logistic regression is fitted
-on these scaled features.
+A document's features are its character n-grams (``SIZES`` code points, inside
+lower-cased words with a blank at either end), hashed to ``DIM`` cells; a cell's
+value is log(1 + count), and a document's values are scaled to length one. Values
+are multiplied by the cell's log-count ratio ``log((p + a) / |p|) - log((q + a) /
+|q|)`` of the toxic (p) and clean (q) training documents, and a logistic
+regression is fitted on these scaled features.
 
 The model is fitted on a bounded sample of labelled rows: the ``sample_rows``
 smallest hashes of doc_id among the labelled rows outside the held-out quarter.
@@ -31,9 +32,10 @@ from .common import expand, flat_words, slices, table
 
 BITS = 18
 DIM = 1 << BITS
-SIZES = (3, 4, 5)
-SAMPLE_ROWS = 4000
+SIZES = (4, 6, 7)
+SAMPLE_ROWS = 3000
 THRESHOLD = 0.3
+SLICE = 3 << 20  # bytes of text a task works on at once
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,56 +65,61 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(words))[: len(words)]))), cell[order]
 
 
-def document_cells(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The distinct cells of each text."""
+def document_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct cells of each text, and log(1 + count) of each, scaled to length one."""
     words, counts = flat_words(texts)
     coded = words.dictionary_encode()
     offsets, cells = word_features(coded.dictionary.to_pylist())
     index, ends = coded.indices.to_numpy(), np.cumsum(counts)
     last = np.zeros(DIM, np.int64)
     for a, b in zip(ends - counts, ends, strict=True):
-        w = np.unique(index[a:b])
-        all_cells = cells[expand(offsets[w], offsets[w + 1] - offsets[w])]
-        at = np.arange(len(all_cells))
-        last[all_cells] = at  # of equal cells the last stays
-        yield all_cells[last[all_cells] == at]
+        w, times = np.unique(index[a:b], return_counts=True)
+        size = offsets[w + 1] - offsets[w]
+        every = cells[expand(offsets[w], size)]
+        at = np.arange(len(every))
+        last[every] = at  # of equal cells the last place stays: one place a cell
+        place = last[every]
+        one = place == at
+        count = np.bincount((np.cumsum(one) - 1)[place], weights=np.repeat(times, size), minlength=int(one.sum()))
+        value = np.log1p(count)
+        yield every[one], value / max(1e-12, np.sqrt((value**2).sum()))
 
 
 @dataclass(frozen=True)
 class Model:
-    """score = sigmoid(bias + sum of weights of the present cells / sqrt(their number))."""
+    """score = sigmoid(bias + sum of weight times value over the cells)."""
 
     weights: np.ndarray
     bias: float
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        z = np.array([self.bias + self.weights[c].sum() / max(1.0, np.sqrt(len(c))) for c in document_cells(texts)], dtype=np.float64)
+        z = np.array([self.bias + (self.weights[c] * v).sum() for c, v in document_features(texts)], dtype=np.float64)
         return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 9)
 
 
-def fit_cells(docs: list[np.ndarray], toxic: np.ndarray, rounds: int = 50, ridge: float = 1.0, smooth: float = 1.0) -> Model:
+def fit_features(cells: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray, rounds: int = 60, ridge: float = 0.01, rate: float = 1.0) -> Model:
     """Log-count ratios, then logistic regression on the scaled features (Adam, full batches)."""
     weights = np.zeros(DIM)
     share = float(toxic.mean()) if len(toxic) else 0.0
     if share in (0.0, 1.0):
         return Model(weights, 30.0 if share else -30.0)
-    sizes = np.array([len(d) for d in docs])
-    cells = np.concatenate(docs).astype(np.int64) if sizes.sum() else np.empty(0, np.int64)
-    rows = np.repeat(np.arange(len(docs)), sizes)
-    p = np.bincount(cells[toxic[rows] == 1], minlength=DIM) + smooth
-    q = np.bincount(cells[toxic[rows] == 0], minlength=DIM) + smooth
+    n, rows = len(cells), np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+    at, x = (np.concatenate(c) if len(rows) else np.empty(0) for c in (cells, values))
+    at = at.astype(np.int64)
+    smooth = float(x.mean()) if len(x) else 1.0  # one average occurrence
+    p, q = (np.bincount(at[toxic[rows] == k], weights=x[toxic[rows] == k], minlength=DIM) + smooth for k in (1, 0))
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    x = ratio[cells] / np.sqrt(np.maximum(sizes, 1))[rows]
+    x = x * ratio[at]
     beta, bias = np.zeros(DIM), float(np.log(share / (1 - share)))
     m, v, mb, vb = np.zeros(DIM), np.zeros(DIM), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = bias + np.bincount(rows, weights=x * beta[cells], minlength=len(docs))
-        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / len(docs)
-        g, gb = np.bincount(cells, weights=x * e[rows], minlength=DIM) + ridge * beta / len(docs), e.sum()
+        z = bias + np.bincount(rows, weights=x * beta[at], minlength=n)
+        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / n
+        g, gb = np.bincount(at, weights=x * e[rows], minlength=DIM) + ridge * beta / n, e.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
-        rate = 0.1 / np.sqrt(1 + t / 20)
-        beta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8) * (ratio != 0)
-        bias -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-8)
+        step = rate / np.sqrt(1 + t / 20)
+        beta -= step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8) * (ratio != 0)
+        bias -= step * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-8)
     return Model(ratio * beta, float(bias))
 
 
@@ -130,14 +137,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for whole in batches for part in slices(whole, "text")):
-            out = [c.astype(np.int32) for c in document_cells(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "toxic", "cells"])
+        for b in (part for whole in batches for part in slices(whole, "text", SLICE)):
+            out = list(document_features(b.column("text")))
+            columns = [pa.array([c.astype(np.int32) for c, _ in out], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in out], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), *columns], names=["doc_id", "toxic", "cells", "values"])
 
     toxic_type = found.schema["toxic"].dataType.simpleString()
     id_type = found.schema["doc_id"].dataType.simpleString()
-    got = found.mapInArrow(cells, f"doc_id {id_type}, toxic {toxic_type}, cells array<int>").toArrow().sort_by("doc_id")
-    return fit_cells([c.values.to_numpy() for c in got["cells"]], np.asarray(got["toxic"].to_pylist(), dtype=np.int64))
+    got = found.mapInArrow(cells, f"doc_id {id_type}, toxic {toxic_type}, cells array<int>, values array<float>").toArrow().sort_by("doc_id")
+    return fit_features(*([c.values.to_numpy() for c in got[name]] for name in ("cells", "values")), np.asarray(got["toxic"].to_pylist(), dtype=np.int64))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
@@ -146,7 +154,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM weights, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for whole in batches for part in slices(whole, text)):
+        for b in (part for whole in batches for part in slices(whole, text, SLICE)):
             s = shared.value.score(b.column(text))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, out])
 

@@ -125,7 +125,7 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(docs, m).columns.count("score") == 1 and toxicity.score(docs, m).count() == docs.count()
     assert toxicity.score(empty, toxicity.fit(empty, labels.where("false"))).count() == 0
     assert toxicity.keep_clean(docs, labels.where("false")).columns == docs.columns
-    one_slice, many = (np.array([len(c) for t in x for c in toxicity.document_cells(t)]) for x in ([pa.array(["a bc def", "x" * 50, None])], [pa.array(["a bc def"]), pa.array(["x" * 50, None])]))
+    one_slice, many = (np.array([len(c) for t in x for c, _ in toxicity.document_features(t)]) for x in ([pa.array(["a bc def", "x" * 50, None])], [pa.array(["a bc def"]), pa.array(["x" * 50, None])]))
     assert (one_slice == many).all()
 
 
