@@ -83,9 +83,9 @@ def is_echo(short: Column, long: Column, room: int = 24) -> Column:
 
 
 def week_id(ts: Column, shift_hours: int = 8) -> Column:
-    """ISO week like 2024-W05 of the shifted clock."""
+    """ISO week like 2024-W05 of the shifted clock; null without a time."""
     local = ts + F.make_interval(hours=F.lit(shift_hours))
-    return F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), local), F.weekofyear(local))
+    return F.when(ts.isNotNull(), F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), local), F.weekofyear(local)))
 
 
 def week_start(ts: Column, shift_hours: int = 8) -> Column:

@@ -56,18 +56,22 @@ def hot_topics_gate_then_cap(spark, sf):
 
 
 _POOL = f"with {_ROWS}, r as (select *, row_number() over (partition by lang order by quality desc nulls last, id) as rank, quality >= 40 as effective from rows_)"
-_ORDER = [F.col("quality").desc_nulls_last(), F.col("id")]
+
+
+def _order():
+    return [F.col("quality").desc_nulls_last(), F.col("id")]
+
 
 
 @query(f"{_POOL} select lang, id, rank, effective from r where rank <= 20")
 def digest_pool(spark, sf):
-    return T.digest_pool(_rows(spark, sf), "lang", 40, 20, _ORDER).select("lang", "id", "rank", "effective")
+    return T.digest_pool(_rows(spark, sf), "lang", 40, 20, _order()).select("lang", "id", "rank", "effective")
 
 
 @query(f"{_POOL} select id from r where rank > 20")
 def digest_residual(spark, sf):
     rows = _rows(spark, sf)
-    return rows.select("id").join(T.digest_pool(rows, "lang", 40, 20, _ORDER).select("id"), "id", "left_anti")
+    return rows.select("id").join(T.digest_pool(rows, "lang", 40, 20, _order()).select("id"), "id", "left_anti")
 
 
 @query(f"""with {_ROWS}, c as (select id, {sql_category()} as category from tok), {TOK}, n as (select category, count(*) as n from c group by 1)
