@@ -232,7 +232,8 @@ def _rare_partners(rows: DataFrame, num: int, den: int) -> DataFrame:
     With shingles ordered from rare to frequent, linked sets of n shingles share one of
     their first n - ceil(t * n) + 1. Shingles of one set alone come first and join
     nothing, so a set with enough of its own takes no part, however many passages it
-    shares with others.
+    shares with others. A shared shingle counts only where enough shingles are left
+    from it on in both sets (positional filter).
     """
     each = rows.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -241,11 +242,14 @@ def _rare_partners(rows: DataFrame, num: int, den: int) -> DataFrame:
     alone = F.col("n") - F.count(F.lit(1)).over(by_id)
     nth = F.row_number().over(by_id.orderBy("df", "h"))
     most = F.col("n") - F.ceil(F.col("n") * num / den - 1e-9) + 1
-    first = each.withColumn("alone", alone).where(F.col("alone") < most).withColumn("nth", nth).where(F.col("nth") <= most - F.col("alone"))
-    first = stored(first.select("h", "id", "comp", "n"), "rare-shingles")
-    a, b = (first.select("h", F.col("id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
-    near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    return a.join(b, "h").where("a < b and ca <> cb").where(near).select("a", "b").distinct()
+    first = each.withColumn("alone", alone).where(F.col("alone") < most).withColumn("nth", F.col("alone") + nth).where(F.col("nth") <= most)
+    first = stored(first.select("h", "id", "comp", "n", (F.col("n") - F.col("nth") + 1).alias("left")), "rare-shingles")
+    mixed = first.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("h")
+    first = first.join(mixed, "h", "left_semi")
+    a, b = (first.select("h", F.col("id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("left").alias(f"l{x}")) for x in "ab")
+    # All that the two share lies at or after their first common shingle.
+    enough = F.least("la", "lb") * (num + den) >= (F.col("na") + F.col("nb")) * num
+    return a.join(b, "h").where("a < b and ca <> cb").where(enough).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int = HOT) -> DataFrame:
