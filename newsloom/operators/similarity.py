@@ -8,6 +8,7 @@ joined on. Pairs are verified exactly.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,43 @@ def cosine_matches(queries: DataFrame, rows: DataFrame, least: float, on: list[s
     return joined.withColumn("similarity", cosine(F.col("qv"), F.col("v"))).where(F.col("similarity") >= least)
 
 
+def pair_counts(rows: DataFrame, least: float, block: str, tile: int = 2000) -> DataFrame:
+    """All pairs (ids differ, each pair once) of a block with cosine >= least, by class: class, n.
+
+    rows: id, v, day, week (whole numbers or null) and the block. A block is cut into
+    tiles of about ``tile`` rows by a hash of the id and every two tiles meet in one
+    matrix product: pairs are counted where they are found and never become rows.
+    """
+    rows = rows.where(F.col("v").isNotNull()).select("id", block, F.transform("v", lambda x: x.cast("double")).alias("v"), "day", "week")
+    size = rows.groupBy(block).agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    dealt = rows.join(size, block).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+    dealt = dealt.select(block, F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "v", "day", "week")
+    kinds = ("cross-week", "same-day", "same-week")
+
+    def count(p: pd.DataFrame) -> pd.DataFrame:
+        width = max(map(len, p["v"]))
+        v = np.stack([np.pad(np.nan_to_num(np.asarray(x, float)), (0, width - len(x))) for x in p["v"]])
+        norm = np.sqrt((v * v).sum(1))
+        ids, tiles = p["id"].to_numpy(), p["tile"].to_numpy()
+        day, week = (p[c].fillna(-(10**9)).to_numpy(np.int64) for c in ("day", "week"))
+        i, j = p["i"].iloc[0], p["j"].iloc[0]
+        a, b = np.flatnonzero(tiles == i), np.flatnonzero(tiles == j)
+        both = norm[a][:, None] * norm[b][None, :]
+        cos = np.divide(v[a] @ v[b].T, both, out=np.zeros_like(both), where=both > 0)
+        x, y = np.nonzero(cos >= least)
+        x, y = a[x], b[y]
+        once = ids[x] < ids[y] if i == j else np.ones(len(x), bool)
+        x, y = x[once], y[once]
+        known = (day[x] > -(10**9)) & (day[y] > -(10**9))
+        cross = known & (week[x] != week[y])
+        same = known & ~cross & (day[x] == day[y])
+        return pd.DataFrame({"class": kinds, "n": [int(cross.sum()), int(same.sum()), int((~cross & ~same).sum())]})
+
+    parts = dealt.groupBy(block, "i", "j").applyInPandas(count, "class string, n long")
+    return parts.groupBy("class").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def time_band(df: DataFrame, ts: str, hours: int = 24, spread: bool = False) -> DataFrame:
     """Adds ``band``, for equi-joins of rows within ``hours``: the spread side has the
     neighbouring bands too. Exact distances are tested after the join."""

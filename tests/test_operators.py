@@ -144,3 +144,34 @@ def test_report_checks(spark):
     assert one(spark, review.missing_headings(F.col("t"), ["## 摘要", "## 展望"]), t=text) == ["## 展望"]
     assert one(spark, review.deletion_over_cap(F.lit("x" * 10), F.lit("x" * 7))) is True
     assert one(spark, review.title_only(F.lit("A, b"), F.lit("a b"))) is True
+
+
+def test_all_pairs_are_counted_by_class(spark):
+    r = random.Random(4)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(4)], r.choice("ab"), r.randrange(14)) for i in range(60)] + [(7, [0.0] * 4, "a", 1), (61, None, "a", 1), (62, [0.5] * 4, "a", None)]
+    df = spark.createDataFrame([(i, v, b, d, None if d is None else d // 7) for i, v, b, d in rows], "id bigint, v array<float>, label string, day int, week int")
+    want = {}
+    for k, (i, v, b, d) in enumerate(rows):
+        for j, w, c, e in rows[k + 1 :]:
+            if v is None or w is None or b != c or i == j:
+                continue
+            size = (sum(x * x for x in v) * sum(x * x for x in w)) ** 0.5
+            if size and sum(x * y for x, y in zip(v, w)) / size >= 0.2:
+                known = d is not None and e is not None
+                kind = "cross-week" if known and d // 7 != e // 7 else "same-day" if known and d == e else "same-week"
+                want[kind] = want.get(kind, 0) + 1
+    assert len(want) == 3
+    for tile in (7, 2000):
+        assert {x["class"]: x.n for x in similarity.pair_counts(df, 0.2, "label", tile).collect()} == want
+
+
+def test_near_dup_pair_classes_all_counts_every_pair(spark):
+    from helpers import DATA
+    from helpers import same_rows
+    from newsloom.plans.catalog import QUERIES, SQL
+
+    sf = DATA.replace("0.001", "0.1")
+    every = QUERIES["near_dup_pair_classes_all"](spark, sf)
+    ours, theirs = same_rows(every, SQL["near_dup_pair_classes_all"], sf)
+    queried = QUERIES["near_dup_pair_classes"](spark, sf).collect()
+    assert ours == theirs and sum(r.n for r in every.collect()) > 10 * sum(r.n for r in queried) > 0
