@@ -7,7 +7,12 @@ is the prior of the suffixes, a suffix's posterior mean that of its registered
 domains, a domain's that of its hosts. The strength of each prior is the
 beta-binomial moment estimate of that level's overdispersion. A host is blocked
 when the upper bound of its posterior share of good pages (mean + z * sd) is under
-``least_good``: hosts without evidence against them stay.
+``least_good``. A host without labels (n = 0) has its domain's posterior mean, or else
+its suffix's or the corpus mean, and the bound that follows: without evidence against
+these it stays.
+
+``SQL_OP1`` counts labelled hosts only and lets all others pass; it differs where the
+pages have an unlabelled host under a bad domain or suffix.
 
 All steps are DataFrame operations: one narrow scan, a partially aggregated count
 per host, joins of the (stored) counts by domain and suffix, and one join of the
@@ -17,7 +22,7 @@ gets three sums of each level.
 The suffix is the last label of a host, or the last two when the last has two
 letters and the one before is a generic label (``GENERIC``); an address of digits
 is its own domain. Edge cases: null urls and urls without ``://`` have an empty
-host and path and are judged as the host ""; pages without labels count nothing; a
+host and path and are judged as the host ""; pages without labels only make their host known; a
 page labelled twice counts twice; without any label all priors stay at one half
 good and nothing is blocked by the method. Extra columns are not read.
 """
@@ -80,9 +85,9 @@ def _level(counts: DataFrame, key: str, parent: str | None, mean: float) -> Data
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """outcomes: host, good (0 or 1). Returns host, domain, suffix, n, good, post, upper."""
+    """outcomes: host, good (0, 1, or null: unlabelled). Returns host, domain, suffix, n, good, post, upper."""
     suffix = suffix_of(F.col("host"))
-    hosts = outcomes.where(F.col("good").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("good").cast("long")).alias("good"))
+    hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"))
     hosts = stored(hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     domains = stored(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
@@ -99,10 +104,10 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
     """pages: page_id, url; outcomes: page_id, good. One row per page."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    labelled = urls.select("page_id", "host").join(outcomes, "page_id").select("host", "good")
-    bad = stored(host_reputation(labelled).select("host", "post", "upper"), "reputation")
+    known = urls.select("page_id", "host").join(outcomes, "page_id", "left").select("host", "good")
+    bad = stored(host_reputation(known).select("host", "post", "upper"), "reputation")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    own = F.when(F.coalesce(F.col("upper"), F.lit(1.0)) < least_good, "block").otherwise("allow")
+    own = F.when(F.col("upper") < least_good, "block").otherwise("allow")
     return urls.join(bad, "host", "left").select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
 
 

@@ -42,6 +42,17 @@ def test_url_reputation_shrinks(spark):
     assert got[1] == "block" and got[0] == got[1000] == "allow"
 
 
+def test_unlabelled_hosts_have_the_posterior_of_their_domain(spark):
+    hosts = [f"h{i % 20}.bad.xyz" for i in range(400)] + [f"h{i % 20}.good.xyz" for i in range(400)] + [f"w{i % 20}.d{i % 10}.evil" for i in range(400)]
+    new = ["new.bad.xyz", "new.good.xyz", "new.other.evil", "new.other.fresh"]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}") for i, h in enumerate(hosts + new)], "page_id bigint, url string")
+    out = spark.createDataFrame([(i, int(400 <= i < 800)) for i in range(1200)], "page_id bigint, good int")
+    got = {r.host: r.verdict for r in url_reputation.judge(pages, out.union(spark.createDataFrame([(1200, None)], out.schema))).collect()}
+    assert [got[h] for h in new[:3]] == ["block", "allow", "block"]
+    rep = {r.host: r for r in url_reputation.host_reputation(pages.select("page_id", url_reputation.host_of(F.col("url")).alias("host")).join(out, "page_id", "left").select("host", "good")).collect()}
+    assert rep["new.other.fresh"].post == pytest.approx(401 / 1202) and (rep["new.bad.xyz"].n, rep["new.bad.xyz"].good) == (0, 0)
+
+
 def test_suffixes(spark):
     df = spark.createDataFrame([("a.b.co.uk",), ("b.co.uk",), ("co.uk",), ("x.y.com",), ("com",), ("1.2.3.4",), ("",)], "h string")
     s = url_reputation.suffix_of(F.col("h"))
