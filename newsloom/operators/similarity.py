@@ -1,6 +1,7 @@
 """Similarity joins and the order-sensitive groupings built on them.
 
-Set joins collapse equal token sets to classes first (copies never form pairs), then
+Set joins collapse equal token sets to classes first (copies never form pairs; rows
+without tokens have no class and match nothing, see ``without_tokens``), then
 use the prefix filter: with tokens ordered from rare to frequent, two sets of Jaccard
 >= t share one of their first n - ceil(t * n) + 1 tokens, so frequent words are never
 joined on. Pairs are verified exactly.
@@ -17,10 +18,16 @@ from newsloom.functions.text import cosine, jaccard
 from newsloom.operators.store import stored
 
 
-def set_classes(rows: DataFrame, block: str | None = None) -> DataFrame:
-    """rows: id, tokens (and the block's column). One row a distinct set: rep, tokens, copies."""
+def set_classes(rows: DataFrame, block: str | None = None, ids: bool = False) -> DataFrame:
+    """rows: id, tokens (and the block's column). One row a distinct set: rep, tokens, copies (and the ids)."""
     keys = ["tokens", *([block] if block else [])]
-    return rows.where(F.size("tokens") > 0).groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    more = [F.array_sort(F.collect_list("id")).alias("ids")] if ids else []
+    return rows.where(F.size("tokens") > 0).groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *more)
+
+
+def without_tokens(rows: DataFrame) -> DataFrame:
+    """The rows that set_classes leaves out: they match nothing."""
+    return rows.where(F.coalesce(F.size("tokens"), F.lit(0)) <= 0)
 
 
 def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) -> DataFrame:
@@ -149,17 +156,35 @@ def _similarity(a: set, b: set) -> float:
 
 
 def replacing_fold(over: float):
-    """Keep slots in order; a row close to a slot's row replaces it if it has more tokens."""
+    """Keep slots in order; a row close to a slot's row replaces it if it has more tokens.
+
+    A row may stand for a class of equal sets (ids, ascending): each id comes in its
+    turn, as a copy opens a new slot when longer rows have taken the old one.
+    """
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [set(t) for t in rows["tokens"]]
+        ids = [list(i) for i in rows["ids"]] if "ids" in rows else [[i] for i in rows["id"]]
+        known: dict[tuple[int, int], bool] = {}
+
+        def close(x: int, y: int) -> bool:
+            if (x, y) not in known:
+                known[x, y] = _similarity(sets[x], sets[y]) > over
+            return known[x, y]
+
         slots: list[list] = []
-        for i, t in zip(rows["id"], rows["tokens"], strict=True):
-            t = set(t)
-            near = next((s for s in slots if _similarity(s[2], t) > over), None)
+        changes, seen = 0, [-1] * len(sets)
+        for i, x in sorted((i, x) for x, own in enumerate(ids) for i in own):
+            if sets[x] and seen[x] == changes:  # an equal set came, and no slot has changed since
+                continue
+            near = next((s for s in slots if close(s[2], x)), None)
             if near is None:
-                slots.append([i, i, t])
-            elif len(t) > len(near[2]):
-                near[1:] = [i, t]
+                slots.append([i, i, x])
+                changes += 1
+            elif len(sets[x]) > len(sets[near[2]]):
+                near[1:] = [i, x]
+                changes += 1
+            seen[x] = changes
         return pd.DataFrame([(s[0], s[1]) for s in slots], columns=["slot", "id"])
 
     return fold

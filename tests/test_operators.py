@@ -123,6 +123,30 @@ def test_replacing_fold(spark):
     assert sorted((r.slot, r.id) for r in got) == [(1, 4), (3, 3)]
 
 
+def test_replaced_slots_against_a_plain_fold(spark):
+    from newsloom.plans.dedup import replaced_slots
+
+    def plain(rows):
+        slots = []
+        for i, lang, t in rows:
+            t = set(t or [])
+            near = next((s for s in slots if s[2] == lang and t and s[3] and len(t & s[3]) / len(t | s[3]) > 0.45), None)
+            if near is None:
+                slots.append([i, i, lang, t])
+            elif len(t) > len(near[3]):
+                near[1:] = [i, lang, t]
+        return sorted((s[0], s[1]) for s in slots)
+
+    a, b, d = list("abcd"), list("abcdefg"), list("cdefghijk")
+    again = [(1, "x", a), (2, "x", b), (3, "x", d), (4, "x", a)]
+    assert plain(again) == [(1, 3), (4, 4)]
+    r = random.Random(6)
+    some = [sorted(r.sample("abcdefghij", r.randint(1, 9))) for _ in range(25)] + [[], None]
+    for rows in (again, [(i, r.choice("xy"), r.choice(some)) for i in range(150)]):
+        got = replaced_slots(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")).collect()
+        assert sorted((x.slot, x.id) for x in got) == plain(rows)
+
+
 def test_store(spark, tmp_path):
     t = spark.createDataFrame([(1, "a", None), (2, "b", False)], "k bigint, v string, done boolean")
     new = spark.createDataFrame([(2, "c", True), (3, "d", None)], "k bigint, v string, done boolean")
