@@ -48,6 +48,29 @@ def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) ->
     return pairs.join(s, "a").join(t, "b").select("a", "b", jaccard(F.col("ta"), F.col("tb")).alias("similarity")).where(F.col("similarity") >= least)
 
 
+def containments(classes: DataFrame, block: str | None = None) -> DataFrame:
+    """classes: rep, tokens. Pairs a < b of which one set contains the other.
+
+    A contained set's rarest token is in its container: only that token is joined on.
+    Bit masks of the tokens rule out most candidates before the sets are compared.
+    """
+    on = ["token", *([block] if block else [])]
+    spread = classes.select("rep", *on[1:], F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    common = spread.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    bit = lambda k: F.when(F.pmod(F.hash("token"), F.lit(512)).between(64 * k, 64 * k + 63), F.expr("shiftleft(1L, pmod(hash(token), 64))")).otherwise(F.lit(0).cast("long"))
+    masks = [f"m{k}" for k in range(8)]
+    marked = spread.groupBy("rep").agg(*[F.bit_or(bit(k)).alias(m) for k, m in enumerate(masks)])
+    rarest = spread.join(common, "token").groupBy("rep", "n", *on[1:]).agg(F.min(F.struct("df", "token"))["token"].alias("token"))
+    small = rarest.join(marked, "rep").select(*on, F.col("rep").alias("s"), F.col("n").alias("ns"), *[F.col(m).alias(f"s{m}") for m in masks])
+    large = spread.join(marked, "rep").select(*on, F.col("rep").alias("l"), F.col("n").alias("nl"), *masks)
+    cand = small.join(large, on).where("ns < nl")
+    for m in masks:
+        cand = cand.where(F.col(f"s{m}").bitwiseAND(F.col(m)) == F.col(f"s{m}"))
+    s, t = (classes.select(F.col("rep").alias(x), F.col("tokens").alias(f"t{x}")) for x in "sl")
+    inside = cand.select("s", "l").join(s, "s").join(t, "l").where(F.size(F.array_except("ts", "tl")) == 0)
+    return inside.select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b"))
+
+
 def cosine_matches(queries: DataFrame, rows: DataFrame, least: float, on: list[str], when: Column | None = None) -> DataFrame:
     """A stated query set against all rows of its block: q, id, similarity >= least.
 

@@ -123,6 +123,23 @@ def test_replacing_fold(spark):
     assert sorted((r.slot, r.id) for r in got) == [(1, 4), (3, 3)]
 
 
+def test_first_kept_with_containment_and_rows_without_tokens(spark):
+    from newsloom.plans.dedup import first_kept, topic_bucket_sets
+
+    r = random.Random(8)
+    rows = [(1, "x", list("abcdefgh")), (2, "x", ["c"]), (3, "y", ["c"]), (4, "x", []), (5, "x", None), (6, "y", list("cd"))]
+    rows += [(i, r.choice("xy"), sorted(r.sample("abcdefghijklmnop", r.randint(1, 9)))) for i in range(7, 120)] + [(120, "y", [])]
+    kept = []
+    for i, lang, t in rows:
+        t = set(t or [])
+        if not any(k == lang and t and s and (t <= s or s <= t or len(t & s) / len(t | s) > 0.5) for _, k, s in kept):
+            kept.append((i, lang, t))
+    df = spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")
+    got = sorted(x.id for x in first_kept(df).collect())
+    assert got == [k[0] for k in kept] and {1, 3, 4, 5, 120} <= set(got) and not {2, 6} & set(got)
+    assert {(4, 4), (5, 5), (120, 120)} <= {(x.bucket, x.id) for x in topic_bucket_sets(df).collect()}
+
+
 def test_replaced_slots_against_a_plain_fold(spark):
     from newsloom.plans.dedup import replaced_slots
 
