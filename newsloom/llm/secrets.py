@@ -5,14 +5,18 @@ they find (the labels are the kinds) one probabilistic automaton a kind is infer
 the values form a prefix tree with counts, and states are merged, in breadth-first
 order, when their end and symbol frequencies agree under a Hoeffding bound all the
 way down (ALERGIA). A further automaton is inferred from ordinary long tokens. Every
-long token outside the base spans is a candidate; it becomes a span of the kind whose
+long token outside the base spans is a candidate, also what they leave of a run that
+touches them; long are ``LONG`` characters, or as many as the shortest value learnt
+from, if that is shorter. A candidate becomes a span of the kind whose
 automaton explains it best, when that is at least ``MARGIN`` nats better than the
 ordinary tokens' (and than plain digits or letters of one case, so that numbers and
 words stay out) and as likely per symbol as nearly all values learnt from.
 
 Plan: one map over the texts writes base spans and candidates; training takes the
 ``SAMPLE`` distinct values of each kind with the smallest hashes (the bound of what
-reaches the driver); a second map scores all stored candidates. No text is shuffled.
+reaches the driver); a second map scores all stored candidates. Where a learnt value is shorter than
+``LONG``, candidates are taken from the texts again, for the sample and for the scores,
+and not stored. No text is shuffled.
 
 Edge cases: a null text is an empty one without spans; positions are code points,
 ends exclusive; a kind without labelled values learns nothing and adds nothing;
@@ -21,6 +25,7 @@ rows stand alone, so ties, repeated rows and extra columns change nothing.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -44,7 +49,10 @@ def _any_case(word: str) -> str:
 ASSIGN = re.compile("(" + "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no match
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+RUN = "[A-Za-z0-9+/_.=-]{%d,}"
+#: Tokens this long are always candidates; shorter ones where a base value is as short (6 at least).
+LONG = 16
+GLUE = "./=-"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -59,9 +67,23 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long tokens that touch no base span."""
-    return [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text) if not any(m.start() < e and s < m.end() for _, s, e, _ in base)]
+def candidates(text: str, base: list[tuple[str, int, int, str]], least: int = LONG) -> list[tuple[int, int, str]]:
+    """Long tokens outside the base spans: of a run that touches some, what they leave of it."""
+    out = []
+    for m in re.finditer(RUN % least, text):
+        at = m.start()
+        for _, s, e, _ in [*base, (None, m.end(), m.end(), None)]:
+            if e <= at and s < m.end() or s > m.end():
+                continue
+            a, b = at, max(at, s)  # separators next to a base span are no part of a token
+            while a < b and a > m.start() and text[a] in GLUE:
+                a += 1
+            while a < b and b < m.end() and text[b - 1] in GLUE:
+                b -= 1
+            if b - a >= least:
+                out.append((a, b, text[a:b]))
+            at = max(at, e)
+    return out
 
 
 class Automaton:
@@ -167,8 +189,8 @@ SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop"
 SPAN_DDL = "array<struct<kind: string, start: long, stop: long, value: string>>"
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base, candidates: one map over the texts, stored."""
+def scan(docs: DataFrame, least: int = LONG) -> DataFrame:
+    """doc_id, base, candidates: one map over the texts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,17 +201,17 @@ def scan(docs: DataFrame) -> DataFrame:
                 text = value.as_py() or ""
                 spans = base_spans(text)
                 base.append(named(spans))
-                cand.append(named([(None, *c) for c in candidates(text, spans)]))
+                cand.append(named([(None, *c) for c in candidates(text, spans, least)]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(base, SPAN), pa.array(cand, SPAN)], names=["doc_id", "base", "candidates"])
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, base {SPAN_DDL}, candidates {SPAN_DDL}"), "secret-scan")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, base {SPAN_DDL}, candidates {SPAN_DDL}")
 
 
-def learn(scanned: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, Automaton], Automaton | None]:
-    """An automaton for each kind, and one of ordinary tokens, from bounded samples."""
+def learn(scanned: DataFrame, sample: int = SAMPLE, tokens: DataFrame | None = None) -> tuple[dict[str, Automaton], Automaton | None]:
+    """An automaton for each kind, and one of ordinary tokens (of ``tokens``, if given), from bounded samples."""
 
     def values(column: str, kind: str | None = None) -> list[str]:
-        rows = scanned.select(F.explode(column).alias("s")).select("s.kind", "s.value")
+        rows = (scanned if kind or tokens is None else tokens).select(F.explode(column).alias("s")).select("s.kind", "s.value")
         rows = rows if kind is None else rows.where(F.col("kind") == kind)
         rows = rows.select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
         return [r[0] for r in rows.collect()]
@@ -201,24 +223,27 @@ def learn(scanned: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, Automaton
 
 def find_secrets(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
-    scanned = scan(docs)
-    model = learn(scanned, sample)
+    scanned = stored(scan(docs), "secret-scan")
+    least = scanned.select(F.explode("base.value").alias("v")).agg(F.min(F.length("v"))).first()[0] or LONG
+    tokens = scanned if least >= LONG else scan(docs, least)  # not stored: short tokens are a large part of the text
+    model = learn(scanned, sample, tokens)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind_of = functools.lru_cache(1 << 16)(lambda value: added_span(value, *model))
         text = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))))
         for b in batches:
             counts, sha, spans = [], [], []
             for base, cand in zip(b.column("base").to_pylist(), b.column("candidates").to_pylist(), strict=True):
                 own = [(s["kind"], s["start"], s["stop"]) for s in base]
-                more = [(k, s["start"], s["stop"]) for s in cand if (k := added_span(s["value"], *model))]
+                more = [(k, s["start"], s["stop"]) for s in cand if (k := kind_of(s["value"]))]
                 counts.append([sum(s[0] == k for s in own) for k in KINDS])
                 sha.append(hashlib.sha256(text(own).encode()).hexdigest())
                 spans.append(text(own + more))
             columns = [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, pa.array(sha, pa.string()), pa.array(spans, pa.string())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return scanned.mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return tokens.mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
