@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import cosine, jaccard
-from newsloom.operators.store import stored
+from newsloom.operators.store import discard, stored
 
 
 def set_classes(rows: DataFrame, block: str | None = None, ids: bool = False) -> DataFrame:
@@ -137,7 +137,9 @@ def keep_first_greedy(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         seen = edges.join(state.select(F.col("id").alias("a"), F.col("state").alias("sa")), "a")
         by = seen.groupBy("b").agg(F.max((F.col("sa") == "kept").cast("int")).alias("hit"), F.max((F.col("sa") == "open").cast("int")).alias("wait"))
         new = F.when(F.col("state") != "open", F.col("state")).when(F.col("hit") == 1, "dropped").when(F.col("wait") == 0, "kept").otherwise("open")
-        state = stored(state.join(by, F.col("id") == F.col("b"), "left").select("id", new.alias("state")), "greedy")
+        after = stored(state.join(by, F.col("id") == F.col("b"), "left").select("id", new.alias("state")), "greedy")
+        discard(state)
+        state = after
     return state
 
 
@@ -157,8 +159,11 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(label.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
         low = stored(label.join(near, F.col("id") == F.col("a")).select("id", F.least("comp", "m").alias("comp")), "labels")
         up = low.select(F.col("id").alias("up"), F.col("comp").alias("top"))
+        discard(label)
         label = stored(low.join(up, F.col("comp") == F.col("up")).select("id", F.least("comp", "top").alias("comp")), "labels")
+        discard(low)
         before, now = now, total(label)
+    discard(both)
     return label
 
 

@@ -24,7 +24,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: the lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables whose readers have been written; others are left alone."""
+    for t in tables:
+        at = getattr(t, "stored_at", None)
+        if at:
+            context = t.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
