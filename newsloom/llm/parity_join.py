@@ -4,51 +4,64 @@ A document's set holds the hashes of its distinct k-word shingles. A parity sket
 has a bit for each hash cell and every shingle flips one, so the Hamming distance of
 two sketches is at most the size of the symmetric difference of the sets.
 
-1. Bands. Sizes fall into bands whose bounds grow by den / num: linked sets lie in the
-   same or in neighbouring bands, and meet in the band of the larger one, where at most
-   ``d`` shingles can differ (a Jaccard of t bounds the difference by (1-t)/(1+t) of
-   the sizes' sum).
-2. Pigeonhole. The band's wide sketch is cut into B > d blocks; each block is named by
-   the XOR of random codes of its odd bits. Linked sets agree in at least B - d
-   blocks, so they meet in a key (band, block, name). A set gives its filled blocks, and
-   its empty ones only if no more than d are filled (a linked pair then still agrees
-   in a block that both give).
-3. Hot keys. A key of more than ``HOT`` sets is hot. A set with more than d keys that
-   are filled and not hot meets each partner in one of those, so its hot keys are
-   dropped without loss; common passages and frequent words go this way.
-4. Verification. In each key every set is compared with the key's smallest id (a star,
-   not all pairs), and links give components. Sets of keys that still hold several
-   components are compared across components, if they share one of their rarest
-   shingles (prefix filter, exact). A pair is first held against the Hamming distance of
-   compact sketches and then, if it may link, against the whole sets.
+1. Bands. Bounds of the size bands double. Two sets meet in the band of the larger one,
+   so a set gives keys for its own band and, if a partner may lie there, for the next.
+   ``D`` is the most shingles by which a set can differ from a partner there (a Jaccard
+   of t bounds the difference by (1-t)/(1+t) of the sizes' sum).
+2. Pigeonhole. The band's wide sketch is cut into B > D blocks; a block is named by
+   the XOR of random codes of its odd bits. Linked sets agree in at least B - D blocks.
+   All sets order their blocks alike, fullest first (equal names hold equally many
+   shingles), then by name. Of two linked sets each has at most D blocks that the other
+   lacks, so the first 1 + s common blocks are among the first D + 1 + s of both: a set
+   gives just these as keys. Blocks of one shingle or none, in which sets agree by a
+   shared word, come last and are hardly ever given.
+3. Hot keys. A key of more than ``HOT`` sets is hot. Of the 1 + s common keys one is not
+   hot if one of the sets has at most s hot ones: such a set's hot keys are dropped
+   without loss; common passages and frequent words go this way. A key that is
+   frequent within one slice of a task is counted there and crosses the shuffle once,
+   its members are spread by key and id.
+4. Verification. In each key every set is compared with a leader (a star, not all pairs):
+   the smallest id, in hot keys also the set with the most hot keys. Links give
+   components. Keys that still hold several components are settled across these: pairs
+   of small ones (HOT sets at most) are joined; in hot ones the sets outside the largest
+   component are held against all others, tile by tile, by wider sketches, and only
+   pairs that may link become rows. Every pair is first held against the Hamming
+   distance of sketches and then, if it may link, against the whole sets.
 
 Sets that are equal are one node (groups by a 128-bit sum of the hashes), so copies
 never form pairs. Components come from label propagation with pointer jumping over
-tables in the shared folder; nothing but counts reaches the driver.
+tables in the shared folder; nothing but counts reaches the driver. Tables go once what
+reads them is written.
 
 Edge cases: null and texts without words have no set, and each is its own component;
-fewer than k words make one shingle of all; null ids carry no links but the class of
-their set; rows with the same id are one document with all its texts; extra columns
-are not read. Shingles and words are compared by 64-bit hashes.
+fewer than k words make one shingle of all; very long texts are cut into shingles whole,
+one text at a time; null ids carry no links but the class of their set; rows with the
+same id are one document with all its texts; extra columns are not read. Ids must be
+whole numbers. Shingles and words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators.similarity import components
+from newsloom.operators.store import discard
 
 from .common import flat_words, slices, stored, table
 
 HOT = 20
+#: Ids are broadcast up to this number (8 bytes each), beyond it they are joined.
+BROADCAST_IDS = 1_000_000
+#: Sets on either side of a tile of a hot key.
+TILE = 2000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -83,54 +96,46 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 class Bands:
-    """Bounds, differences and block counts of the size bands for Jaccard >= num / den."""
+    """Size bands for Jaccard >= num / den: differences, blocks and keys."""
 
-    def __init__(self, num: int, den: int, largest: int = 1 << 40) -> None:
+    def __init__(self, num: int, den: int) -> None:
         self.num, self.den = num, den
-        self.upper = [1]
-        while self.upper[-1] < largest:
-            self.upper.append(max(self.upper[-1] + 1, self.upper[-1] * den // num))
-
-    def band(self, size: int) -> int:
-        return int(np.searchsorted(self.upper, size))
-
-    @functools.cache  # noqa: B019
-    def blocks(self, band: int) -> tuple[int, int]:
-        """(d, B): most differing shingles in the band, and blocks of its sketch. B is the
-        least number that leaves sets of the band's least size over d filled blocks
-        with two standard deviations to spare, or else the number that spares most."""
-        most = self.upper[band]
-        least = self.upper[band - 2] + 1 if band >= 2 else 1
-        d = 2 * most * (self.den - self.num) // (self.den + self.num)
-        best, spare = d + 1, -math.inf
-        for b in range(d + 1, 3 * d + 5):
-            p, q = math.exp(least * math.log1p(-1 / b)) if b > 1 else 0.0, math.exp(least * math.log1p(-2 / b)) if b > 2 else 0.0
-            sd = math.sqrt(max(b * (b - 1) * q + b * p - (b * p) ** 2, 1e-12))
-            z = (b * (1 - p) - d - 0.5) / max(sd, 0.25)
-            if z > spare:
-                best, spare = b, z
-            if z >= 2:
-                break
-        return d, best
+
+    def most(self, sizes: int) -> int:
+        """The most shingles that linked sets of that many shingles together can differ in."""
+        return sizes * (self.den - self.num) // (self.den + self.num)
+
+    def blocks(self, band: int) -> int:
+        """A third more than the largest difference in the band, so that poor blocks can stay out."""
+        return 4 * (self.most(2 << band) + 1) // 3 + 2
+
+    def meetings(self, n: int) -> list[tuple[int, int]]:
+        """(band, D): where a set of n shingles meets partners, and how far they can differ. Band b ends at 2 ** b."""
+        own, largest = (n - 1).bit_length(), n * self.den // self.num
+        out = [(own, self.most(n + min(largest, 1 << own)))]
+        return out if largest <= 1 << own else [*out, (own + 1, self.most(n + largest))]
 
     def keys(self, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        """For the two bands a set meets partners in: its keys, and how many filled ones it can spare."""
+        """For each band a set meets partners in: its keys, and how many of them may be hot (s)."""
         code = mix(hashes ^ _A)
-        own = self.band(len(hashes))
-        for band in (own, own + 1):
-            d, n = self.blocks(band)
+        for band, d in self.meetings(len(hashes)):
+            n = self.blocks(band)
             block = ((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)  # ascending, as the hashes are
             start = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1))
             filled, names = block[start], np.bitwise_xor.reduceat(code, start)
-            spare = len(filled) - d
-            if spare <= 0:
+            held = np.diff(np.append(start, len(block))).astype(np.uint64)
+            want = max(d + 1, min(len(filled), d + 3 + d // 16))
+            if want > len(filled):
                 empty = np.setdiff1d(np.arange(n, dtype=np.uint64), filled)
-                filled, names = np.concatenate((filled, empty)), np.concatenate((names, np.zeros(len(empty), np.uint64)))
-            yield mix(names ^ mix(filled + np.uint64(band << 40))).view(np.int64), spare
-
-    def sketch(self, hashes: np.ndarray) -> bytes:
-        """A compact parity sketch: a power of two of bits, at least four for each shingle that may differ."""
-        bits = 1 << max(6, math.ceil(math.log2(1 + 8 * len(hashes) * (self.den - self.num) / (self.den + self.num))))
+                filled = np.concatenate((filled, empty))
+                names, held = (np.concatenate((x, np.zeros(len(empty), np.uint64))) for x in (names, held))
+            key = mix(names ^ mix(filled + np.uint64(band << 40)))
+            first = np.argsort(((np.uint64((1 << 16) - 1) - np.minimum(held, np.uint64(65535))) << np.uint64(48)) | (key >> np.uint64(16)))[:want]
+            yield key[first].view(np.int64), want - d - 1
+
+    def sketch(self, hashes: np.ndarray, width: int = 4) -> bytes:
+        """A parity sketch: a power of two of bits, at least ``width`` for each shingle that may differ."""
+        bits = 1 << max(6, (width * self.most(2 * len(hashes))).bit_length())
         odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
         return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -165,34 +170,50 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n long, s1 long, s2 long, sketch binary")
 
 
-def _keys(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """key, id, spare; of equal sets in a batch the first row speaks for all."""
+def _keys(docs: DataFrame, k: int, num: int, den: int, hot: int) -> DataFrame:
+    """r, key, id, slot, one row a key of a set; of equal sets in a batch the first row speaks for all.
+
+    Rows of a key meet at r. Where a slice holds a key in more than ``hot`` sets, its rows are
+    spread (r of key and id, key given) and one row more, of slot -n, counts them at the key.
+    slot is 64 * s + a tag of the band.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = bands(num, den)
         for b in batches:
             for part in slices(b, "text", 4 << 20):
-                keys, ids, spare, seen = [], [], [], set()
+                keys, ids, slots, seen = [], [], [], set()
                 for doc_id, h in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), k), strict=True):
                     if not len(h) or doc_id is None or (name := xxhash.xxh3_128_digest(h.tobytes())) in seen:
                         continue
                     seen.add(name)
-                    for key, rest in of.keys(h):
+                    for tag, (key, spare) in enumerate(of.keys(h)):
                         keys.append(key)
                         ids.append(np.full(len(key), doc_id, np.int64))
-                        spare.append(np.full(len(key), rest, np.int32))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ids, spare)], names=["key", "id", "spare"])
+                        slots.append(np.full(len(key), 64 * spare + tag, np.int32))
+                if not keys:
+                    continue
+                key, doc, slot = (np.concatenate(x) for x in (keys, ids, slots))
+                values, first, where, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+                many = np.flatnonzero(count > hot)
+                spread = (count > hot)[where]
+                r = np.where(spread, mix(key.view(np.uint64) ^ mix(doc.view(np.uint64))).view(np.int64), key)
+                no_key = np.concatenate((~spread, np.ones(len(many), bool)))
+                out = [np.concatenate(x) for x in ((r, values[many]), (key, values[many]), (doc, doc[first[many]]), (slot, -count[many].astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1], mask=no_key), pa.array(out[2]), pa.array(out[3])], names=["r", "key", "id", "slot"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "key long, id long, spare int")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "r long, key long, id long, slot int")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """id, hashes of the listed ids (a stored table)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices(b, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([h.view(np.int64) for h in shingle_sets(part.column("text"), k)], pa.list_(pa.int64()))], names=["id", "hashes"])
 
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, hashes array<long>")
 
 
@@ -226,30 +247,98 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return with_a.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _rare_partners(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """rows: id, hashes, comp. Pairs of different components that may link: a, b.
+def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs that link, as a stored table."""
+    possible = stored(_possible(pairs, nodes, num, den), "possible")
+    ids = stored(possible.select(F.col("a").alias("id")).union(possible.select("b")).distinct(), "possible-ids")
+    sets = stored(_sets(docs, ids, k), "sets")
+    out = stored(_verified(possible, sets, num, den), "links")
+    discard(possible, ids, sets)
+    return out
+
+
+def _meetings(keys: DataFrame, copies: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """key, id, heat (hot keys of the set there; 0 in others) where sets meet; key, n, leader, second of each key.
 
-    With shingles ordered from rare to frequent, linked sets of n shingles share one of
-    their first n - ceil(t * n) + 1. Shingles of one set alone come first and join
-    nothing, so a set with enough of its own takes no part, however many passages it
-    shares with others. A shared shingle counts only where enough shingles are left
-    from it on in both sets (positional filter).
+    Both are stored tables. Hot keys of sets that can spare them are left out.
     """
-    each = rows.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    each = each.join(shared, "h")
-    by_id = Window.partitionBy("id")
-    alone = F.col("n") - F.count(F.lit(1)).over(by_id)
-    nth = F.row_number().over(by_id.orderBy("df", "h"))
-    most = F.col("n") - F.ceil(F.col("n") * num / den - 1e-9) + 1
-    first = each.withColumn("alone", alone).where(F.col("alone") < most).withColumn("nth", F.col("alone") + nth).where(F.col("nth") <= most)
-    first = stored(first.select("h", "id", "comp", "n", (F.col("n") - F.col("nth") + 1).alias("left")), "rare-shingles")
-    mixed = first.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("h")
-    first = first.join(mixed, "h", "left_semi")
-    a, b = (first.select("h", F.col("id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("left").alias(f"l{x}")) for x in "ab")
-    # All that the two share lies at or after their first common shingle.
-    enough = F.least("la", "lb") * (num + den) >= (F.col("na") + F.col("nb")) * num
-    return a.join(b, "h").where("a < b and ca <> cb").where(enough).select("a", "b").distinct()
+    at = Window.partitionBy("r")
+    met = F.sum(F.when(F.col("slot") < 0, -F.col("slot")).otherwise(1)).over(at)
+    shared = keys.withColumn("met", met).where("key is not null or (met > 1 and slot >= 0)").select(F.coalesce("key", "r").alias("key"), "id", "slot")
+    # Copies of a set stand behind their class; those of one batch gave their keys once.
+    shared = stored(shared, "shared-keys")
+    members = stored(shared.join(copies, "id", "left").select("key", F.coalesce("rep", "id").alias("id"), "slot").distinct(), "members")
+    discard(shared)
+    size = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader")).where("n > 1"), "key-sizes")
+    few = members.join(size.where(F.col("n") <= hot).select("key"), "key").select("key", "id", F.lit(0).cast("long").alias("heat"))
+    many = stored(members.join(size.where(F.col("n") > hot).select("key"), "key"), "hot-keys")
+    heat = many.groupBy("id", "slot").agg(F.count(F.lit(1)).alias("heat")).where("heat > shiftright(slot, 6)")
+    meetings = stored(few.unionByName(many.join(heat, ["id", "slot"]).select("key", "id", "heat")), "meetings")
+    discard(members, many, size)
+    keys = meetings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader"), F.max(F.struct("heat", F.negate("id").alias("id"))).alias("top"))
+    return meetings, stored(keys.where("n > 1").select("key", "n", "leader", F.when(F.col("top.heat") > 0, -F.col("top.id")).alias("second")), "meeting-keys")
+
+
+def _mixed(meetings: DataFrame, keys: DataFrame, comp: DataFrame) -> DataFrame:
+    """key, id, n, comp of the keys that hold several components, as a stored table."""
+    placed = stored(meetings.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp")), "placed")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    out = stored(placed.join(mixed.join(keys.select("key", "n"), "key"), "key"), "mixed")
+    discard(placed)
+    return out
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    """Pairs a < b of different components in one small key."""
+    a, b = (mixed.select("key", F.col("id").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab")
+    return a.join(b, "key").where("a < b and ca <> cb").select("a", "b").distinct()
+
+
+def _across_hot(mixed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs a < b of different components in one hot key that may link, as a stored table.
+
+    The sets outside a key's largest component meet all its sets in tiles; a tile pair
+    is one group, whose sketches are compared as matrices.
+    """
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = bands(num, den)
+        for b in batches:
+            h = [x.values.to_numpy().view(np.uint64) for x in b.column("hashes")]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(x) for x in h], pa.int64()), pa.array([of.sketch(x, 24) for x in h], pa.binary())], names=["id", "size", "sketch"])
+
+    def compare(p: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        lengths = p["sketch"].map(len).to_numpy()
+        parts = [(side, n, p[(p["side"] == side).to_numpy() & (lengths == n)]) for side in (0, 1) for n in np.unique(lengths)]
+        for _, n, x in parts[: len(parts) // 2]:
+            for _, m, y in parts[len(parts) // 2 :]:
+                if len(x) and len(y):
+                    low = min(n, m)
+                    a, b = (np.bitwise_xor.reduce(np.frombuffer(b"".join(z["sketch"]), np.uint64).reshape(len(z), -1, low // 8), axis=1) for z in (x, y))
+                    for at in range(0, len(a), 64):
+                        rows = x.iloc[at : at + 64]
+                        sizes, others = rows["size"].to_numpy()[:, None], y["size"].to_numpy()[None, :]
+                        near = (sizes + others) * (den - num) >= np.bitwise_count(a[at : at + 64, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64) * (num + den)
+                        near &= (np.minimum(sizes, others) * den >= np.maximum(sizes, others) * num) & (rows["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :])
+                        i, j = np.nonzero(near)
+                        u, v = rows["id"].to_numpy()[i], y["id"].to_numpy()[j]
+                        found.append(np.stack((np.minimum(u, v), np.maximum(u, v)), 1))
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
+
+    ids = stored(mixed.select("id").distinct(), "hot-ids")
+    wide = stored(_sets(docs, ids, k).mapInArrow(sketches, "id long, size long, sketch binary"), "wide-sketches")
+    held = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("comp", "m").alias("largest"), F.sum("m").alias("all"), F.max("m").alias("most"))
+    held = held.select("key", "largest", F.ceil((F.col("all") - F.col("most")) / TILE).alias("rows"), F.ceil(F.col("all") / TILE).alias("columns"))
+    rows = stored(mixed.select("key", "id", "comp").join(held, "key"), "hot-tiles")
+    tile = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    a = rows.where("comp <> largest").select("key", tile("rows").alias("i"), every("columns").alias("j"), "id", "comp", F.lit(0).alias("side"))
+    b = rows.select("key", tile("columns").alias("j"), every("rows").alias("i"), "id", "comp", F.lit(1).alias("side"))
+    met = a.unionByName(b).join(wide, "id").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+    out = stored(met.distinct(), "hot-pairs")
+    discard(ids, wide, rows)
+    return out
 
 
 def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int = HOT) -> DataFrame:
@@ -258,35 +347,30 @@ def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int =
     sets_of = stored(signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")), "set-classes")
     copies = signed.where("n > 0").join(sets_of.where("copies > 1").select("n", "s1", "s2", "rep"), ["n", "s1", "s2"]).where("doc_id <> rep")
     copies = stored(copies.select(F.col("doc_id").cast("long").alias("id"), F.col("rep").cast("long").alias("rep")).distinct(), "copies")
-    nodes = stored(sets_of.where("rep is not null").select(F.col("rep").cast("long").alias("id"), "n", "sketch"), "nodes")
+    nodes = sets_of.where("rep is not null").select(F.col("rep").cast("long").alias("id"), "n", "sketch")
 
-    by_key = Window.partitionBy("key")
-    many = _keys(docs, k, num, den).withColumn("sharers", F.count(F.lit(1)).over(by_key)).where("sharers > 1").select("key", "id", "spare")
-    # Copies of a set stand behind their class; those of one batch gave their keys once.
-    many = many.join(copies, "id", "left").select("key", F.coalesce("rep", "id").alias("id"), "spare").distinct()
-    counted = many.withColumn("sharers", F.count(F.lit(1)).over(by_key)).where("sharers > 1")
-    counted = stored(counted.withColumn("leader", F.min("id").over(by_key)), "counted-keys")
-    heat = counted.where(F.col("sharers") > hot).groupBy("id", "spare").agg(F.count(F.lit(1)).alias("heat")).where("heat >= spare").select("id", "spare")
-    few = counted.where(F.col("sharers") <= hot)
-    rest = counted.where(F.col("sharers") > hot).join(stored(heat, "hot-only"), ["id", "spare"], "left_semi")
-    met = stored(few.unionByName(rest.withColumn("leader", F.min("id").over(by_key)).select(*few.columns)).select("key", "id", "leader"), "meetings")
-
-    sets = stored(_sets(docs, met.select("id").union(met.select("leader")).distinct(), k), "sets")
-    stars = met.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(_verified(stored(_possible(stars, nodes, num, den), "possible"), sets, num, den), "links")
+    meetings, keys = _meetings(_keys(docs, k, num, den, hot), copies, hot)
+    led = meetings.join(keys, "key")
+    pair = lambda leader: led.where(F.col("id") != F.col(leader)).select(F.least("id", leader).alias("a"), F.greatest("id", leader).alias("b"))
+    past = stored(pair("leader").union(pair("second")).distinct(), "stars")
+    links = _linked(past, docs, nodes, k, num, den)
     comp = components(links)
 
-    # Sets of keys that the stars left in different components.
-    placed = stored(met.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp")), "placed-keys")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    left = stored(placed.join(mixed, "key", "left_semi").select("id", "comp").distinct(), "mixed-sets")
-    pairs = _rare_partners(sets.join(left, "id"), num, den).join(stars, ["a", "b"], "left_anti")
-    more = stored(_verified(stored(_possible(pairs, nodes, num, den), "possible"), sets, num, den), "links")
-    if not more.isEmpty():
-        comp = components(links.union(more))
-
+    # Keys that the stars left with several components: small ones, then what is left of the hot ones.
+    for settle in (lambda m: _across(m.where(F.col("n") <= hot)), lambda m: _across_hot(m.where(F.col("n") > hot), docs, k, num, den)):
+        mixed = _mixed(meetings, keys, comp)
+        pairs = settle(mixed)
+        more = _linked(pairs.join(past, ["a", "b"], "left_anti"), docs, nodes, k, num, den)
+        discard(mixed, pairs)
+        if not more.isEmpty():
+            both = stored(links.union(more), "links")
+            discard(links, comp)
+            links, comp = both, components(both)
+        discard(more)
     known = sets_of.join(comp, F.col("rep") == F.col("id"), "left").select("n", "s1", "s2", F.coalesce("comp", "rep").alias("component_id"))
-    found = signed.join(stored(known, "class-components"), ["n", "s1", "s2"], "left")
+    known = stored(known, "class-components")
+    discard(meetings, keys, past, links, comp, copies, sets_of)
+    found = signed.join(known, ["n", "s1", "s2"], "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

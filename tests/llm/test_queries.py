@@ -125,3 +125,26 @@ def test_op10_edited_copies_of_all_sizes(spark):
     for k, num, den, hot in ((3, 9, 10, 20), (3, 8, 10, 3)):
         got = {x.doc_id: (x.n_shingles, x.component_id) for x in parity_join.classes(df, k, num, den, hot).collect()}
         assert got == brute_components(rows, k, num, den)
+
+
+def test_op10_shared_passages_and_large_groups(spark):
+    """Half the documents hold one passage, some little else; a large group of edited copies, some linked only by way of others."""
+    import random
+
+    r = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    own = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    rows = [own(r.randrange(60, 150)) + (passage if i % 2 else []) for i in range(400)]
+    rows += [passage + own(r.randrange(5, 30)) for _ in range(120)]
+    base = own(150)
+    for i in range(150):
+        words = list(base)
+        for _ in range(i % 6):
+            words[r.randrange(len(words))] = f"u{r.randrange(10**6)}"
+        rows.append(words)
+    r.shuffle(rows)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for hot in (20, 3):
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in parity_join.classes(df, 5, 8, 10, hot).collect()}
+        assert got == brute_components(rows, 5, 8, 10)
