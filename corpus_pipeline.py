@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.llm import exact_dedup, mixing, parity_join, prefix_table, toxicity
 from newsloom.llm.common import stored, table
+from newsloom.operators.store import discard
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
+    """All stages over documents, each written and read again; a stage's input goes once its output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
