@@ -16,6 +16,8 @@ from newsloom.operators.store import shared_dir, stored  # noqa: F401
 #: The white space of every contract: space and \t \n \v \f \r.
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Stored tables of narrow rows (ids, hashes) are broadcast up to this number of rows, beyond it they are joined.
+BROADCAST_ROWS = 1_000_000
 #: Texts that a task works on at once, in bytes (a single longer text is one slice).
 SLICE_BYTES = 8 << 20
 
@@ -28,6 +30,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded(narrow: DataFrame) -> DataFrame:
+    """A stored table of narrow rows, to be broadcast if its counted size allows it."""
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str | Column = "text") -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.coalesce(c, F.lit(""))

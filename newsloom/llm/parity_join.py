@@ -55,11 +55,9 @@ from pyspark.sql import functions as F
 from newsloom.operators.similarity import components
 from newsloom.operators.store import discard
 
-from .common import flat_words, slices, stored, table
+from .common import bounded, flat_words, slices, stored, table
 
 HOT = 20
-#: Ids are broadcast up to this number (8 bytes each), beyond it they are joined.
-BROADCAST_IDS = 1_000_000
 #: Sets on either side of a tile of a hot key.
 TILE = 2000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -213,8 +211,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             for part in slices(b, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([h.view(np.int64) for h in shingle_sets(part.column("text"), k)], pa.list_(pa.int64()))], names=["id", "hashes"])
 
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, hashes array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(bounded(ids), "id", "left_semi").mapInArrow(run, "id long, hashes array<long>")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -377,7 +374,7 @@ def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int =
 def keep_one(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """The rows of docs that stay: of each group the document with the smallest id."""
     gone = classes(docs.select("doc_id", "text"), k, num, den).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stored(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(bounded(stored(gone, "near-copies")), "doc_id", "left_anti").select(*docs.columns)
 
 
 def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
