@@ -8,18 +8,20 @@ joined text. Matches come from an automaton (a trie of the reversed pieces, walk
 backwards from every place), and pair tests walk down the merge trees of the two
 tokens over the times at which their edges lie next to each other.
 
-All of it runs in numpy over the distinct chunks of a batch at once: pieces hold a
-blank mark only at their start, so a text is cut before each blank that follows
-something else, and equal chunks are encoded once. Chunks with runs of blanks
-(whose pieces tie in score) and models whose merge ranks do not grow along their
-trees are merged step by step instead, by the definition of BPE.
+Pieces hold blank marks only at their start, so a text is cut before each blank that
+follows something else, and equal chunks are encoded once. Chunks of usual length run in
+numpy, many at once; longer ones (runs of blanks, texts without blanks) go place by
+place through the same table with remembered pair tests, in time proportional to their
+length. Models whose merge ranks do not grow along their trees are refused.
 
 The model's file is a parameter, read on the executors; nothing is trained. Byte
 fallback spells characters that are no piece. Decoding joins the pieces' bytes,
 turns marks into blanks and drops the blank that encoding put in front.
 
-Edge cases: a null text is an empty one and gives begin and end id only; each row
-is encoded by itself, so ties, repeated rows and extra columns change nothing.
+Edge cases: a null text is an empty one and gives begin and end id only; very long
+texts are encoded whole, whatever blanks they have (a million blanks, or characters
+without a blank, take seconds); each row is encoded by itself, so ties and repeated rows
+change nothing; ``encode`` replaces a column of the name it writes, other columns pass.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ from .common import expand, slices, table
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 _NONE = np.iinfo(np.int64).max
+#: Chunks longer than this go place by place; shorter ones in numpy, about so many characters at once.
+LONG, AT_ONCE = 1000, 1 << 18
 
 
 def vocabulary_path(name: str) -> str:
@@ -87,22 +91,12 @@ class PrefixTable:
         self._build_trees()
         self._build_automaton()
 
-    def merge(self, text: str) -> list[str]:
-        """BPE by its definition: the best-ranked pair first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = min(((self.rank_of.get(a + b, _NONE), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))))
-            if best[0] == _NONE:
-                break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        return parts
-
     def _build_trees(self) -> None:
         """The two halves of each piece's last merge, and the rank of every pair that can merge."""
         n = self.size
         self.rank, self.left, self.right = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         self.usable = np.zeros(n, bool)
-        self.ordered = True
+        ordered = True
         pairs = []
         for s, i in sorted(self.id_of.items(), key=lambda x: len(x[0])):
             self.rank[i] = self.rank_of[s]
@@ -110,11 +104,13 @@ class PrefixTable:
             pairs += [(a, b, self.rank[i]) for a, b in halves if a is not None and b is not None]
             if len(s) == 1:
                 self.usable[i] = True
-            elif MARK * 2 not in s:
+            else:
                 last = self._last_merge(s)
                 if last is not None:
                     self.usable[i], (self.left[i], self.right[i]) = True, last
-                    self.ordered &= bool(self.rank[i] > max(self.rank[last[0]], self.rank[last[1]]))
+                    ordered &= bool(self.rank[i] > max(self.rank[last[0]], self.rank[last[1]]))
+        if not ordered:
+            raise ValueError("only models whose merge ranks grow along their trees")
         key = np.array([a << 32 | b for a, b, _ in pairs], np.int64)
         at = np.argsort(key)
         self.pair_key, self.pair_rank = key[at], np.array([r for _, _, r in pairs], np.int64)[at]
@@ -178,44 +174,89 @@ class PrefixTable:
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all chunks (marks in place of blanks) and their offsets."""
-        by_hand = [i for i, c in enumerate(chunks) if MARK * 2 in c or not self.ordered]
-        hand = {i: self._spell(self.merge(chunks[i])) for i in by_hand}
-        text = "".join(chunks)
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         size = np.array([len(c) for c in chunks], np.int64)
-        start = np.cumsum(size) - size
-        token, length = self._prefix_tokens(code, start, size, np.array([i not in hand for i in range(len(chunks))], bool) if hand else np.ones(len(chunks), bool))
-        # Backwards: the last place of every chunk, then the one before its last token.
-        here = np.where(size > 0, start + size - 1, -1)
-        if hand:
-            here[by_hand] = -1
-        which, steps, back = np.flatnonzero(here >= 0), [], 0
-        here = here[which]
+        many = np.flatnonzero(size <= LONG)
+        group = np.cumsum(size[many]) // AT_ONCE
+        parts = [(many[group == g], None) for g in np.unique(group)] + [(np.array([i]), chunks[i]) for i in np.flatnonzero(size > LONG)]
+        ids, owners = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for at, long in parts:
+            text = long if long is not None else "".join([chunks[i] for i in at])
+            code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            start = np.cumsum(size[at]) - size[at]
+            token, length = self._prefix_tokens(code, start, size[at]) if long is None else self._long_tokens(code)
+            which, place = self._backwards(start, size[at], length)
+            own, per = self._to_ids(token[place], code[place])
+            ids.append(own)
+            owners.append(np.repeat(at[which], per))
+        ids, owners = np.concatenate(ids), np.concatenate(owners)
+        order = np.argsort(owners, kind="stable")
+        return ids[order], np.concatenate(([0], np.cumsum(np.bincount(owners, minlength=len(chunks)))))
+
+    def _backwards(self, start: np.ndarray, size: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places where tokens end, chunk by chunk in order: the last place of each, then the one before its token."""
+        if len(size) == 1:
+            places, at = [], int(size[0]) - 1
+            steps = length.tolist()
+            while at >= 0:
+                places.append(at)
+                at -= steps[at]
+            return np.zeros(len(places), np.int64), np.array(places[::-1], np.int64)
+        which = np.flatnonzero(size > 0)
+        here, found, back = (start + size - 1)[which], [(which[:0], which[:0], which[:0])], 0
         while len(which):
-            steps.append((which, np.full(len(which), back), here))
+            found.append((which, np.full(len(which), back), here))
             here = here - length[here]
             go = here >= start[which]
             which, here, back = which[go], here[go], back + 1
-        if steps:
-            w, k, at = (np.concatenate(x) for x in zip(*steps, strict=True))
-            order = np.lexsort((-k, w))
-            w, at = w[order], at[order]
-        else:
-            w = at = np.empty(0, np.int64)
-        ids, per = self._to_ids(token[at], code[at])
-        owner = np.repeat(w, per)
-        if hand:
-            extra = np.concatenate([h for h in hand.values()])
-            owner = np.concatenate((owner, np.repeat(list(hand), [len(h) for h in hand.values()])))
-            order = np.argsort(owner, kind="stable")
-            ids, owner = np.concatenate((ids, extra))[order], owner[order]
-        return ids, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(chunks)))))
-
-    def _spell(self, parts: list[str]) -> np.ndarray:
-        out = []
-        for p in parts:
-            out += [self.id_of[p]] if p in self.id_of else self.byte_id[np.frombuffer(p.encode("utf-8", "surrogatepass"), np.uint8)].tolist()
-        return np.array(out, np.int32)
+        w, k, at = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((-k, w))
+        return w[order], at[order]
+
+    @functools.cached_property
+    def _tables(self) -> tuple:
+        """What _long_tokens looks up, as dicts and lists; remembered pair tests last."""
+        edges = dict(zip(self.edge_key.tolist(), self.edge_to.tolist(), strict=True))
+        pairs = dict(zip(self.pair_key.tolist(), self.pair_rank.tolist(), strict=True))
+        return edges, self.accepts.tolist(), pairs, self.rank.tolist(), self.left.tolist(), self.right.tolist(), {}
+
+    def _fits(self, a: int, b: int) -> bool:
+        """compatible() of one pair."""
+        _, _, pairs, rank, left, right, known = self._tables
+        key = a << 32 | b
+        if key not in known:
+            x, y, x_gone, y_gone, ok = a, b, _NONE, _NONE, True
+            while a < self.size and b < self.size and x >= 0 and y >= 0:
+                r, rx, ry = pairs.get(x << 32 | y, _NONE), rank[x], rank[y]
+                if r != _NONE and r < x_gone and r <= y_gone and r > rx and r > ry:
+                    ok = False
+                    break
+                if left[x] < 0 and left[y] < 0:
+                    break
+                if rx >= ry:
+                    x_gone, x = rx, right[x]
+                else:
+                    y_gone, y = ry, left[y]
+            if len(known) >= 1 << 20:
+                known.clear()
+            known[key] = ok
+        return known[key]
+
+    def _long_tokens(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """_prefix_tokens of one long chunk."""
+        edges, accepts = self._tables[:2]
+        codes = code.tolist()
+        token, length = np.zeros(len(codes), np.int64).tolist(), [1] * len(codes)
+        for i, c in enumerate(codes):
+            token[i], state, k, found = self.size + c, 0, 0, []
+            while k <= i and (state := edges.get(state << 21 | codes[i - k])) is not None:
+                if accepts[state] >= 0:
+                    found.append((k, accepts[state]))
+                k += 1
+            for k, t in reversed(found):
+                if k == 0 or k == i or self._fits(token[i - k - 1], t):
+                    token[i], length[i] = t, k + 1
+                    break
+        return np.array(token, np.int64), np.array(length, np.int64)
 
     def _to_ids(self, token: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens to ids: characters that are no piece become their bytes."""
@@ -230,7 +271,7 @@ class PrefixTable:
         ids[at] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         return ids.astype(np.int32), per
 
-    def _prefix_tokens(self, code: np.ndarray, start: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _prefix_tokens(self, code: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every place the last token of the prefix that ends there, and its length."""
         n = len(code)
         offset = np.arange(n) - np.repeat(start, size)
@@ -251,7 +292,7 @@ class PrefixTable:
         token, length = np.full(n, -1, np.int64), np.ones(n, np.int64)
         none = match[0] < 0  # a character that is no piece stands alone
         by_size = np.argsort(-size, kind="stable")
-        by_size = by_size[wanted[by_size] & (size[by_size] > 0)]
+        by_size = by_size[size[by_size] > 0]
         sorted_size = -size[by_size]
         for i in range(int(size[by_size[0]]) if len(by_size) else 0):
             place = start[by_size[: np.searchsorted(sorted_size, -i, side="left")]] + i
@@ -303,7 +344,7 @@ class PrefixTable:
         if self.crossing:
             marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(MARK, pc.replace_substring(texts, " ", MARK), ""))
             return marked, np.ones(len(texts), np.int64)
-        odd = pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " "))).to_numpy(zero_copy_only=False)
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.match_substring(texts, MARK), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))).to_numpy(zero_copy_only=False)
         # Usual texts: every blank starts a chunk. Runs of blanks stay with the word after them.
         lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         parts = pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), lists.values, pa.scalar("", pa.large_string()))
@@ -353,7 +394,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, text):
+            for part in slices(b, text, 4 << 20):
                 ids = [x.astype(np.int32) for x in prefix_table(path).encode(part.column(text))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*part.schema.names, out])
 
@@ -366,7 +407,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, "text"):
+            for part in slices(b, "text", 4 << 20):
                 t = prefix_table(path)
                 n, ids_sha, decoded_sha = [], [], []
                 for ids in t.encode(part.column("text")):

@@ -255,3 +255,22 @@ def test_pipeline_stages(spark):
             assert 0 < out.count() <= docs.count()
         docs = out
     assert docs.count() > n / 2
+
+
+def test_prefix_table_long_and_blank_texts():
+    """A million blanks, or letters without a blank, and runs of blanks of all lengths: the library's ids."""
+    import random
+    import time
+
+    import sentencepiece
+
+    path = prefix_table.vocabulary_path(prefix_table.MODEL)
+    lib, r = sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
+    words = "the of ▁ ▁▁ hello ing 日本 é ß \n x 12 , == ___".split(" ")
+    mixed = ["".join(" " * r.choice([1, 2, 3, 5, 8, 13, 16, 17, 33]) if r.random() < 0.5 else r.choice(words) for _ in range(r.randrange(1, 30))) for _ in range(800)]
+    long = [" " * 1_000_000, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)), "日" * 100_000, " ".join(mixed)]
+    start = time.time()
+    for text, ids in zip([*mixed, *long], prefix_table.prefix_table(path).encode(pa.array([*mixed, *long])), strict=True):
+        assert ids.tolist() == lib.encode(text, add_bos=True, add_eos=True)
+        assert prefix_table.prefix_table(path).decode(ids).decode() == lib.decode(ids.tolist())
+    assert time.time() - start < 120
