@@ -217,7 +217,8 @@ def test_prefix_table_matches_library(spark, docs, empty):
     assert [t.decode(np.array(w)).decode() for w in want] == [sp.decode(w) for w in want]
     junk = np.random.default_rng(0).integers(3, 32000, 400)
     assert t.decode(junk).decode() == sp.decode(junk.tolist())
-    assert all(t.merge(c) == [sp.id_to_piece(i) for i in sp.encode(c[1:])] for c in ("▁hello", "▁representation", "▁aab"))
+    words = ["hello", "representation", "aab"]
+    assert [x.tolist()[1:-1] for x in t.encode(pa.array(words))] == [sp.encode(w) for w in words]
     assert prefix_table.digests(docs, path).count() == docs.count() and prefix_table.digests(empty, path).count() == 0
     assert prefix_table.encode(docs, path).columns[-1] == "ids"
 
@@ -239,7 +240,8 @@ def test_sketches_bound_the_difference():
         assert parity_join.hamming(b.sketch(a), b.sketch(c)) <= len(np.setxor1d(a, c))
     for n in range(1, 3000):
         for m in range(-(-n * 8 // 10), n + 1, 7):
-            assert b.band(n) - b.band(m) in (0, 1)
+            ours, theirs, band = dict(b.meetings(n)), dict(b.meetings(m)), (n - 1).bit_length()
+            assert min(ours[band], theirs[band]) >= b.most(n + m) and max(ours[band], theirs[band]) < b.blocks(band)
 
 
 def test_pipeline_stages(spark):
