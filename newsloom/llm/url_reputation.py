@@ -5,14 +5,13 @@ rule that fits decides. Every other url is judged by its host. Labelled outcomes
 pages (good or bad) are counted per host, and shrunk level by level: the corpus mean
 is the prior of the suffixes, a suffix's posterior mean that of its registered
 domains, a domain's that of its hosts. The strength of each prior is the
-beta-binomial moment estimate of that level's overdispersion. A host is blocked
-when the upper bound of its posterior share of good pages (mean + z * sd) is under
-``least_good``. A host without labels (n = 0) has its domain's posterior mean, or else
-its suffix's or the corpus mean, and the bound that follows: without evidence against
-these it stays.
+beta-binomial moment estimate of that level's overdispersion. A host's share of good
+pages then has a beta posterior, and the host is blocked when the ``CONFIDENCE``
+quantile of it is under ``least_good``. A host without labels (n = 0) has the prior of
+its domain, or else its suffix or the corpus, and is judged by the same quantile.
 
-``SQL_OP1`` counts labelled hosts only and lets all others pass; it differs where the
-pages have an unlabelled host under a bad domain or suffix.
+The quantile test is P(share < least_good) >= CONFIDENCE, summed over ``POINTS`` equal
+steps of t, where share = sin(t) squared (which takes the poles of the density away).
 
 All steps are DataFrame operations: one narrow scan, a partially aggregated count
 per host, joins of the (stored) counts by domain and suffix, and one join of the
@@ -23,12 +22,16 @@ The suffix is the last label of a host, or the last two when the last has two
 letters and the one before is a generic label (``GENERIC``); an address of digits
 is its own domain. Edge cases: null urls and urls without ``://`` have an empty
 host and path and are judged as the host ""; pages without labels only make their host known; a
-page labelled twice counts twice; without any label all priors stay at one half
-good and nothing is blocked by the method. Extra columns are not read.
+page labelled twice counts twice, repeated pages are judged alike; without any label all priors
+stay at one half good and nothing is blocked by the method; very long urls are matched
+whole; counts are multiplied as decimals, so hosts of any size are safe. Extra columns
+are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ from .common import ascii_lower, stored, table
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Second-level labels under two-letter domains that are part of a suffix: fixed values.
 GENERIC = ("ac", "co", "com", "edu", "gov", "net", "org")
-LEAST_GOOD, Z = 0.5, 1.645
+LEAST_GOOD, CONFIDENCE, POINTS = 0.5, 0.95, 400
 
 
 def host_of(url: Column) -> Column:
@@ -72,20 +75,36 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def _low_points(least_good: float) -> int:
+    return sum(math.sin((k - 0.5) / POINTS * math.pi / 2) ** 2 < least_good for k in range(1, POINTS + 1))
+
+
+def beta_below(a: Column, b: Column, least_good: float) -> Column:
+    """P(x < least_good) of a beta distribution."""
+    step = F.lit(math.pi / 2 / POINTS)
+    logs = F.transform(F.sequence(F.lit(1), F.lit(POINTS)), lambda k: (2 * a - 1) * F.ln(F.sin((k - 0.5) * step)) + (2 * b - 1) * F.ln(F.cos((k - 0.5) * step)))
+    weights = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    total = lambda w: F.aggregate(w, F.lit(0.0), lambda s, x: s + x)
+    return total(F.slice(weights, 1, _low_points(least_good))) / total(weights)
+
+
 def _level(counts: DataFrame, key: str, parent: str | None, mean: float) -> DataFrame:
     """key, (parent,) n, good, prior, post: the posterior mean under this level's prior."""
     m = F.lit(mean) if parent is None else F.col("prior")
     excess = F.when(F.col("n") > 0, (F.col("good") - F.col("n") * m) * (F.col("good") - F.col("n") * m) / (m * (1 - m)))
     # Sums of decimals: the same result in any order of the rows.
-    total = counts.select(F.sum(excess.cast("decimal(38,9)")).alias("z"), F.sum("n").alias("n"), F.sum((F.col("n") * (F.col("n") - 1)).cast("decimal(38,0)")).alias("pairs")).first()
+    total = counts.select(F.sum(excess.cast("decimal(38,9)")).alias("z"), F.sum("n").alias("n"), F.sum(F.col("n").cast("decimal(19,0)") * (F.col("n") - 1).cast("decimal(19,0)")).cast("double").alias("pairs")).first()
     z, n, pairs = (float(x or 0) for x in total)
     spread = min(max((z - n) / pairs if pairs else 0.01, 0.001), 0.5)
     strength = 1 / spread - 1
     return counts.withColumn("prior_mean", m.cast("double")).withColumn("strength", F.lit(strength)).withColumn("post", (F.col("good") + strength * m) / (F.col("n") + strength))
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """outcomes: host, good (0, 1, or null: unlabelled). Returns host, domain, suffix, n, good, post, upper."""
+def host_reputation(outcomes: DataFrame, least_good: float = LEAST_GOOD) -> DataFrame:
+    """outcomes: host, good (0, 1, or null: unlabelled). Returns host, domain, suffix, n, good, post, below.
+
+    post is the posterior mean of the share of good pages, below the probability that the share is under least_good.
+    """
     suffix = suffix_of(F.col("host"))
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"))
     hosts = stored(hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
@@ -97,24 +116,30 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     s = _level(suffixes, "suffix", None, mean)
     d = _level(stored(domains.join(s.select("suffix", F.col("post").alias("prior")), "suffix"), "domain-priors"), "domain", "suffix", mean)
     h = _level(stored(hosts.join(d.select("domain", "suffix", F.col("post").alias("prior")), ["domain", "suffix"]), "host-priors"), "host", "domain", mean)
-    sd = F.sqrt(F.col("post") * (1 - F.col("post")) / (F.col("n") + F.col("strength") + 1))
-    return h.select("host", "domain", "suffix", "n", "good", "post", (F.col("post") + Z * sd).alias("upper"))
+    logs = h.withColumn("a", F.col("good") + F.col("strength") * F.col("prior")).withColumn("b", F.col("n") - F.col("good") + F.col("strength") * (1 - F.col("prior")))
+    return logs.select("host", "domain", "suffix", "n", "good", "post", beta_below(F.col("a"), F.col("b"), least_good).alias("below"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
     """pages: page_id, url; outcomes: page_id, good. One row per page."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = urls.select("page_id", "host").join(outcomes, "page_id", "left").select("host", "good")
-    bad = stored(host_reputation(known).select("host", "post", "upper"), "reputation")
+    bad = stored(host_reputation(known, least_good).select("host", "post", "below"), "reputation")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    own = F.when(F.col("upper") < least_good, "block").otherwise("allow")
+    own = F.when(F.col("below") >= CONFIDENCE, "block").otherwise("allow")
     return urls.join(bad, "host", "left").select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
 
 
+#: The number after the language in a page's path names the document that the page shows.
+DOCUMENT = r"://[^/?#]*/[a-z]+/(\d{1,18})(?:[^0-9]|$)"
+
+
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's labelled outcome is the quality label of its number."""
-    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return judge(table(spark, sf_dir, "pages"), outcomes)
+    """A page's labelled outcome is the quality label of the document that it shows."""
+    pages = table(spark, sf_dir, "pages")
+    shown = pages.select("page_id", F.regexp_extract("url", DOCUMENT, 1).try_cast("bigint").alias("doc_id"))
+    outcomes = shown.join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good")), "doc_id").select("page_id", "good")
+    return judge(pages, outcomes)
 
 
 def _sql_level(name: str, source: str, prior: str) -> str:
@@ -129,9 +154,9 @@ def _sql_level(name: str, source: str, prior: str) -> str:
 SQL_OP1 = rf"""
 with u as (
   select page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
-    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path, try_cast(regexp_extract(url, '{DOCUMENT}', 1) as bigint) as shown from pages),
 hosts0 as (
-  select host, count(*)::bigint as n, sum(quality)::bigint as good from u join labels on page_id = doc_id where quality is not null group by host),
+  select host, count(quality)::bigint as n, coalesce(sum(quality), 0)::bigint as good from u left join labels on shown = doc_id group by host),
 hosts1 as (
   select *, string_split(host, '.') as part from hosts0),
 hosts2 as (
@@ -149,15 +174,17 @@ d_in as materialized (select d.*, s.post as prior from domains d join s_post s u
 {_sql_level("d", "d_in", "prior")},
 h_in as materialized (select h.*, d.post as prior from hosts h join d_post d using (domain, suffix)),
 {_sql_level("h", "h_in", "prior")},
-judged as (select host, post + {Z} * sqrt(post * (1 - post) / (n + strength + 1)) as upper from h_post),
+logs as (select host, list_transform(range(1, {POINTS} + 1), lambda k: (2 * (good + strength * prior) - 1) * ln(sin((k - 0.5) * {math.pi / 2 / POINTS!r})) + (2 * (n - good + strength * (1 - prior)) - 1) * ln(cos((k - 0.5) * {math.pi / 2 / POINTS!r}))) as l from h_post),
+weights as (select host, list_transform(l, lambda x: exp(x - list_max(l))) as w from logs),
+judged as (select host, list_sum(w[1:{_low_points(LEAST_GOOD)}]) / list_sum(w) as below from weights),
 ruled as (
-  select page_id, u.host, path, upper, case
+  select page_id, u.host, path, below, case
     when (u.host = 'example.net' or ends_with(u.host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
     when (u.host = 'example.com' or ends_with(u.host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
     when (u.host = 'org' or ends_with(u.host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
     when (u.host = 'net' or ends_with(u.host, '.net')) and starts_with(path, '/') then 'net/' end as rule
   from u left join judged using (host))
 select page_id, host, path, rule, case when rule in ('example.net/en/', 'org/fr/') then 'allow'
-  when rule is not null then 'block' when coalesce(upper, 1) < {LEAST_GOOD} then 'block' else 'allow' end as verdict
+  when rule is not null then 'block' when below >= {CONFIDENCE} then 'block' else 'allow' end as verdict
 from ruled
 """
