@@ -19,7 +19,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 #: Stored tables of narrow rows (ids, hashes) are broadcast up to this number of rows, beyond it they are joined.
 BROADCAST_ROWS = 1_000_000
 #: Texts that a task works on at once, in bytes (a single longer text is one slice).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import expand, flat_words, slices, table
+from .common import expand, flat_words, fresh, slices, table
 
 BITS = 18
 DIM = 1 << BITS
 SIZES = (4, 6, 7)
 SAMPLE_ROWS = 3000
 THRESHOLD = 0.3
-SLICE = 3 << 20  # bytes of text a task works on at once
+SLICE = 1 << 20  # bytes of text a task works on at once
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with a column more; all others pass as they are."""
+    """docs with a column more, which replaces one of its name; all others pass as they are."""
     kept = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM weights, whatever the corpus
 
@@ -165,7 +165,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is under the threshold, with their own columns."""
-    return score(docs, fit(docs, labels), out="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    out = fresh(docs, "toxicity")
+    return score(docs, fit(docs, labels), out=out).where(F.col(out) < threshold).drop(out)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
