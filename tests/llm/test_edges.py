@@ -276,3 +276,30 @@ def test_prefix_table_long_and_blank_texts():
         assert ids.tolist() == lib.encode(text, add_bos=True, add_eos=True)
         assert prefix_table.prefix_table(path).decode(ids).decode() == lib.decode(ids.tolist())
     assert time.time() - start < 120
+
+
+def test_weak_quality_recovers_planted_accuracies(spark):
+    """Votes drawn from known accuracies: EM finds them and the share of good documents; it stands still at the end."""
+    r = np.random.default_rng(4)
+    n, rules = 40_000, len(weak_quality.RULES)
+    good = r.random(n) < 0.85
+    on_good, on_bad = r.uniform(0.94, 0.99, rules), r.uniform(0.2, 0.7, rules)
+    votes = np.where(r.random((n, rules)) < np.where(good[:, None], on_good, on_bad), 1, 0)
+    votes[r.random((n, rules)) < 0.1] = -1
+    kinds, times = np.unique(votes, axis=0, return_counts=True)
+    rows = [(*map(int, k), int(t)) for k, t in zip(kinds, times, strict=True)]
+    patterns = stored(spark.createDataFrame(rows, ", ".join(f"v{j} int" for j in range(rules)) + ", n bigint"), "patterns")
+    prior, a, b = weak_quality.accuracies(patterns)
+    assert abs(prior - 0.85) < 0.02 and np.abs(np.array(a) - on_good).max() < 0.02 and np.abs(np.array(b) - on_bad).max() < 0.06
+    again = weak_quality.accuracies(patterns, rounds=200)
+    assert abs(again[0] - prior) < 1e-3
+
+
+def test_weak_quality_against_labels(spark):
+    """Of the documents that pass the base rules: those labelled bad go, those labelled good stay."""
+    sf = "/root/testdata/sf0.01"
+    judged = weak_quality.judge(spark.read.parquet(f"{sf}/documents.parquet")).where("not base_failed").select("doc_id", "kept")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    got = {(r.label, r.kept): r.n for r in judged.join(labels, "doc_id").groupBy("label", "kept").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got.get((0, False), 0) >= 0.9 * sum(n for (label, _), n in got.items() if label == 0) > 0
+    assert got.get((1, True), 0) >= 0.99 * sum(n for (label, _), n in got.items() if label == 1)
