@@ -18,6 +18,7 @@ WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Stored tables of narrow rows (ids, hashes) are broadcast up to this number of rows, beyond it they are joined.
 BROADCAST_ROWS = 1_000_000
+BATCH_ROWS = 1000
 #: Texts that a task works on at once, in bytes (a single longer text is one slice).
 SLICE_BYTES = 2 << 20
 
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts: ``BATCH_ROWS`` rows, so that neither side holds many megabytes off the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from newsloom.operators.similarity import components
 from newsloom.operators.store import discard
 
-from .common import bounded, flat_words, slices, stored, table
+from .common import bounded, flat_words, slices, small_batches, stored, table
 
 HOT = 20
 #: Sets on either side of a tile of a hot key.
@@ -313,10 +313,11 @@ def _across_hot(mixed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -
                 if len(x) and len(y):
                     low = min(n, m)
                     a, b = (np.bitwise_xor.reduce(np.frombuffer(b"".join(z["sketch"]), np.uint64).reshape(len(z), -1, low // 8), axis=1) for z in (x, y))
-                    for at in range(0, len(a), 64):
-                        rows = x.iloc[at : at + 64]
+                    step = max(1, (4 << 20) // b.nbytes)  # some megabytes at once
+                    for at in range(0, len(a), step):
+                        rows = x.iloc[at : at + step]
                         sizes, others = rows["size"].to_numpy()[:, None], y["size"].to_numpy()[None, :]
-                        near = (sizes + others) * (den - num) >= np.bitwise_count(a[at : at + 64, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64) * (num + den)
+                        near = (sizes + others) * (den - num) >= np.bitwise_count(a[at : at + step, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64) * (num + den)
                         near &= (np.minimum(sizes, others) * den >= np.maximum(sizes, others) * num) & (rows["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :])
                         i, j = np.nonzero(near)
                         u, v = rows["id"].to_numpy()[i], y["id"].to_numpy()[j]
@@ -340,6 +341,7 @@ def _across_hot(mixed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -
 
 def classes(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, hot: int = HOT) -> DataFrame:
     """docs: doc_id, text. One row a document: doc_id, n_shingles, component_id."""
+    small_batches(docs.sparkSession)
     signed = stored(_signatures(docs, k, num, den), "signatures")
     sets_of = stored(signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")), "set-classes")
     copies = signed.where("n > 0").join(sets_of.where("copies > 1").select("n", "s1", "s2", "rep"), ["n", "s1", "s2"]).where("doc_id <> rep")

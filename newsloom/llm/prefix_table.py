@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import expand, slices, table
+from .common import expand, slices, small_batches, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -390,6 +390,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     """docs with a column more, the ids with begin and end id; other columns pass."""
     from pyspark.sql import types as T
 
+    small_batches(docs.sparkSession)
     kept = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,6 +404,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes each text, decodes the ids."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

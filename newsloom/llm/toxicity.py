@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import expand, flat_words, fresh, slices, table
+from .common import expand, flat_words, fresh, slices, small_batches, table
 
 BITS = 18
 DIM = 1 << BITS
@@ -129,6 +129,7 @@ def held_out(doc_id) -> "F.Column":
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """docs: doc_id, text. labels: doc_id, toxic. Held-out ids are left out here."""
+    small_batches(docs.sparkSession)
     sample = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -150,6 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """docs with a column more, which replaces one of its name; all others pass as they are."""
+    small_batches(docs.sparkSession)
     kept = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM weights, whatever the corpus
 
