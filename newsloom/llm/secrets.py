@@ -4,42 +4,51 @@ Base spans come from three fixed patterns over the whole text. From the credenti
 they find (the labels are the kinds) one probabilistic automaton a kind is inferred:
 the values form a prefix tree with counts, and states are merged, in breadth-first
 order, when their end and symbol frequencies agree under a Hoeffding bound all the
-way down (ALERGIA). A further automaton is inferred from ordinary long tokens. Every
-long token outside the base spans is a candidate, also what they leave of a run that
-touches them; long are ``LONG`` characters, or as many as the shortest value learnt
-from, if that is shorter. A candidate becomes a span of the kind whose
-automaton explains it best, when that is at least ``MARGIN`` nats better than the
-ordinary tokens' (and than plain digits or letters of one case, so that numbers and
-words stay out) and as likely per symbol as nearly all values learnt from.
-
-Plan: one map over the texts writes base spans and candidates; training takes the
-``SAMPLE`` distinct values of each kind with the smallest hashes (the bound of what
-reaches the driver); a second map scores all stored candidates. Where a learnt value is shorter than
-``LONG``, candidates are taken from the texts again, for the sample and for the scores,
-and not stored. No text is shuffled.
-
-Edge cases: a null text is an empty one without spans; positions are code points,
-ends exclusive; a kind without labelled values learns nothing and adds nothing;
-rows stand alone, so ties, repeated rows and extra columns change nothing.
+way down (ALERGIA). A format's lengths are counted beside it, over all its values, as
+merging forgets them. What is ordinary is counted over all tokens of the corpus that no
+format explains: how often a character follows the two before it.
+
+Every token of ``LEAST`` characters or more (the least that a base value can have)
+outside the base spans is a candidate, also what they leave of a run that touches them.
+A candidate becomes a span of the kind whose format explains it best, when that is at
+least ``MARGIN`` nats better than the ordinary model (and than plain digits or letters of
+one case, so that numbers and words stay out) and as likely per symbol as nearly all
+values learnt from.
+
+Plan: three maps over the texts: base values (stored where there are any), counts of
+character triples (summed per batch, then by key: at most ``WIDTH`` cubed rows), and
+the scores. Training takes the ``SAMPLE`` distinct values of each kind with the smallest
+hashes, the bound of labelled values that reach the driver. No text is shuffled.
+
+Edge cases: a null text is an empty one without spans; very long texts are scanned
+whole; positions are code points, ends exclusive; a kind without labelled values learns
+nothing and adds nothing; rows stand alone, so ties and repeated rows change nothing (they
+count as often as they occur); extra columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from newsloom.operators.store import discard
+
+from .common import slices, small_batches, stored, table
 
 KINDS = ("assign", "access", "hex")
 SAMPLE, ALPHA, MARGIN, UNSEEN = 300, 0.05, 8.0, 1e-4
+#: How many observations the shorter context of a character weighs.
+BACKOFF = 10.0
 
 
 def _any_case(word: str) -> str:
@@ -49,10 +58,14 @@ def _any_case(word: str) -> str:
 ASSIGN = re.compile("(" + "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no match
-RUN = "[A-Za-z0-9+/_.=-]{%d,}"
-#: Tokens this long are always candidates; shorter ones where a base value is as short (6 at least).
-LONG = 16
+LEAST = 6
+RUN = re.compile("[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 GLUE = "./=-"
+#: The characters of tokens; place 0 stands for a token's start and end.
+SYMBOLS = "+-./0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
+WIDTH = len(SYMBOLS) + 1
+#: Longer values count as this long.
+LONGEST = 1024
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -67,29 +80,93 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, base: list[tuple[str, int, int, str]], least: int = LONG) -> list[tuple[int, int, str]]:
-    """Long tokens outside the base spans: of a run that touches some, what they leave of it."""
+def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
+    """Tokens outside the base spans: of a run that touches some, what they leave of it; points and dashes at the ends are no part."""
     out = []
-    for m in re.finditer(RUN % least, text):
+    starts = [s for _, s, _, _ in base]
+    reach = np.maximum.accumulate([e for _, _, e, _ in base]).tolist() if base else []
+    for m in RUN.finditer(text):
+        if not base and m[0][0] not in ".-" and m[0][-1] not in ".-":
+            out.append((m.start(), m.end(), m[0]))
+            continue
         at = m.start()
-        for _, s, e, _ in [*base, (None, m.end(), m.end(), None)]:
-            if e <= at and s < m.end() or s > m.end():
-                continue
-            a, b = at, max(at, s)  # separators next to a base span are no part of a token
-            while a < b and a > m.start() and text[a] in GLUE:
+        i = bisect.bisect_right(reach, at)  # spans before it end too early
+        while True:
+            s, e = (starts[i], base[i][2]) if i < len(base) and starts[i] < m.end() else (m.end(), m.end())
+            a, b = at, max(at, s)
+            edge = lambda k: ".-" if k in (m.start(), m.end()) else GLUE  # noqa: B023, E731  separators next to a base span go too
+            left, right = edge(a), edge(b)
+            while a < b and text[a] in left:
                 a += 1
-            while a < b and b < m.end() and text[b - 1] in GLUE:
+            while a < b and text[b - 1] in right:
                 b -= 1
-            if b - a >= least:
+            if b - a >= LEAST:
                 out.append((a, b, text[a:b]))
             at = max(at, e)
+            if at >= m.end() or s >= m.end():
+                break
+            i += 1
     return out
 
 
+def symbol_codes() -> np.ndarray:
+    codes = np.zeros(128, np.int64)
+    for i, c in enumerate(SYMBOLS):
+        codes[ord(c)] = i + 1
+    return codes
+
+
+def triples(docs: DataFrame, automata: dict[str, Automaton]) -> DataFrame:
+    """triple, n: how often a character follows two others in the candidates of all texts that have no learnt format (start and end are 0)."""
+    shared = docs.sparkSession.sparkContext.broadcast(automata)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, formats = symbol_codes(), list(shared.value.values())
+        explained = functools.lru_cache(1 << 16)(lambda x: any(a.fits(x) for a in formats))
+        for b in batches:
+            for part in slices(b, "text"):
+                tokens = [x for value in part.column("text").to_pylist() if value for *_, x in candidates(value, base_spans(value)) if not explained(x)]
+                # Two zeros part the tokens, so that no triple reaches over both.
+                c = codes[np.frombuffer(("  " + "  ".join(tokens) + "  ").encode("ascii"), np.uint8)]
+                t = (c[:-2] * WIDTH + c[1:-1]) * WIDTH + c[2:]
+                k, n = np.unique(t[(c[1:-1] > 0) | (c[2:] > 0)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n, pa.int64())], names=["triple", "n"])
+
+    return docs.select("text").mapInArrow(run, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+
+
+class Ordinary:
+    """How likely a token is by the corpus's character triples, backed off to pairs and single characters."""
+
+    def __init__(self, triple: np.ndarray, n: np.ndarray) -> None:
+        three = np.zeros(WIDTH**3)
+        three[triple] = n
+        three = three.reshape(WIDTH, WIDTH, WIDTH)
+        two = three.sum(0)
+        one = (two.sum(0) + 1) / (two.sum() + WIDTH)
+        two = (two + BACKOFF * one) / (two.sum(1, keepdims=True) + BACKOFF)
+        three = (three + BACKOFF * two) / (three.sum(2, keepdims=True) + BACKOFF)
+        self.log = np.log(three).astype(np.float32).ravel()
+
+    @functools.cached_property
+    def _lists(self) -> tuple[list[float], dict[str, int]]:
+        return self.log.tolist(), {c: i + 1 for i, c in enumerate(SYMBOLS)}
+
+    def log_likelihood(self, value: str) -> float:
+        log, codes = self._lists
+        x = y = 0
+        total = 0.0
+        for c in value:
+            z = codes[c]
+            total += log[(x * WIDTH + y) * WIDTH + z]
+            x, y = y, z
+        return total + log[(x * WIDTH + y) * WIDTH]
+
+
 class Automaton:
     """A probabilistic automaton merged from the prefix tree of the values."""
 
-    def __init__(self, values: list[str], alpha: float = ALPHA) -> None:
+    def __init__(self, values: list[str], lengths: dict[int, int] | None = None, alpha: float = ALPHA) -> None:
         self.n, self.end, self.go = defaultdict(int), defaultdict(int), defaultdict(dict)  # go: state -> symbol -> [state, count]
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         size = 1
@@ -106,6 +183,8 @@ class Automaton:
                 self.n[q] += 1
             self.end[q] += 1
         self._merge_all()
+        self.lengths = lengths or dict(Counter(min(len(v), LONGEST) for v in values))
+        self.labelled = sum(self.lengths.values())
         scores = sorted(self.per_symbol(v) for v in values) or [0.0]
         self.least = scores[len(scores) // 100]
 
@@ -165,6 +244,14 @@ class Automaton:
                 q, total = step[0], total + step[1]
         return total + self.states[q][1]
 
+    def score(self, value: str) -> float:
+        """The likelihood of the symbols and of the length."""
+        return self.log_likelihood(value) + math.log((self.lengths.get(min(len(value), LONGEST), 0) + 0.5) / (self.labelled + 1))
+
+    def fits(self, value: str) -> bool:
+        """A length that was seen, and symbols as likely as those of nearly all values learnt from."""
+        return min(len(value), LONGEST) in self.lengths and self.per_symbol(value) >= self.least
+
     def per_symbol(self, value: str) -> float:
         return self.log_likelihood(value) / max(1, len(value))
 
@@ -175,75 +262,66 @@ def _plain(value: str) -> float:
     return -len(value) * math.log(size) if size else -math.inf
 
 
-def added_span(value: str, automata: dict[str, Automaton], ordinary: Automaton | None) -> str | None:
+def added_span(value: str, automata: dict[str, Automaton], ordinary: Ordinary) -> str | None:
     """The kind whose format the token has, or None."""
-    if not automata or ordinary is None:
+    if not automata:
         return None
-    score, kind = max((a.log_likelihood(value), k) for k, a in automata.items())
-    usual = max(ordinary.log_likelihood(value), _plain(value))
-    fits = score - usual >= MARGIN and automata[kind].per_symbol(value) >= automata[kind].least
-    return kind if fits else None
-
-
-SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("value", pa.string())]))
-SPAN_DDL = "array<struct<kind: string, start: long, stop: long, value: string>>"
+    score, kind = max((a.score(value), k) for k, a in automata.items())
+    if score - _plain(value) < MARGIN or score - ordinary.log_likelihood(value) < MARGIN:
+        return None
+    return kind if automata[kind].per_symbol(value) >= automata[kind].least else None
 
 
-def scan(docs: DataFrame, least: int = LONG) -> DataFrame:
-    """doc_id, base, candidates: one map over the texts."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def labelled(docs: DataFrame) -> DataFrame:
+    """kind, value of every base span: one map over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        named = lambda rows: [dict(zip(("kind", "start", "stop", "value"), r, strict=True)) for r in rows]
         for b in batches:
-            base, cand = [], []
-            for value in b.column("text"):
-                text = value.as_py() or ""
-                spans = base_spans(text)
-                base.append(named(spans))
-                cand.append(named([(None, *c) for c in candidates(text, spans, least)]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(base, SPAN), pa.array(cand, SPAN)], names=["doc_id", "base", "candidates"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, base {SPAN_DDL}, candidates {SPAN_DDL}")
+            found = [(k, v) for value in b.column("text") for k, _, _, v in base_spans(value.as_py() or "")]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())], names=["kind", "value"])
 
+    return docs.select("text").mapInArrow(run, "kind string, value string")
 
-def learn(scanned: DataFrame, sample: int = SAMPLE, tokens: DataFrame | None = None) -> tuple[dict[str, Automaton], Automaton | None]:
-    """An automaton for each kind, and one of ordinary tokens (of ``tokens``, if given), from bounded samples."""
 
-    def values(column: str, kind: str | None = None) -> list[str]:
-        rows = (scanned if kind or tokens is None else tokens).select(F.explode(column).alias("s")).select("s.kind", "s.value")
-        rows = rows if kind is None else rows.where(F.col("kind") == kind)
-        rows = rows.select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
-        return [r[0] for r in rows.collect()]
-
-    found = {k: values("base", k) for k in KINDS}
-    ordinary = values("candidates")
-    return {k: Automaton(v) for k, v in found.items() if v}, Automaton(ordinary) if ordinary else None
+def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, Automaton], Ordinary]:
+    """An automaton for each kind, and the ordinary model."""
+    values = stored(labelled(docs), "labelled-values")
+    counted = values.groupBy("kind", F.least(F.length("value"), F.lit(LONGEST)).alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    lengths: dict[str, dict[int, int]] = defaultdict(dict)
+    for r in counted.collect():  # LONGEST rows a kind at most
+        lengths[r.kind][r.length] = r.n
+    automata = {}
+    for kind in lengths:
+        rows = values.where(F.col("kind") == kind).select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
+        automata[kind] = Automaton([r[0] for r in rows.collect()], lengths[kind])
+    discard(values)
+    seen = triples(docs, automata).toArrow()
+    return automata, Ordinary(seen["triple"].to_numpy(), seen["n"].to_numpy())
 
 
 def find_secrets(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
-    scanned = stored(scan(docs), "secret-scan")
-    least = scanned.select(F.explode("base.value").alias("v")).agg(F.min(F.length("v"))).first()[0] or LONG
-    tokens = scanned if least >= LONG else scan(docs, least)  # not stored: short tokens are a large part of the text
-    model = learn(scanned, sample, tokens)
+    small_batches(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs, sample))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind_of = functools.lru_cache(1 << 16)(lambda value: added_span(value, *model))
+        kind_of = functools.lru_cache(1 << 17)(lambda value: added_span(value, *model.value))
         text = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))))
         for b in batches:
             counts, sha, spans = [], [], []
-            for base, cand in zip(b.column("base").to_pylist(), b.column("candidates").to_pylist(), strict=True):
-                own = [(s["kind"], s["start"], s["stop"]) for s in base]
-                more = [(k, s["start"], s["stop"]) for s in cand if (k := kind_of(s["value"]))]
+            for value in b.column("text"):
+                whole = value.as_py() or ""
+                base = base_spans(whole)
+                own = [s[:3] for s in base]
+                more = [(k, a, e) for a, e, token in candidates(whole, base) if (k := kind_of(token))]
                 counts.append([sum(s[0] == k for s in own) for k in KINDS])
                 sha.append(hashlib.sha256(text(own).encode()).hexdigest())
                 spans.append(text(own + more))
             columns = [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, pa.array(sha, pa.string()), pa.array(spans, pa.string())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return tokens.mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,23 +107,46 @@ def test_secrets_short_formats_and_what_base_spans_leave_of_a_run(spark):
 
 
 def test_candidates_are_what_base_spans_leave():
-    assert [c[2] for c in secrets.candidates("token=" + "q" * 20 + " " + "y" * 16 + " " + "y" * 15, secrets.base_spans("token=" + "q" * 20))] == ["y" * 16]
+    assert [c[2] for c in secrets.candidates("token=" + "q" * 20 + " " + "y" * 16 + " " + "y" * 15, secrets.base_spans("token=" + "q" * 20))] == ["y" * 16, "y" * 15]
+    assert [c[2] for c in secrets.candidates("short ends. -abcdef- (abcdefg)", [])] == ["abcdef", "abcdefg"]
     text = "k" * 18 + "./" + "0123456789abcdef" * 2 + "==" + "Z" * 20 + "/" + "0123456789abcdef" * 2
     spans = secrets.base_spans(text)
     assert [c[2] for c in secrets.candidates(text, spans)] == ["k" * 18, "Z" * 20]
     assert [text[a:b] == v for a, b, v in secrets.candidates(text, spans)] == [True, True]
 
 
-def test_automata_tell_formats_apart():
+def test_automata_tell_formats_apart(spark):
     import random
 
     r = random.Random(0)
     keys = ["AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for _ in range(200)]
     words = ["".join(r.choices(["tion", "er", "en", "th", "an", "on"], k=5)) for _ in range(200)] + ["".join(r.choices("0123456789", k=16)) for _ in range(100)]
-    a, o = secrets.Automaton(keys[:150]), secrets.Automaton(words[:250])
+    a = secrets.Automaton(keys[:150])
+    seen = secrets.triples(spark.createDataFrame([(" ".join(words[:250]),)], "text string"), {"access": a}).toArrow()
+    o = secrets.Ordinary(seen["triple"].to_numpy(), seen["n"].to_numpy())
     assert len(a.states) < 100
     assert sum(secrets.added_span(k, {"access": a}, o) == "access" for k in keys[150:]) >= 40
     assert not any(secrets.added_span(w, {"access": a}, o) for w in words[250:])
+    assert secrets.added_span(keys[150] + keys[151][4:9], {"access": a}, o) is None  # the length is learnt too
+
+
+def test_planted_credentials_without_context_are_found(spark):
+    """Formats learnt from labelled values are found bare in ordinary documents, nearly all and nothing else."""
+    import random
+
+    r = random.Random(6)
+    value = lambda: "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=40))
+    short = lambda: "sk_" + "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=10))
+    docs = [t or "" for (t,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(700).collect()]
+    plain = [t for t in docs if not secrets.base_spans(t)]
+    labelled = [f"{t} password={value() if i % 2 else short()} end" for i, t in enumerate(plain[:300])]
+    planted = [value() if i % 2 else short() for i in range(200)]
+    bare = [f"{t} {v} end" for t, v in zip(plain[300:500], planted, strict=True)]
+    rows = list(enumerate(labelled + bare + plain[500:]))
+    got = by_id(secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    want = {300 + i: f"{len(t)+1}:{len(t)+1+len(v)}" for i, (t, v) in enumerate(zip(plain[300:500], planted, strict=True))}
+    assert sum(got[i][0].spans == f"assign:{w}" for i, w in want.items()) >= 0.9 * len(want)
+    assert sum(got[i][0].spans not in ("", f"assign:{want.get(i)}") for i in range(300, len(rows))) == 0
 
 
 def test_token_files(spark, docs, empty):
