@@ -31,19 +31,28 @@ def without_tokens(rows: DataFrame) -> DataFrame:
 
 
 def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) -> DataFrame:
-    """classes: rep, tokens. Pairs a < b with Jaccard >= least: a, b, similarity."""
+    """classes: rep, tokens. Pairs a < b with Jaccard >= least: a, b, similarity.
+
+    A pair that meets in a token is dropped inside the join unless sizes, places (enough
+    tokens are left from the first common one on in both) and the Hamming distance of
+    1024-bit parity sketches (at most the size of the symmetric difference) allow it.
+    """
     spread = classes.select("rep", F.explode("tokens").alias("token"))
     common = spread.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = spread.join(common, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    cell = F.pmod(F.xxhash64("token"), F.lit(1024))
+    odd = [F.bit_xor(F.when(F.floor(F.col("cell") / 64) == k, F.expr("shiftleft(1L, int(cell % 64))")).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(16)]
+    ranked = spread.join(common, "token").withColumn("cell", cell).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"), *odd)
     n = F.size("ranked")
     short = F.slice("ranked", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))
-    prefix = ranked.select("rep", n.alias("n"), F.explode(short).alias("t")).select("rep", "n", "t.token")
+    prefix = ranked.select("rep", n.alias("n"), *[f"s{k}" for k in range(16)], F.posexplode(short).alias("place", "t")).withColumn("left", F.col("n") - F.col("place")).withColumn("token", F.col("t.token")).drop("t", "place")
     if block:
         prefix = prefix.join(classes.select("rep", block), "rep")
     on = ["token", *([block] if block else [])]
-    a, b = (prefix.select(*on, F.col("rep").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-    near = F.least("na", "nb") >= F.ceil(F.greatest("na", "nb") * F.lit(least) - 1e-9)
-    pairs = a.join(b, on).where("a < b").where(near).select("a", "b").distinct()
+    a, b = (prefix.select(*on, F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "left", *[f"s{k}" for k in range(16)])]) for x in "ab")
+    both = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)) - 1e-9)
+    near = (F.least("left_a", "left_b") >= both) & (F.least("n_a", "n_b") >= F.ceil(F.greatest("n_a", "n_b") * F.lit(least) - 1e-9))
+    differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(16)), F.lit(0))
+    pairs = a.join(b, on).where("a < b").where(near & (differ <= F.col("n_a") + F.col("n_b") - 2 * both)).select("a", "b").distinct()
     s, t = (classes.select(F.col("rep").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     return pairs.join(s, "a").join(t, "b").select("a", "b", jaccard(F.col("ta"), F.col("tb")).alias("similarity")).where(F.col("similarity") >= least)
 
@@ -143,6 +152,25 @@ def keep_first_greedy(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return state
 
 
+def first_reachable(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, first: the smallest id that a node reaches by going to ever earlier neighbours (edges: a < b).
+
+    This is the bucket of a scan in which a row joins the first bucket with a neighbour in
+    it and else opens one: a bucket is named by the row that opened it, and the first of
+    several is the one opened earliest. Rounds take the neighbours' names and then the
+    name's name; they end when no name changes.
+    """
+    state = stored(nodes.select("id", F.col("id").alias("first"), F.lit(True).alias("moved")), "buckets")
+    while not state.where("moved").isEmpty():
+        near = edges.join(state.select(F.col("id").alias("a"), "first"), "a").groupBy("b").agg(F.min("first").alias("near"))
+        low = stored(state.join(near, F.col("id") == F.col("b"), "left").select("id", F.col("first").alias("was"), F.least("first", "near").alias("first")), "buckets")
+        up = low.select(F.col("id").alias("up"), F.col("first").alias("top"))
+        after = stored(low.join(up, F.col("first") == F.col("up")).select("id", F.least("first", "top").alias("first"), (F.least("first", "top") != F.col("was")).alias("moved")), "buckets")
+        discard(state, low)
+        state = after
+    return state.select("id", "first")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b. Returns id, comp: the smallest id of each linked id's component.
 
@@ -218,25 +246,6 @@ def replacing_fold(over: float):
     return fold
 
 
-def bucket_fold(low: float, high: float):
-    """Rows by size (largest first) join the first bucket with a member in [low, high]."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        buckets: list[tuple[int, list[set]]] = []
-        out = []
-        for i, t in sorted(zip(rows["id"], rows["tokens"], strict=True), key=lambda r: (-len(r[1]), r[0])):
-            t = set(t)
-            near = next((b for b in buckets if any(low <= _similarity(m, t) <= high for m in b[1])), None)
-            if near is None:
-                near = (i, [])
-                buckets.append(near)
-            near[1].append(t)
-            out.append((near[0], i))
-        return pd.DataFrame(out, columns=["bucket", "id"])
-
-    return fold
-
-
 def best_match(pairs: DataFrame, query: str, order: list[Column]) -> DataFrame:
     """One row a query: the first in the order given."""
     nth = F.row_number().over(Window.partitionBy(query).orderBy(*order))
