@@ -43,6 +43,11 @@ def rewrite_markers(rows: DataFrame, values: DataFrame) -> DataFrame:
     return fixed.select("id", joined.alias("text"))
 
 
+def insert_terms(known: DataFrame, new: DataFrame, key: str = "term") -> DataFrame:
+    """The term base with the new terms that it lacks; terms it has are not touched."""
+    return known.unionByName(new.join(known.select(key), key, "left_anti").select(*known.columns))
+
+
 def drop_verdicts(rows: DataFrame, excluded: DataFrame, key: str = "id") -> DataFrame:
     """What a same-event verdict table leaves; an empty table leaves all."""
     return rows.join(excluded.select(key).distinct(), key, "left_anti")

@@ -127,6 +127,76 @@ def pair_counts(rows: DataFrame, least: float, block: str, tile: int = 2000) ->
     return parts.groupBy("class").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def close_pairs(rows: DataFrame, least: float, block: str, gap: int, tile: int = 2000) -> DataFrame:
+    """rows: id, v, t (a number) and the block. Pairs a < b of a block with |t - t'| < gap and cosine >= least.
+
+    Rows are cut by t into bands of ``gap`` and by a hash of the id into tiles; a pair lies
+    in one band or in two neighbours. Every two tiles that may hold one meet in a matrix
+    product, and only pairs found become rows.
+    """
+    rows = rows.where(F.col("v").isNotNull() & F.col("t").isNotNull()).select("id", block, "t", F.transform("v", lambda x: x.cast("double")).alias("v"), F.floor(F.col("t") / gap).alias("band"))
+    tiles = rows.groupBy(block, "band").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    ahead = tiles.select(block, (F.col("band") - 1).alias("band"), F.col("tiles").alias("tiles_ahead"))
+    before = tiles.select(block, (F.col("band") + 1).alias("band"), F.col("tiles").alias("tiles_before"))
+    r = rows.join(tiles, [block, "band"]).join(ahead, [block, "band"], "left").join(before, [block, "band"], "left").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
+    every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    nothing = F.array().cast("array<bigint>")
+    # Side 0 owns the meeting (band, tile) x (band or the next, tile).
+    meet = lambda side, band, i, j, step: F.struct(F.lit(side).alias("side"), band.alias("at"), i.alias("i"), j.alias("j"), F.lit(step).alias("step"))
+    own = F.transform(every("tiles"), lambda o: meet(0, F.col("band"), F.col("tile"), o, 0))
+    other = F.transform(every("tiles"), lambda o: meet(1, F.col("band"), o, F.col("tile"), 0))
+    first = F.transform(F.when(F.col("tiles_ahead").isNotNull(), every("tiles_ahead")).otherwise(nothing), lambda o: meet(0, F.col("band"), F.col("tile"), o, 1))
+    second = F.transform(F.when(F.col("tiles_before").isNotNull(), every("tiles_before")).otherwise(nothing), lambda o: meet(1, F.col("band") - 1, o, F.col("tile"), 1))
+    dealt = r.select("id", block, "t", "v", F.explode(F.concat(own, other, first, second)).alias("m")).select("id", block, "t", "v", "m.*").where("step = 1 or i <= j")
+
+    def match(p: pd.DataFrame) -> pd.DataFrame:
+        x, y = (p[p["side"] == s] for s in (0, 1))
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
+        width = max(map(len, p["v"]))
+        u, w = (np.stack([np.pad(np.nan_to_num(np.asarray(z, float)), (0, width - len(z))) for z in side["v"]]) for side in (x, y))
+        both = np.sqrt((u * u).sum(1))[:, None] * np.sqrt((w * w).sum(1))[None, :]
+        cos = np.divide(u @ w.T, both, out=np.zeros_like(both), where=both > 0)
+        k, n = x["id"].to_numpy()[:, None], y["id"].to_numpy()[None, :]
+        near = (cos >= least) & (np.abs(x["t"].to_numpy()[:, None] - y["t"].to_numpy()[None, :]) < gap)
+        once = (k != n) if p["step"].iloc[0] or p["i"].iloc[0] != p["j"].iloc[0] else (k < n)
+        i, j = np.nonzero(near & once)
+        k, n = k[i, 0], n[0, j]
+        return pd.DataFrame({"a": np.minimum(k, n), "b": np.maximum(k, n), "similarity": cos[i, j]})
+
+    return dealt.groupBy(block, "at", "step", "i", "j").applyInPandas(match, "a long, b long, similarity double")
+
+
+def vector_dedup(candidates: DataFrame, held: DataFrame, seen: float, near: float, block: str) -> DataFrame:
+    """candidates: id, v, n (text length) and the block; held: id, v and the block. id, last.
+
+    A candidate with cosine >= seen to a held row goes. Of the others a scan by id keeps
+    slots: one with cosine >= near to a slot's row takes the slot if its text is longer, else it goes.
+    Rows without a vector match nothing and come last.
+    """
+    some = candidates.where(F.col("v").isNotNull())
+    hits = cosine_matches(some.select(F.col("id").alias("q"), F.col("v").alias("qv"), block), held.where(F.col("v").isNotNull()).select("id", "v", block), seen, [block])
+    left = stored(some.join(hits.select(F.col("q").alias("id")).distinct(), "id", "left_anti"), "unseen")
+    pairs = cosine_matches(left.select(F.col("id").alias("q"), F.col("v").alias("qv"), block), left.select("id", "v", block), near, [block], F.col("q") < F.col("id"))
+    edges = stored(pairs.select(F.col("q").alias("a"), F.col("id").alias("b")), "edges")
+    # What a row is near to travels with it: a fold needs no vectors.
+    around = edges.union(edges.select("b", "a")).groupBy("a").agg(F.collect_set("b").alias("near")).withColumnRenamed("a", "id")
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        slots: list[list] = []
+        for i, n, close in zip(rows["id"], rows["n"], rows["near"], strict=True):
+            close = set(close) if close is not None else set()
+            slot = next((s for s in slots if s[0] in close), None)
+            if slot is None:
+                slots.append([i, n])
+            elif n > slot[1]:
+                slot[:] = [i, n]
+        return pd.DataFrame({"id": [s[0] for s in slots]})
+
+    kept = fold_components(left.select("id", "n").join(around, "id", "left"), edges, fold, "id long")
+    return kept.withColumn("last", F.lit(False)).union(candidates.where(F.col("v").isNull()).select("id", F.lit(True)))
+
+
 def time_band(df: DataFrame, ts: str, hours: int = 24, spread: bool = False) -> DataFrame:
     """Adds ``band``, for equi-joins of rows within ``hours``: the spread side has the
     neighbouring bands too. Exact distances are tested after the join."""

@@ -66,6 +66,36 @@ def mark(table: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
     return joined.withColumn(flag, F.when(F.col("_k").isNotNull(), True).otherwise(F.col(flag))).drop("_k")
 
 
+def overlay(held: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The table and the new rows whose key it lacks, as a run that wrote them would see it."""
+    return held.unionByName(new.join(held.select(key), key, "left_anti").select(*held.columns))
+
+
+def buffer_rows(rows: DataFrame, link: str, order: str, now: Column, weeks: int) -> DataFrame:
+    """The first row of each link, with its expiry and an open flag."""
+    first = rows.groupBy(link).agg(F.min_by(F.struct(*[c for c in rows.columns if c != link]), order).alias("first")).select(link, "first.*")
+    return first.withColumn("buffer_expires_at", now + F.expr(f"interval {7 * weeks} days")).withColumn("analysed", F.lit(False))
+
+
+def upsert_reports(reports: DataFrame, new: DataFrame, rows: DataFrame, keys: list[str], links: str, link: str, flag: str) -> tuple[DataFrame, DataFrame]:
+    """Reports after the new ones replaced those of their keys, and rows with the new reports' links marked."""
+    return upsert(reports, new, keys), mark(rows, new.select(F.explode(links).alias(link)), link, flag)
+
+
+def backfill(stale: DataFrame, now: DataFrame, made: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors that were missing (stale: id, vector) filled from ``made`` where they are missing still.
+
+    Returns the table (of ``now``) and one row of counts: missing, written, failed (no vector
+    of ``size``), skipped (filled meanwhile).
+    """
+    todo = stale.where("vector is null").select("id").join(made.withColumnRenamed("vector", "new"), "id", "left")
+    j = now.join(todo.withColumn("asked", F.lit(True)), "id", "left")
+    good = F.col("asked") & F.coalesce(F.size("new") == size, F.lit(False))
+    write = good & F.col("vector").isNull()
+    counts = j.agg(F.count_if("asked").alias("missing"), F.count_if(write).alias("written"), F.count_if(F.col("asked") & ~good).alias("failed"), F.count_if(good & F.col("vector").isNotNull()).alias("skipped"))
+    return j.select("id", F.when(write, F.col("new")).otherwise(F.col("vector")).alias("vector")), counts
+
+
 class Store:
     """A Parquet table that is replaced as a whole: a version folder and a pointer.
 

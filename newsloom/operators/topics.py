@@ -25,11 +25,49 @@ def signature(rows: DataFrame, bucket: list[str], top: int = 8) -> DataFrame:
     return best.groupBy(*bucket).agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "token"))), lambda x: x["token"]).alias("signature"))
 
 
-def passes_novelty(score: Column, latest: Column, last_score: Column, last_latest: Column, growth: float = 0.2) -> Column:
+def passes_novelty(score: Column, latest: Column, last_score: Column, last_latest: Column, growth: float = 0.5) -> Column:
     """No earlier report, or a score grown enough with newer material."""
     return last_score.isNull() | F.coalesce((score >= last_score * (1 + growth)) & (latest > last_latest), F.lit(False))
 
 
+def with_prior(buckets: DataFrame, week: str, same: list[str], topic: str, least: float) -> DataFrame:
+    """buckets: week, the columns of ``same``, topic, score, latest, signature. Adds prior_week, last_score and
+    last_latest of the most recent earlier week's bucket (ties: by topic) with a signature of Jaccard >= least.
+
+    Buckets are few (weeks x topics) beside their rows; they meet in the tokens of their signatures.
+    """
+    old = buckets.select(*same, F.col(week).alias("prior_week"), F.col(topic).alias("prior_topic"), F.col("score").alias("last_score"), F.col("latest").alias("last_latest"), F.col("signature").alias("prior_signature"), F.explode("signature").alias("token"))
+    now = buckets.select(*same, week, topic, "signature", F.explode("signature").alias("token"))
+    met = now.join(old, [*same, "token"]).where(F.col("prior_week") < F.col(week))
+    key = [*same, week, topic]
+    near = met.groupBy(*key, "prior_week", "prior_topic").agg(F.count(F.lit(1)).alias("both"), F.first(F.size("signature") + F.size("prior_signature")).alias("sizes"), F.first(F.struct("last_score", "last_latest")).alias("last"))
+    near = near.where(F.col("both") >= F.lit(least) * (F.col("sizes") - F.col("both")))
+    newest = near.groupBy(*key).agg(F.max("prior_week").alias("prior_week"))
+    best = near.join(newest, [*key, "prior_week"]).groupBy(*key, "prior_week").agg(F.min_by("last", "prior_topic").alias("last"))
+    return buckets.join(best.select(*key, "prior_week", "last.*"), key, "left")
+
+
+def merge_replies(posts: DataFrame, max_replies: int, max_chars: int) -> DataFrame:
+    """posts: thread, id, time (UTC), text. thread, replies, merged, newest.
+
+    The last ``max_replies`` by time and id; of these the newest whose blocks fit into
+    ``max_chars`` (the newest always), written from old to new behind their time in Japan.
+    """
+    w = Window.partitionBy("thread").orderBy(F.col("time").desc(), F.col("id").desc())
+    block = F.concat(F.lit("["), F.date_format(F.col("time") + F.expr("interval 9 hours"), "MM/dd HH:mm"), F.lit("] "), "text")
+    r = posts.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= max_replies).withColumn("block", block)
+    r = r.withColumn("upto", F.sum(F.length("block") + 1).over(w)).where((F.col("nth") == 1) | (F.col("upto") <= max_chars + 1))
+    blocks = F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("nth", "block")))), lambda x: x["block"])
+    return r.groupBy("thread").agg(F.count(F.lit(1)).alias("replies"), F.substring(F.array_join(blocks, "\n"), 1, max_chars).alias("merged"), F.min_by("id", "nth").alias("newest"))
+
+
+def ordered_articles(reports: DataFrame, key: str, links: str, articles: DataFrame, link: str, item: str) -> DataFrame:
+    """key, items (of the articles that the links find, in the links' order) and unresolved. articles has a column found."""
+    each = reports.select(key, F.posexplode(links).alias("pos", link)).join(articles, link, "left")
+    hit = F.when(F.col("found"), F.struct("pos", F.col(item).alias("item")))
+    return each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["item"]).alias("items"), F.count_if(F.col("found").isNull()).alias("unresolved"))
+
+
 def gate_then_cap(rows: DataFrame, threshold: Column, novel: Column, limit: int, order: list) -> DataFrame:
     """First the gates, then the cap, so that repeats take no seat."""
     return rows.where((F.col("score") >= threshold) & novel).orderBy(*order).limit(limit)

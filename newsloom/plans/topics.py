@@ -50,7 +50,7 @@ def hot_topics_gate_then_cap(spark, sf):
     prior = now.join(old, "lang").where(jaccard(F.col("signature"), F.col("sig2")) >= 0.3)
     prior = prior.groupBy("lang", "source").agg(F.min_by(F.struct("last_score", "last_latest"), F.struct((-F.col("last_score")).alias("k"), F.col("s2"))).alias("p")).select("lang", "source", "p.*")
     j = now.join(prior, ["lang", "source"], "left")
-    novel = T.passes_novelty(F.col("score"), F.col("latest"), F.col("last_score"), F.col("last_latest"))
+    novel = T.passes_novelty(F.col("score"), F.col("latest"), F.col("last_score"), F.col("last_latest"), 0.2)
     out = T.gate_then_cap(j.withColumn("shown", F.round("score", 4)), F.lit(20.0), novel, 10, [F.col("shown").desc(), "lang", "source"])
     return out.select("lang", "source", F.col("shown").alias("score"))
 
