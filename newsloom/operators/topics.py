@@ -90,3 +90,39 @@ def pool_shares(rows: DataFrame, group: str, by: str) -> DataFrame:
     w = Window.partitionBy(group)
     lead = F.row_number().over(w.orderBy(F.col("n").desc(), by)) == 1
     return n.withColumn("share", F.col("n") / F.sum("n").over(w)).withColumn("leads", lead)
+
+
+def funnel(rows: DataFrame, stages: dict[str, Column], tried: DataFrame) -> DataFrame:
+    """source, a count for each stage, place. rows: source, seq; tried: source, place.
+
+    Sources that were tried come first, in their order and also without rows; the others
+    follow as they first appear.
+    """
+    counted = rows.groupBy("source").agg(F.min("seq").alias("first"), *[F.count_if(c).alias(k) for k, c in stages.items()])
+    named = tried.join(counted, "source", "full_outer")
+    place = F.row_number().over(Window.orderBy(F.col("place").asc_nulls_last(), "first")).cast("long")  # one row a source
+    return named.select("source", *[F.coalesce(k, F.lit(0)).alias(k) for k in stages], place.alias("place"))
+
+
+def compare_counts(before: DataFrame, after: DataFrame, key: str, value: str) -> DataFrame:
+    """key, before, after and outcome: same, different, or unavailable where a side lacks it."""
+    j = before.withColumnRenamed(value, "before").join(after.withColumnRenamed(value, "after"), key, "full_outer")
+    gone = F.col("before").isNull() | F.col("after").isNull()
+    return j.select(key, "before", "after", F.when(gone, "unavailable").when(F.col("before") == F.col("after"), "same").otherwise("different").alias("outcome"))
+
+
+def merged_pool(rows: DataFrame, category: str, others: list[str]) -> DataFrame:
+    """The rows of a digest's category and of those merged into it."""
+    return rows.where(F.col("category").isin(category, *others))
+
+
+def last_weeks(rows: DataFrame, week: str, n: int) -> DataFrame:
+    """The rows of the newest n weeks."""
+    newest = rows.select(week).distinct().orderBy(F.col(week).desc()).limit(n)
+    return rows.join(newest, week, "left_semi")
+
+
+def update_labels(labels: DataFrame, edits: DataFrame, key: str) -> DataFrame:
+    """labels: key, label, title; edits: key, new_label, seen_title. A label changes only where the title is the one seen."""
+    j = labels.join(edits, key, "left")
+    return j.select(*[F.when(F.col("seen_title") == F.col("title"), F.col("new_label")).otherwise(F.col("label")).alias("label") if c == "label" else F.col(c) for c in labels.columns])
