@@ -43,10 +43,13 @@ def too_old(url: Column, published: Column, as_of: str, days: int = 30) -> Colum
 
 
 def keep_first(df: DataFrame, key: Column | str, order: str) -> DataFrame:
-    """The first row of each key; aggregates before the shuffle, so hot keys stay small."""
+    """The first row of each key, exactly one; aggregates before the shuffle, so hot keys stay small.
+
+    Rows that tie in key and order are told apart by their whole content, as far as it differs.
+    """
     rows = df.withColumn("_key", key if isinstance(key, Column) else F.col(key))
-    first = rows.groupBy("_key").agg(F.min(order).alias("_first"))
-    return rows.join(first, rows["_key"].eqNullSafe(first["_key"]) & (rows[order] == first["_first"]), "left_semi").drop("_key")
+    first = rows.groupBy("_key").agg(F.min_by(F.struct(*df.columns), F.struct(order, F.xxhash64(*df.columns))).alias("_first"))
+    return first.select("_first.*")
 
 
 def cap_per_key(df: DataFrame, key: str, order: list, limit: int) -> DataFrame:

@@ -68,7 +68,8 @@ select id, category,
     when 'french' then coalesce('excluded:' || {sql_first_hit('text', RULES['french']['exclude_any'])}, 'kept:no-exclude-hit')
     when 'german' then 'kept:no-rule-fields' else 'no-rule' end as reason from c""")
 def relevance_partition(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", classify.category_of(T.tokens(F.col("text")), TAXONOMY).alias("category"))
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", T.tokens(F.col("text")).alias("tokens"))
+    d = d.select("id", F.lower("text").alias("text"), classify.category_of(F.col("tokens"), TAXONOMY).alias("category"))
     on, reason = classify.relevance(F.col("text"), F.col("category"), RULES)
     return d.select("id", "category", on.alias("on_topic"), reason.alias("reason"))
 
@@ -113,7 +114,8 @@ def page_links(spark, sf):
 @query("""select event_id, (props::json ->> 'k')::varchar as k, json_type(props::json) as kind from events""")
 def event_properties(spark, sf):
     v = F.try_parse_json("props")
-    return table(spark, sf, "events").select("event_id", F.try_variant_get(v, "$.k", "string").alias("k"), F.when(v.isNotNull(), "OBJECT").alias("kind"))
+    shape = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)  # the variant's own type
+    return table(spark, sf, "events").select("event_id", F.try_variant_get(v, "$.k", "string").alias("k"), shape.alias("kind"))
 
 
 _RAW = "case id % 3 when 0 then strftime(published, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(published, '%a, %d %b %Y %H:%M:%S +0000') else 'soon' end"

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators.classify import category_of
+from newsloom.operators.ranks import at_places
+from newsloom.operators.store import stored
 from newsloom.plans.catalog import query, table
 from newsloom.plans.views import ART, KEYWORDS, NORM, TAXONOMY, TOK, articles, sql_category
 
@@ -17,10 +19,17 @@ s as (select k.source, length(split_part(text, chr(10), 1)) > 0 as titled, regex
   from k join f using (key) join tok using (id))
 select source, count(*) as n, count(*) filter (titled) as titled, count(*) filter (titled and relevant) as relevant, count(*) filter (titled and relevant and first) as unique_, count(*) filter (titled and relevant and first and known) as categorised from s group by source""")
 def source_funnel(spark, sf):
-    """Documents of each source that survive every stage in turn."""
-    d = table(spark, sf, "documents").select("source", F.col("doc_id").alias("id"), F.md5(T.normalised(F.col("text"))).alias("key"), (F.length(T.title_of(F.col("text"))) > 0).alias("titled"), (F.col("text").rlike("tion|und|ción") & ~F.contains("text", F.lit("###"))).alias("relevant"), (category_of(T.tokens(F.col("text")), TAXONOMY) != "uncategorised").alias("known"))
-    first = d.groupBy("key").agg(F.min("id").alias("first_id"))
-    s = d.join(first, "key")
+    """Documents of each source that survive every stage in turn.
+
+    One scan writes the narrow rows (flags and key); the first id of each key is an
+    aggregate of these, joined back to them.
+    """
+    d = table(spark, sf, "documents").select("source", F.col("doc_id").alias("id"), "text", T.normalised(F.col("text")).alias("norm"), T.tokens(F.col("text")).alias("tokens"))
+    rows = stored(d.select(
+        "source", "id", F.md5("norm").alias("key"), (F.length(T.title_of(F.col("text"))) > 0).alias("titled"),
+        (F.col("text").rlike("tion|und|ción") & ~F.contains("text", F.lit("###"))).alias("relevant"), (category_of(F.col("tokens"), TAXONOMY) != "uncategorised").alias("known"),
+    ), "funnel-rows")
+    s = rows.join(rows.groupBy("key").agg(F.min("id").alias("first_id")), "key")
     stages = {"titled": F.col("titled")}
     stages["relevant"] = stages["titled"] & F.col("relevant")
     stages["unique_"] = stages["relevant"] & (F.col("id") == F.col("first_id"))
@@ -121,20 +130,20 @@ def ablation_leave_one_out(spark, sf):
 a as (select event_type, n, min(v) filter (upto >= greatest(1, floor(n * 0.95)::int)) as p95, min(v) filter (upto >= n // 2 + 1) as upper_median, max(v) as most from r group by all)
 select event_type, n::bigint as n, p95, upper_median, most from a""")
 def p95_index_stat(spark, sf):
-    """The value at the 95 % place and the upper median, by counts of values (no group is sorted whole)."""
-    from pyspark.sql import Window
-
-    c = table(spark, sf, "events").groupBy("event_type", F.round("value", 6).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    w = Window.partitionBy("event_type")
-    r = c.withColumn("upto", F.sum("k").over(w.orderBy("v"))).withColumn("n", F.sum("k").over(w))
-    at = lambda place: F.min(F.when(F.col("upto") >= place, F.col("v")))
-    return r.groupBy("event_type", "n").agg(at(F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(0.95)))).alias("p95"), at(F.floor(F.col("n") / 2) + 1).alias("upper_median"), F.max("v").alias("most"))
+    """The value at the 95 % place and the upper median; no group is sorted whole."""
+    n = F.col("n")
+    out = at_places(table(spark, sf, "events").select("event_type", F.round("value", 6).alias("v")), "event_type", "v", {"p95": F.greatest(F.lit(1), F.floor(n * F.lit(0.95))), "upper_median": F.floor(n / 2) + 1, "most": n})
+    return out.select("event_type", "n", "p95", "upper_median", "most")
 
 
 @query("""select event_type, round(median(round(value, 6)), 6) as median, max(round(value, 6)) as most, count(*) filter (value > 50) as slow from events group by event_type""")
 def median_stat(spark, sf):
-    e = table(spark, sf, "events")
-    return e.groupBy("event_type").agg(F.round(F.median(F.round("value", 6)), 6).alias("median"), F.max(F.round("value", 6)).alias("most"), F.count_if(F.col("value") > 50).alias("slow"))
+    """The median (of two middle values their mean), the largest and how many are over 50."""
+    e = table(spark, sf, "events").select("event_type", F.round("value", 6).alias("v"), "value")
+    n = F.col("n")
+    mid = at_places(e, "event_type", "v", {"low": F.floor((n + 1) / 2), "high": F.floor(n / 2) + 1, "most": n})
+    slow = e.groupBy("event_type").agg(F.count_if(F.col("value") > 50).alias("slow"))
+    return mid.join(slow, "event_type").select("event_type", F.round((F.col("low") + F.col("high")) / 2, 6).alias("median"), "most", "slow")
 
 
 @query("""with a as (select n_nationkey || '.' || k as path, v from (select n_nationkey, unnest(['name', 'region']) as k, unnest([n_name, n_regionkey::varchar]) as v from nation)),
