@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.operators.store import Store
 
-def write_weeks(articles: DataFrame, path: str) -> None:
+
+def writes(mode: str) -> bool:
+    """Whether a run of this mode may write; unknown modes are errors."""
+    if mode not in Store.MODES:
+        raise ValueError(f"unknown run mode: {mode}")
+    return mode == "formal"
+
+
+def write_weeks(articles: DataFrame, path: str, mode: str = "formal") -> None:
     """One folder a week; a week that is written again replaces its own folder only."""
+    if not writes(mode):
+        return
     articles.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week_id").json(path)
 
 
@@ -26,8 +37,10 @@ def tag_totals(articles: DataFrame, old: DataFrame | None = None) -> DataFrame:
     return both.groupBy("tag").agg(F.sum("n").alias("n"))
 
 
-def feed(items: DataFrame, title: str, link: str, path: str, limit: int = 60) -> None:
+def feed(items: DataFrame, title: str, link: str, path: str, limit: int = 60, mode: str = "formal") -> None:
     """An RSS file of the newest items (item: a rendered element; published)."""
+    if not writes(mode):
+        return
     newest = items.orderBy(F.col("published").desc(), "item").limit(limit)
     body = newest.agg(F.array_join(F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("published", "item")))), lambda x: x["item"]), "").alias("b"))
     xml = F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>{title}</title><link>{link}</link>'), F.coalesce("b", F.lit("")), F.lit("</channel></rss>"))
@@ -35,7 +48,7 @@ def feed(items: DataFrame, title: str, link: str, path: str, limit: int = 60) ->
 
 
 def write_artifact(df: DataFrame, path: str) -> None:
-    """A dry run's table as JSON lines."""
+    """A dry run's table as JSON lines; an artifact is no publication, so every mode writes it."""
     df.write.mode("overwrite").json(path)
 
 

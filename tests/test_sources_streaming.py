@@ -97,3 +97,88 @@ def test_term_base(spark):
     assert {r.id: r.text for r in K.rewrite_markers(rows, values).collect()} == {1: "a 2 b y", 2: "none", 3: None, 4: "22"}
     none = spark.createDataFrame([], "term string")
     assert sorted((r.id, r.term) for r in K.unknown_terms(rows, values, none).collect()) == [(1, "y")]
+
+
+def test_atom_lists_details_and_ledes(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<feed><entry><title>Tram news</title><link href="http://a/1" rel="alternate"/><summary>&lt;b&gt;line&lt;/b&gt; two</summary><updated>2024-01-05T10:00:00Z</updated><id>x</id></entry><entry><title>Old</title><link href="http://a/2"/><updated>2020-01-05T10:00:00Z</updated><id>y</id></entry></feed>')
+    assert [(r.title, r.link, r.summary) for r in R.read_atom(spark, str(tmp_path / "a.xml"), "s", "2024-01-06 00:00:00").collect()] == [("Tram news", "http://a/1", "line two")]
+    html = '<ul><li><a href="/d1">Patch <b>one</b></a><script>t(1704400000)</script></li><li><a href="/d2">[Ad] x</a><script>t(1704400000)</script></li><li><a href="/d3">Undated</a></li></ul><div class="body">  First\n part </div>'
+    pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    items = R.listed_items(pages, r'(?s)<li><a href="([^"]*)">(.*?)</a>.*?</li>', "2024-01-06 00:00:00", r"t\((\d+)\)", ("[Ad]",))
+    assert [(r.title, r.link) for r in items.collect()] == [("Patch one", "/d1")]
+    assert R.detail_text(pages, r'(?s)<div class="body">(.*?)</div>').first().detail == "First part"
+    body = "<div><p>short</p></div><article><p>" + "a" * 200 + "</p><p>tiny</p><p>" + "b" * 100 + "</p><p>" + "c" * 100 + "</p></article>"
+    got = {r.page_id: r.lede for r in R.lede(spark.createDataFrame([(1, body), (2, None), (3, "<p>x</p>")], "page_id bigint, html string")).collect()}
+    assert got == {1: "a" * 200 + " " + "b" * 100, 2: "", 3: ""}
+
+
+def test_thread_walk_and_fallbacks(spark):
+    post = lambda i, t, x: f'<li id="post_{i}"><span class="date">{t}</span><div id="post_message_{i}">{x}</div></li>'
+    pages = {
+        "http://f/threads/1/page2": "Page 2 of 2 " + post(12, "01-03-2024 10:00 AM", "third"),
+        "http://f/threads/1/page1": "Page 1 of 2 " + post(10, "12-20-2023 10:00 AM", "too old") + post(11, "01-02-2024 10:00 AM", "second"),
+        "http://f/threads/2": post(20, "someday", "?"),
+    }
+
+    def fetch(url):
+        return 200, pages[url]
+
+    rows = [("http://f/threads/1", "http://f/threads/1/page2", "One"), ("http://f/threads/2", "http://f/threads/2", "Two"), ("http://f/threads/3", "http://f/threads/3", "Gone")]
+    t = spark.createDataFrame(rows, "thread_url string, link string, title string").select("*", F.lit("board").alias("source"), F.to_timestamp(F.lit("2024-01-04 00:00:00")).alias("last"), F.lit("<p>last  one</p>").alias("last_html"))
+    got = {r.title: r for r in R.collect_threads(spark, t, fetch, "2024-01-08 00:00:00", "2024-01-01 00:00:00", "2024-01-08 00:00:00").collect()}
+    assert got["One"].summary == "[01/02 10:00] second\n[01/03 10:00] third" and got["One"].dedup_key == "forum:1:12" and got["One"].link == "http://f/threads/1?p=12"
+    assert got["Two"].summary == got["Gone"].summary == "[01/04 09:00] last one" and got["Two"].dedup_key.startswith("forum:2:t")
+
+
+def test_logs_labels_sources_and_policies(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "run.log").write_text('link=in.("a")\nSTART\nlink=in.("b","c")\nnoise\nlink=in.("b")\nEND\nlink=in.("d")\n')
+    assert sorted(r.link for r in R.links_from_log(spark, str(tmp_path / "run.log"), start="START", end="END").collect()) == ["b", "c"]
+    rows = spark.createDataFrame([("t", "on", 1), ("t", "off", 2), ("u", None, 3)], "title string, label string, seq int")
+    assert [tuple(r) for r in R.last_labels(rows).collect()] == [("t", "off")]
+    s = R.load_sources(spark, [{"name": "a", "type": "rss"}, {"name": "b", "type": "web", "enabled": False}])
+    assert [r.source for r in s.collect()] == ["a"] and R.load_sources(spark, None, required=False).count() == 0
+    with pytest.raises(ValueError):
+        R.load_sources(spark, None)
+    feeds = spark.createDataFrame([(f"f{i % 2}", f"l{i // 2 * 2 + i % 2}") for i in range(40)], "source string, link string")
+    one, two = (sorted(map(tuple, R.sample_per_feed(feeds, 3, seed).collect())) for seed in (1, 1))
+    assert one == two and len(one) == 6 and len({x[1] for x in one}) == 6
+    empty = spark.createDataFrame([], "x int")
+    bad = lambda: spark.read.parquet(str(tmp_path / "nothing"))
+    assert R.or_fallback(bad, empty, "open").count() == 0
+    with pytest.raises(Exception):
+        R.or_fallback(bad, empty, "fail")
+    R.validate_proposal({"sources": [{"name": "a", "type": "rss"}]})
+    for wrong in ([], {"sources": {}}, {"sources": [{"name": "a"}]}, {"sources": [], "source_defaults": []}):
+        with pytest.raises(ValueError):
+            R.validate_proposal(wrong)
+    assert R.failed_sources(spark.createDataFrame([("a", True, 0), ("b", True, 3), ("c", False, None)], "source string, ok boolean, parsed int"))
+
+
+def test_sinks_and_run_modes(spark, tmp_path):
+    import pytest
+
+    from newsloom.sources import sinks
+
+    a = spark.createDataFrame([("2024-W01", "高", "x"), ("2024-W01", "中", "y")], "week_id string, importance string, title string")
+    sinks.write_weeks(a, str(tmp_path / "w"), "dry-full")
+    assert not (tmp_path / "w").exists()
+    sinks.write_weeks(a, str(tmp_path / "w"))
+    assert spark.read.json(str(tmp_path / "w")).count() == 2
+    with pytest.raises(ValueError):
+        sinks.write_weeks(a, str(tmp_path / "w"), "other")
+    sinks.write_artifact(a, str(tmp_path / "artifact"))
+    got = R.read_articles(spark, str(tmp_path / "artifact"), "week_id string, importance string, title string")
+    assert got.count() == 2
+    assert [tuple(r) for r in sinks.week_index(a).collect()] == [("2024-W01", 2, 1)]
+    reports = spark.createDataFrame([("2024-01-01", "a", 1.0), ("2024-01-08", "b", 2.0)], "week_start_date string, topic_label string, cumulative_score double")
+    assert [r.topic_label for r in sinks.report_projection(reports).collect()] == ["b", "a"]
+
+
+def test_parts_are_collected_with_their_sources_stamps(spark):
+    x = spark.createDataFrame([("a", "t1")], "source string, title string")
+    y = spark.createDataFrame([("b", "t2", "s")], "source string, title string, summary string")
+    stamps = spark.createDataFrame([("a", 0.9), ("c", 0.1)], "source string, source_weight double")
+    got = {r.source: (r.summary, r.source_weight) for r in R.collect([x, y], stamps).collect()}
+    assert got == {"a": (None, 0.9), "b": ("s", None)}
