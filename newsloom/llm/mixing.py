@@ -11,15 +11,16 @@ id and its quality weight (share of letters and blanks in the text, at least
 that is left; the document across the budget's edge is taken if that comes nearer.
 
 Only DataFrame operations. One scan writes (doc_id, source, size, key). Prefix sums
-of a hot source never meet in one task: keys fall into ``BUCKETS`` ranges, whose
-sums are aggregated partially and prefix-summed per source (at most BUCKETS rows);
-only the one bucket of each source that holds the budget's edge is sorted by row.
+of a hot source never meet in one task: keys fall into ranges that hold less than a
+thousandth of a source each, whatever its quality (``bucket_of``); their sums are aggregated
+partially and prefix-summed per source (some 190,000 rows at most); only the one range of each
+source that holds the budget's edge is sorted by row.
 Targets come from one row per source.
 
 Edge cases: null texts have size 0; a source of size 0 has target 0; documents of
 size 0 take 0 words; rows with the same id have the same key and each counts
-itself; null ids share one key; an empty table gives none. The same input gives
-the same mix.
+itself; null ids share one key (and so one range); very long texts are one row's work; an empty table
+gives none; ``mix`` passes extra columns of any name. The same input gives the same mix.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored, table, text_of
+from .common import WORD, fresh, stored, table, text_of
 
 WEIGHTS, MOST, BUCKETS, FLOOR, SEED = (5, 2, 1), 3, 4096, 0.05, "mix-1"
 
@@ -48,6 +49,13 @@ def uniform_of(doc_id: Column) -> Column:
     return (F.conv(hexed, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def bucket_of(key: Column) -> Column:
+    """The range of a key, in the order of keys. Up to 4 equal shares of 1 - exp(-key), in which keys of weight 1 are
+    even; beyond, where keys of small weights lie, equal steps."""
+    low = F.floor((1 - F.exp(-key)) * BUCKETS)
+    return F.when(key < 4, low).otherwise(BUCKETS + F.floor((key - 4) * 256)).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """sizes: source, source_size (one row each). Adds target."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -73,9 +81,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     text = text_of()
     key = -F.ln(uniform_of(F.col("doc_id"))) / quality_of(text)
     rows = docs.select("doc_id", "source", size_of(text).alias("size"), key.alias("key"))
-    # 1 - exp(-key) is near uniform and keeps the order of the keys.
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("key"))) * BUCKETS)).cast("int")
-    rows = stored(rows.withColumn("bucket", bucket), "sizes")
+    rows = stored(rows.withColumn("bucket", bucket_of(F.col("key"))), "sizes")
     buckets = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long")
@@ -84,7 +90,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     edges = buckets.withColumn("upto", upto).withColumnRenamed("source", "s").join(targets, F.col("s").eqNullSafe(F.col("source")))
     edge = edges.where(F.col("upto") > F.col("budget")).groupBy("source").agg(F.min("bucket").alias("edge"), F.min(F.col("upto") - F.col("words")).alias("before"))
     t = targets.join(edge.withColumnRenamed("source", "e"), F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
-    t = stored(t.withColumn("edge", F.coalesce("edge", F.lit(BUCKETS))).withColumnRenamed("source", "t"), "edges")
+    t = stored(t.withColumn("edge", F.coalesce("edge", F.lit(1 << 30))).withColumnRenamed("source", "t"), "edges")
     all_rows = rows.join(t, F.col("source").eqNullSafe(F.col("t"))).drop("t")
     inner = all_rows.where(F.col("bucket") != F.col("edge")).withColumn("extra", (F.col("bucket") < F.col("edge")).cast("long"))
     at_edge = all_rows.where(F.col("bucket") == F.col("edge"))
@@ -102,9 +108,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     only rows at the budget's edge can differ).
     """
     plan = mix_plan(docs.select("doc_id", "source", "text"), weights, most).where("copies > 0")
-    plan = plan.groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    found = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return found.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    copies, id_, nth = (fresh(docs, x) for x in ("copies", "mixed_id", "nth"))
+    plan = plan.groupBy("doc_id").agg(F.max("copies").alias(copies)).withColumnRenamed("doc_id", id_)
+    found = docs.join(plan, docs["doc_id"].eqNullSafe(plan[id_]))
+    return found.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,7 +79,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     word = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in names), np.uint64, len(names))[coded.indices.to_numpy()]
     rolled = np.full(max(0, len(word) - k + 1), k, np.uint64)
     for j in range(k):
-        rolled = (rolled ^ word[j : len(word) - k + 1 + j]) * _A
+        rolled = (rolled ^ word[j : j + len(rolled)]) * _A
         rolled ^= rolled >> np.uint64(29)
     rolled = mix(rolled)
     end = 0

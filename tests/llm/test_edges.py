@@ -326,3 +326,10 @@ def test_weak_quality_against_labels(spark):
     got = {(r.label, r.kept): r.n for r in judged.join(labels, "doc_id").groupBy("label", "kept").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got.get((0, False), 0) >= 0.9 * sum(n for (label, _), n in got.items() if label == 0) > 0
     assert got.get((1, True), 0) >= 0.99 * sum(n for (label, _), n in got.items() if label == 1)
+
+
+def test_parity_join_of_few_words_in_all(spark):
+    """Fewer words than a shingle in a whole slice."""
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "A b"), (4, "c")], "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity_join.classes(df, 5, 8, 10).collect()}
+    assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (1, 4)}

@@ -148,3 +148,132 @@ def test_op10_shared_passages_and_large_groups(spark):
     for hot in (20, 3):
         got = {x.doc_id: (x.n_shingles, x.component_id) for x in parity_join.classes(df, 5, 8, 10, hot).collect()}
         assert got == brute_components(rows, 5, 8, 10)
+
+
+def test_op5_against_brute_force(spark):
+    """The map over hashed cells equals a plain count of n-grams in dicts; the fit equals a plain gradient descent's verdicts."""
+    import math
+
+    import numpy as np
+
+    from newsloom.llm import toxicity as X
+
+    rows = [(d, t or "") for d, t in documents()][:150] + [(1000, ""), (1001, "one"), (1002, "É é")]
+    labels = {d: d % 3 == 0 for d, _ in rows}
+    rows = [(d, t + " zzbadword qqworse" * 3 if labels[d] else t) for d, t in rows]
+
+    def cell(gram):
+        h = len(gram)
+        for c in gram:
+            h = (h ^ ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+            h ^= h >> 29
+        return h >> (64 - X.BITS)
+
+    def features(text):
+        n = collections.Counter(cell(w[i : i + k]) for word in WORD.findall(text) for w in [f" {word.lower()} "] for k in X.SIZES for i in range(len(w) - k + 1))
+        v = {c: math.log1p(k) for c, k in n.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {c: x / size for c, x in v.items()}
+
+    import pyarrow as pa
+
+    plain = [features(t) for _, t in rows]
+    for (c, v), want in zip(X.document_features(pa.array([t for _, t in rows])), plain, strict=True):
+        assert set(c.tolist()) == set(want) and all(abs(x - want[k]) < 1e-9 for k, x in zip(c.tolist(), v, strict=True))
+
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = spark.createDataFrame([(d, int(x)) for d, x in labels.items()], "doc_id bigint, toxic int")
+    train = [i for i, (d, _) in enumerate(rows) if zlib.crc32(str(d).encode()) % 4 != 2]
+    model = X.fit(df, marked)
+    p, q = collections.Counter(), collections.Counter()
+    for i in train:
+        for k, x in plain[i].items():
+            (p if labels[rows[i][0]] else q)[k] += x
+    smooth = float(np.mean([x for i in train for x in plain[i].values()]))
+    sp, sq = (sum(c.values()) + smooth * X.DIM for c in (p, q))
+    ratio = lambda k: math.log((p[k] + smooth) / sp) - math.log((q[k] + smooth) / sq)
+    scaled = [{k: x * ratio(k) for k, x in f.items()} for f in plain]
+    beta, bias = collections.defaultdict(float), math.log(len(train) and sum(labels[rows[i][0]] for i in train) / sum(not labels[rows[i][0]] for i in train))
+    for _ in range(300):
+        grad, gb = collections.defaultdict(float), 0.0
+        for i in train:
+            e = 1 / (1 + math.exp(-bias - sum(beta[k] * x for k, x in scaled[i].items()))) - labels[rows[i][0]]
+            gb += e
+            for k, x in scaled[i].items():
+                grad[k] += e * x
+        bias -= 2 * gb / len(train)
+        for k, g in grad.items():
+            beta[k] -= 2 * g / len(train)
+    want = {d: bias + sum(beta[k] * x for k, x in f.items()) > 0 for (d, _), f in zip(rows, scaled, strict=True)}
+    got = {r.doc_id: r.score > 0.5 for r in X.score(df, model).collect()}
+    assert sum(got[d] == want[d] for d in want) >= 0.99 * len(want)
+
+
+def test_pipeline_against_plain_python(spark):
+    """Every stage on its own input against a plain version; the run gives the last stage's rows."""
+    import numpy as np
+    import public_tokenizers
+    import sentencepiece
+
+    import corpus_pipeline
+    from newsloom.llm import toxicity as X
+    from newsloom.llm.common import stored
+
+    odd = [(10**6 + i, t, s) for i, (t, s) in enumerate([(None, "a"), ("", None), ("same text here", "a"), ("same  text here", "b"), ("same text here", "a")])]
+    base = spark.read.parquet(f"{DATA}/documents.parquet")
+    extra = spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in odd], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = stored(base.unionByName(extra.select(*base.columns)), "pipeline-docs")
+    stages = dict(corpus_pipeline.STAGES)
+    text = lambda df: {r.doc_id: r.text or "" for r in df.select("doc_id", "text").collect()}
+
+    clean = stored(stages["toxicity"](spark, docs, DATA), "clean")
+    scores = {r.doc_id: r.score for r in X.score(docs, X.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))).collect()}
+    assert set(text(clean)) == {d for d, s in scores.items() if s < X.THRESHOLD}
+
+    one = stored(stages["exact_dedup"](spark, clean, DATA), "one")
+    first = {}
+    for d, t in sorted(text(clean).items()):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), d)
+    assert sorted(text(one)) == sorted(first.values())
+
+    apart = stored(stages["parity_join"](spark, one, DATA), "apart")
+    comps = brute_components(sorted(text(one).items()), 5, 8, 10)
+    assert sorted(text(apart)) == sorted({c for _, c in comps.values()})
+
+    mixed = stored(stages["mixing"](spark, apart, DATA), "mixed")
+    size = {d: len(WORD.findall(t)) for d, t in text(apart).items()}
+    source = {r.doc_id: r.source for r in apart.collect()}
+    times = collections.Counter(r.doc_id for r in mixed.collect())
+    total, names = collections.Counter(), sorted({s for s in source.values()}, key=lambda s: (s is None, s or ""))
+    for d, s in source.items():
+        total[s] += size[d]
+    weight = {s: (5, 2, 1)[i % 3] if total[s] else 0 for i, s in enumerate(names)}
+    target, capped = {}, set()
+    while True:
+        left = sum(total.values()) - sum(3 * total[s] for s in capped)
+        level = left / sum(weight[s] for s in names if s not in capped)
+        over = {s for s in names if s not in capped and weight[s] and level * weight[s] > 3 * total[s]}
+        if not over:
+            break
+        capped |= over
+    for s in names:
+        target[s] = 3 * total[s] if s in capped else level * weight[s]
+        taken = sum(times[d] * size[d] for d in source if source[d] == s)
+        assert abs(taken - target[s]) <= max([size[d] for d in source if source[d] == s], default=0)
+        assert all(times[d] <= 3 for d in source if source[d] == s)
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows = stages["sentencepiece"](spark, mixed, DATA).collect()
+    assert collections.Counter(r.doc_id for r in rows) == times
+    texts = text(apart)
+    for r in rows:
+        ids = sp.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+
+    run = collections.Counter((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, DATA).collect())
+    alone = base
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        alone = stored(stage(spark, alone, DATA), name)
+    assert run == collections.Counter((r.doc_id, r.ids_sha256) for r in stages["sentencepiece"](spark, alone, DATA).collect())
+    empty = docs.where("false")
+    assert all(stage(spark, empty, DATA).count() == 0 for stage in stages.values())
