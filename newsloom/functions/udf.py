@@ -8,21 +8,22 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; null stays null."""
     return text.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescape(text: pd.Series) -> pd.Series:
     """All named and numbered entities."""
     return text.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_bytes(raw: pd.Series, charset: pd.Series) -> pd.Series:
     """Bytes by the charset named beside them; unknown names are read as UTF-8, bad bytes become marks."""
 

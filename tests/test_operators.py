@@ -75,7 +75,7 @@ def test_stale_and_age(spark):
 
 def test_novelty(spark):
     c = topics.passes_novelty(F.col("s"), F.col("l"), F.col("ls"), F.col("ll"))
-    df = spark.createDataFrame([(10.0, "b", None, None), (12.0, "b", 10.0, "a"), (11.0, "b", 10.0, "a"), (20.0, "a", 10.0, "a"), (20.0, None, 10.0, "a")], "s double, l string, ls double, ll string")
+    df = spark.createDataFrame([(10.0, "b", None, None), (15.0, "b", 10.0, "a"), (14.0, "b", 10.0, "a"), (20.0, "a", 10.0, "a"), (20.0, None, 10.0, "a")], "s double, l string, ls double, ll string")
     assert [r[0] for r in df.select(c).collect()] == [True, True, False, False, False]
 
 
