@@ -49,10 +49,14 @@ def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) ->
         prefix = prefix.join(classes.select("rep", block), "rep")
     on = ["token", *([block] if block else [])]
     a, b = (prefix.select(*on, F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "left", *[f"s{k}" for k in range(16)])]) for x in "ab")
+    # The smaller set of a pair shares more of its tokens, so it needs a shorter prefix.
+    a = a.where(F.col("left_a") >= F.ceil(F.col("n_a") * F.lit(2 * least / (1 + least)) - 1e-9))
+    in_order = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
     both = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)) - 1e-9)
     near = (F.least("left_a", "left_b") >= both) & (F.least("n_a", "n_b") >= F.ceil(F.greatest("n_a", "n_b") * F.lit(least) - 1e-9))
     differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(16)), F.lit(0))
-    pairs = a.join(b, on).where("a < b").where(near & (differ <= F.col("n_a") + F.col("n_b") - 2 * both)).select("a", "b").distinct()
+    met = a.join(b, on).where(in_order & near & (differ <= F.col("n_a") + F.col("n_b") - 2 * both))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     s, t = (classes.select(F.col("rep").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     return pairs.join(s, "a").join(t, "b").select("a", "b", jaccard(F.col("ta"), F.col("tb")).alias("similarity")).where(F.col("similarity") >= least)
 
