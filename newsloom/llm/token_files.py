@@ -24,7 +24,7 @@ pattern always cuts, each distinct piece of a batch is split and merged once, an
 bounded cache keeps ids of pieces across batches. Texts where a blank is followed by
 white space, and texts with special strings, go to the library whole.
 
-Edge cases: a null text is an empty one (its ids are the end id alone); repeated
+Edge cases: very long texts are encoded whole; a null text is an empty one (its ids are the end id alone); repeated
 rows are written each; an empty table gives no file; extra columns are not written.
 """
 

@@ -12,7 +12,7 @@ smallest hashes of doc_id among the labelled rows outside the held-out quarter.
 That sample is the only data that reaches the driver (at most ``sample_rows``
 sparse vectors); scoring is a map over all documents and shuffles nothing.
 
-Edge cases: a null text is an empty one and gets the score of no features; null
+Edge cases: very long texts are scored whole; a null text is an empty one and gets the score of no features; null
 or unlabelled ids never enter training; an id labelled twice is toxic if any
 label says so; without labels of both kinds every score is the share of toxic
 labels (0 without labels). Rows and extra columns pass through unchanged.

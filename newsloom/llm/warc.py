@@ -12,12 +12,13 @@ Reader: a task streams an archive through an incremental zlib decompressor, one
 gzip member after another, cuts the record at its Content-Length, and compares the
 digests of block and payload. It holds one record and one chunk at a time. Damage
 (a broken member, a short block, a wrong digest) raises ``WarcError`` or, with
-``strict=False``, gives a row with ``error`` set.
+``strict=False``, gives a row with ``error`` set. A revisit's announced digest is
+compared with the response that it refers to (``dangling_revisits``).
 
 Equal payloads are found by a partially aggregated ``groupBy`` of SHA-256 digests;
 the pages join the digests that occur twice or more, and Spark splits hot ones.
 
-Edge cases: a null html is an empty payload; a null url is an empty target; pages
+Edge cases: very long pages are written and read whole, one record at a time; a null html is an empty payload; a null url is an empty target; pages
 with the smallest page_id of their group are responses even where ids repeat; null
 ids come last and are written as an empty id; an empty table gives no archive and
 no rows. Extra columns of the pages are not archived.
@@ -193,10 +194,19 @@ def read_archives(manifest: DataFrame, strict: bool = True, batch_bytes: int = 8
     return manifest.select("archive").repartition(n).mapInArrow(read, RECORD)
 
 
+def dangling_revisits(records: DataFrame) -> DataFrame:
+    """Revisits whose response is not among the records or has another payload digest."""
+    held = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest").distinct()
+    return records.where("record_type = 'revisit'").join(held, ["refers_to", "payload_digest"], "left_anti")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     manifest = write_archives(pages, new_path(spark, "warc"))
-    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = stored(read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "records")
+    if not (bad := dangling_revisits(records)).isEmpty():
+        raise WarcError(f"a revisit without its response: page {bad.first().page_id}")
+    return records
 
 
 SQL_OP2 = r"""

@@ -333,3 +333,9 @@ def test_parity_join_of_few_words_in_all(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "A b"), (4, "c")], "doc_id bigint, text string").coalesce(1)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity_join.classes(df, 5, 8, 10).collect()}
     assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (1, 4)}
+
+
+def test_revisits_are_held_against_their_responses(spark):
+    rows = [(1, "d1", "response", None), (2, "d1", "revisit", 1), (3, "d2", "revisit", 1), (4, "d1", "revisit", 9)]
+    df = spark.createDataFrame(rows, "page_id bigint, payload_digest string, record_type string, refers_to bigint")
+    assert sorted(r.page_id for r in warc.dangling_revisits(df).collect()) == [3, 4]
