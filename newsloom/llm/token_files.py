@@ -231,7 +231,7 @@ def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE
         where, at = fs.FileSystem.from_uri(folder)
         where.create_dir(at, recursive=True)
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 8 << 20):  # more pieces are equal in more text
                 ids, sizes = byte_bpe(path).encode(b.column("text"))
                 ended = np.insert(ids, np.cumsum(sizes), END)  # after each document
                 out = out or _Writer(where, at)
