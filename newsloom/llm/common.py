@@ -27,9 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of whole texts: ``BATCH_ROWS`` rows, so that neither side holds many megabytes off the heap."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Arrow batches of whole texts: so many rows, so that neither side holds many megabytes off the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -43,7 +43,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import expand, new_path, slices, stored, table
+from .common import expand, new_path, slices, small_batches, stored, table
 from .prefix_table import vocabulary_path
 
 TOKENIZER, END = "byte_bpe_50k.json", 2
@@ -221,6 +221,7 @@ class TokenFile:
 def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Encode doc_id, text and write them in ascending doc_id. Returns the manifest:
     file, part, number, documents, tokens, first (ids of all files before)."""
+    small_batches(docs.sparkSession, 10_000)  # more pieces are equal in more text
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
 
@@ -231,7 +232,7 @@ def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE
         where, at = fs.FileSystem.from_uri(folder)
         where.create_dir(at, recursive=True)
         for batch in batches:
-            for b in slices(batch, "text", 8 << 20):  # more pieces are equal in more text
+            for b in slices(batch, "text", 8 << 20):
                 ids, sizes = byte_bpe(path).encode(b.column("text"))
                 ended = np.insert(ids, np.cumsum(sizes), END)  # after each document
                 out = out or _Writer(where, at)
