@@ -20,7 +20,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 1_000_000
 BATCH_ROWS = 1000
 #: Texts that a task works on at once, in bytes (a single longer text is one slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

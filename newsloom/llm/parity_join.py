@@ -301,8 +301,9 @@ def _across_hot(mixed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = bands(num, den)
         for b in batches:
-            h = [x.values.to_numpy().view(np.uint64) for x in b.column("hashes")]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(x) for x in h], pa.int64()), pa.array([of.sketch(x, 24) for x in h], pa.binary())], names=["id", "size", "sketch"])
+            for part in slices(b, "text"):
+                h = list(shingle_sets(part.column("text"), k))
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(x) for x in h], pa.int64()), pa.array([of.sketch(x, 24) for x in h], pa.binary())], names=["id", "size", "sketch"])
 
     def compare(p: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -325,7 +326,8 @@ def _across_hot(mixed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
 
     ids = stored(mixed.select("id").distinct(), "hot-ids")
-    wide = stored(_sets(docs, ids, k).mapInArrow(sketches, "id long, size long, sketch binary"), "wide-sketches")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(bounded(ids), "id", "left_semi")
+    wide = stored(texts.mapInArrow(sketches, "id long, size long, sketch binary"), "wide-sketches")
     held = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("comp", "m").alias("largest"), F.sum("m").alias("all"), F.max("m").alias("most"))
     held = held.select("key", "largest", F.ceil((F.col("all") - F.col("most")) / TILE).alias("rows"), F.ceil(F.col("all") / TILE).alias("columns"))
     rows = stored(mixed.select("key", "id", "comp").join(held, "key"), "hot-tiles")
