@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import exact_dedup, mixing, parity_join, prefix_table, secrets, token_files, toxicity, url_reputation, warc, weak_quality
+from . import conversation_repair, conversation_trie, exact_dedup, mixing, parity_join, prefix_table, secrets, token_counts, token_files, toxicity, url_reputation, warc, weak_quality
 
 LLM_QUERIES = {
     "op1_url_reputation": url_reputation.op1_url_reputation,
@@ -17,6 +17,9 @@ LLM_QUERIES = {
     "op8_weak_quality": weak_quality.op8_weak_quality,
     "op9_prefix_table": prefix_table.op9_prefix_table,
     "op10_parity_join": parity_join.op10_parity_join,
+    "op11_conversation_trie": conversation_trie.op11_conversation_trie,
+    "op12_token_counts": token_counts.op12_token_counts,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 LLM_SQL = {
@@ -25,4 +28,6 @@ LLM_SQL = {
     "op6_mixing": mixing.SQL_OP6,
     "op7_exact_dedup": exact_dedup.SQL_OP7,
     "op8_weak_quality": weak_quality.SQL_OP8,
+    "op11_conversation_trie": conversation_trie.SQL_OP11,
+    "op13_conversation_repair": conversation_repair.SQL_OP13,
 }
