@@ -31,16 +31,17 @@ def precedence(*levels: DataFrame) -> DataFrame:
 def rewrite_markers(rows: DataFrame, values: DataFrame) -> DataFrame:
     """rows: id, text. Markers become their value; those without one lose their brackets.
 
-    The text is cut at its markers, the terms are joined to their values, and the
-    parts are put together again in order.
+    Only (text's hash, place, term) of distinct texts meets the term base; what was found goes back to
+    the rows by the hash and the text is cut and joined where it stands. Ids may repeat; of
+    several values of a term the greatest counts; a null text stays null.
     """
-    plain = F.split("text", MARKER)
     terms = F.regexp_extract_all("text", F.lit(MARKER), F.lit(1))
-    parts = rows.select("id", plain.alias("plain"), F.posexplode_outer(terms).alias("pos", "term"))
-    named = parts.join(values, "term", "left")
-    fixed = named.groupBy("id").agg(F.first("plain").alias("plain"), F.transform(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("value", "term").alias("v"))))), lambda x: x["v"]).alias("v"))
-    joined = F.aggregate(F.zip_with("plain", "v", lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), F.lit(""), lambda s, x: F.concat(s, x))
-    return fixed.select("id", joined.alias("text"))
+    keyed = rows.select("id", "text", F.md5("text").alias("_k"))
+    found = keyed.select("_k", terms.alias("terms")).where(F.size("terms") > 0).distinct().select("_k", F.posexplode("terms").alias("pos", "term"))
+    known = values.groupBy("term").agg(F.max("value").alias("value"))
+    named = found.join(known, "term", "left").groupBy("_k").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("value", "term").alias("v")))), lambda x: x["v"]).alias("v"))
+    joined = F.aggregate(F.zip_with(F.split("text", MARKER), "v", lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), F.lit(""), lambda s, x: F.concat(s, x))
+    return keyed.join(named, "_k", "left").select("id", F.when(F.col("v").isNull(), F.col("text")).otherwise(joined).alias("text"))
 
 
 def insert_terms(known: DataFrame, new: DataFrame, key: str = "term") -> DataFrame:

@@ -9,6 +9,21 @@ from newsloom.operators.store import discard, stored
 
 #: Ranges a group's values are cut into.
 RANGES = 1000
+#: No finite double has a larger logarithm.
+LOG = 710.0
+
+
+def _range(v: Column, low: Column, high: Column) -> Column:
+    """The range of a value, ascending. Infinite values and NaN (the largest) have their own; equal steps
+    where low, high and their distance are finite, steps of the logarithm where they are not. The least and
+    the largest value never share a range, so every cut makes progress."""
+    huge, nan = F.lit(float("inf")), F.isnan(high)
+    log = lambda x: F.signum(x) * F.log1p(F.abs(x))
+    ends = lambda x: F.greatest(F.least(log(x), F.lit(LOG)), F.lit(-LOG))
+    plain = ~nan & (high < huge) & (low > -huge) & (high - low < huge)
+    even = F.least(F.floor((v - low) / (high - low) * RANGES), F.lit(RANGES - 1))
+    steps = F.least(F.floor((log(v) - ends(low)) / (F.when(nan, F.lit(LOG)).otherwise(ends(high)) - ends(low)) * RANGES), F.lit(RANGES - 1))
+    return F.when(plain, even).when(F.isnan(v), RANGES + 1).when(v == huge, RANGES).when(v == -huge, -1).otherwise(steps)
 
 
 def at_places(rows: DataFrame, group: str, value: str, places: dict[str, Column]) -> DataFrame:
@@ -29,7 +44,7 @@ def at_places(rows: DataFrame, group: str, value: str, places: dict[str, Column]
         if todo.isEmpty():
             break
         spans = todo.select("g", "low", "high").distinct()
-        part = F.least(F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * RANGES), F.lit(RANGES - 1))
+        part = _range(F.col("v"), F.col("low"), F.col("high"))
         counts = rows.join(spans, "g").where("v between low and high").groupBy("g", "low", "high", part.alias("part")).agg(F.count(F.lit(1)).alias("k"), F.min("v").alias("least"), F.max("v").alias("most"))
         upto = F.sum("k").over(Window.partitionBy("g", "low", "high").orderBy("part"))
         ranges = counts.withColumn("upto", upto)

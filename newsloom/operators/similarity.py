@@ -3,26 +3,36 @@
 Set joins collapse equal token sets to classes first (copies never form pairs; rows
 without tokens have no class and match nothing, see ``without_tokens``), then
 use the prefix filter: with tokens ordered from rare to frequent, two sets of Jaccard
->= t share one of their first n - ceil(t * n) + 1 tokens, so frequent words are never
-joined on. Pairs are verified exactly.
+>= t share one of their first n - ceil(t * n) + 1 tokens. Only rare tokens are joined on; sets that have
+but frequent words in common are compared as bit sets. Pairs are verified exactly.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import cosine, jaccard
+from newsloom.operators.ordinals import laid_out, ordinals
 from newsloom.operators.store import discard, stored
 
+#: Set joins: a token is hot from 2^LEAST_HOT sets on at least, so many tokens of a block are hot at most, so
+#: many sets meet in a tile; what a pair met in the join costs (times 64 bits compared in a tile).
+LEAST_HOT, HOT_TOKENS, HOT_TILE, JOIN_COST = 4, 8192, 8192, 40
+#: Vector joins: rows that name cells at most (they reach the driver), vectors on a side of a tile.
+PIVOTS, VECTOR_TILE = 64, 4096
+#: Rows of one component that a scan with replacement takes at once.
+FOLD_ROWS = 2000
 
-def set_classes(rows: DataFrame, block: str | None = None, ids: bool = False) -> DataFrame:
-    """rows: id, tokens (and the block's column). One row a distinct set: rep, tokens, copies (and the ids)."""
+
+def set_classes(rows: DataFrame, block: str | None = None) -> DataFrame:
+    """rows: id, tokens (and the block's column). One row a distinct set: rep, tokens, copies."""
     keys = ["tokens", *([block] if block else [])]
-    more = [F.array_sort(F.collect_list("id")).alias("ids")] if ids else []
-    return rows.where(F.size("tokens") > 0).groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *more)
+    return rows.where(F.size("tokens") > 0).groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
 
 
 def without_tokens(rows: DataFrame) -> DataFrame:
@@ -30,24 +40,46 @@ def without_tokens(rows: DataFrame) -> DataFrame:
     return rows.where(F.coalesce(F.size("tokens"), F.lit(0)) <= 0)
 
 
-def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) -> DataFrame:
+def hot_level(common: DataFrame, sets: DataFrame, block: list[str]) -> int:
+    """From how many sets on a token is hot: what the join and the tiles would cost at each power of two decides.
+
+    common: token, df and the block; sets: n (sets of a block) and the block. At most ``HOT_TOKENS`` of a block are hot.
+    """
+    level = F.ceil(F.log2(F.col("df"))).cast("int")
+    by = common.groupBy(*block, level.alias("level")).agg(F.sum(F.col("df").cast("double") * F.col("df")).alias("pairs"), F.count(F.lit(1)).alias("tokens"))
+    by = by.crossJoin(F.broadcast(sets)) if not block else by.join(sets, block)
+    levels = by.select("*", F.explode(F.sequence(F.lit(LEAST_HOT), F.lit(40))).alias("at"))
+    tokens = F.sum(F.when(F.col("level") > F.col("at"), F.col("tokens")).otherwise(0))
+    one = levels.groupBy(*block, "at").agg(F.sum(F.when(F.col("level") <= F.col("at"), F.col("pairs")).otherwise(0)).alias("joined"), tokens.alias("hot"), F.max("n").alias("n"))
+    cost = F.sum(F.col("joined") * JOIN_COST + F.col("n").cast("double") * F.col("n") * F.ceil(F.col("hot") / 64))
+    best = one.groupBy("at").agg(cost.alias("cost"), F.max("hot").alias("hot")).where(F.col("hot") <= HOT_TOKENS).orderBy("cost", "at").limit(1).collect()
+    return 2 ** best[0]["at"] if best else 2**LEAST_HOT
+
+
+def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None, hot: int | None = None) -> DataFrame:
     """classes: rep, tokens. Pairs a < b with Jaccard >= least: a, b, similarity.
 
-    A pair that meets in a token is dropped inside the join unless sizes, places (enough
+    The rarest common token of a pair lies in both prefixes. If it is cold (in at most ``hot`` sets) the
+    pair meets in the join on cold prefix tokens; a pair met there is dropped unless sizes, places (enough
     tokens are left from the first common one on in both) and the Hamming distance of
-    1024-bit parity sketches (at most the size of the symmetric difference) allow it.
+    1024-bit parity sketches (at most the size of the symmetric difference) allow it. If it is hot, all common
+    tokens are: such sets, at least ``least`` of whose tokens are hot, are compared as bit sets of
+    the hot tokens, tile by tile, and only pairs with enough of these in common become rows.
     """
-    spread = classes.select("rep", F.explode("tokens").alias("token"))
-    common = spread.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    own = [block] if block else []
+    on = ["token", *own]
+    spread = classes.select("rep", *own, F.explode("tokens").alias("token"))
+    common = stored(spread.groupBy(*on).agg(F.count(F.lit(1)).alias("df")), "token-counts")
+    if hot is None:
+        hot = hot_level(common, classes.groupBy(*own).agg(F.count(F.lit(1)).alias("n")), own)
     cell = F.pmod(F.xxhash64("token"), F.lit(1024))
     odd = [F.bit_xor(F.when(F.floor(F.col("cell") / 64) == k, F.expr("shiftleft(1L, int(cell % 64))")).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(16)]
-    ranked = spread.join(common, "token").withColumn("cell", cell).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"), *odd)
+    counted = spread.join(common, on)
+    ranked = counted.withColumn("cell", cell).groupBy("rep", *own).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"), *odd)
     n = F.size("ranked")
     short = F.slice("ranked", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))
-    prefix = ranked.select("rep", n.alias("n"), *[f"s{k}" for k in range(16)], F.posexplode(short).alias("place", "t")).withColumn("left", F.col("n") - F.col("place")).withColumn("token", F.col("t.token")).drop("t", "place")
-    if block:
-        prefix = prefix.join(classes.select("rep", block), "rep")
-    on = ["token", *([block] if block else [])]
+    cold = F.filter(F.transform(short, lambda t, i: F.struct(i.alias("place"), t["token"].alias("token"), t["df"].alias("df"))), lambda t: t["df"] <= hot)
+    prefix = ranked.select("rep", *own, n.alias("n"), *[f"s{k}" for k in range(16)], F.explode(cold).alias("t")).withColumn("left", F.col("n") - F.col("t.place")).withColumn("token", F.col("t.token")).drop("t")
     a, b = (prefix.select(*on, F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "left", *[f"s{k}" for k in range(16)])]) for x in "ab")
     # The smaller set of a pair shares more of its tokens, so it needs a shorter prefix.
     a = a.where(F.col("left_a") >= F.ceil(F.col("n_a") * F.lit(2 * least / (1 + least)) - 1e-9))
@@ -56,11 +88,54 @@ def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None) ->
     near = (F.least("left_a", "left_b") >= both) & (F.least("n_a", "n_b") >= F.ceil(F.greatest("n_a", "n_b") * F.lit(least) - 1e-9))
     differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(16)), F.lit(0))
     met = a.join(b, on).where(in_order & near & (differ <= F.col("n_a") + F.col("n_b") - 2 * both))
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(_hot_pairs(counted, classes.select("rep", F.size("tokens").alias("n")), common, least, own, hot)).distinct()
     s, t = (classes.select(F.col("rep").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     return pairs.join(s, "a").join(t, "b").select("a", "b", jaccard(F.col("ta"), F.col("tb")).alias("similarity")).where(F.col("similarity") >= least)
 
 
+def _hot_pairs(counted: DataFrame, sizes: DataFrame, common: DataFrame, least: float, own: list[str], hot: int, tile: int = HOT_TILE) -> DataFrame:
+    """Pairs a < b of one block whose hot tokens alone give them Jaccard >= least."""
+    place = F.row_number().over(Window.partitionBy(*[F.col(c) for c in own] or [F.lit(0)]).orderBy("token"))  # at most HOT_TOKENS of a block
+    named = common.where(F.col("df") > hot).select("token", *own, (place - 1).alias("bit"))
+    many = counted.where(F.col("df") > hot).join(named, ["token", *own]).groupBy("rep", *own).agg(F.collect_list("bit").alias("bits"))
+    some = stored(many.join(sizes, "rep").where(F.size("bits") >= F.ceil(F.col("n") * F.lit(least) - 1e-9)), "hot-sets")
+    tiles = some.groupBy(*own).agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    dealt = (some.join(tiles, own) if own else some.crossJoin(F.broadcast(tiles))).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))).select(*own, F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "rep", "n", "bits")
+    kind = some.schema["rep"].dataType.simpleString()
+
+    def compare(p: pa.Table) -> pa.Table:
+        i, j = p.column("i")[0].as_py(), p.column("j")[0].as_py()
+        tiles, n = p.column("tile").to_numpy(), p.column("n").to_numpy()
+        bits = p.column("bits").combine_chunks()
+        flat = bits.flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(n)), np.diff(bits.offsets.to_numpy()))
+        words = np.zeros((len(n), int(flat.max(initial=0)) // 64 + 1), np.uint64)
+        np.bitwise_or.at(words, (row, flat // 64), np.uint64(1) << (flat % 64).astype(np.uint64))
+        x, y = np.flatnonzero(tiles == i), np.flatnonzero(tiles == j)
+        x, y = x[np.argsort(n[x], kind="stable")], y[np.argsort(n[y], kind="stable")]
+        left, right = [], []
+        step = 64
+        for at in range(0, len(x), step):
+            u = x[at : at + step]
+            # sizes ascend, so the sets that may match are one run
+            v = y[np.searchsorted(n[y], least * n[u[0]] - 1e-9) : np.searchsorted(n[y], n[u[-1]] / least + 1e-9, side="right")]
+            for w in (v[k : k + 2048] for k in range(0, len(v), 2048)):
+                both = np.zeros((len(u), len(w)), np.int64)
+                for k in range(words.shape[1]):
+                    both += np.bitwise_count(words[u, k][:, None] & words[w, k][None, :])
+                r, c = np.nonzero(both / (n[u][:, None] + n[w][None, :] - both) >= least)
+                left.append(u[r])
+                right.append(w[c])
+        left, right = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (left, right))
+        once = left < right if i == j else np.ones(len(left), bool)
+        rep = p.column("rep")
+        return pa.table({"x": rep.take(pa.array(left[once])), "y": rep.take(pa.array(right[once]))})
+
+    found = dealt.groupBy(*own, "i", "j").applyInArrow(compare, f"x {kind}, y {kind}")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def containments(classes: DataFrame, block: str | None = None) -> DataFrame:
     """classes: rep, tokens. Pairs a < b of which one set contains the other.
 
@@ -94,40 +169,129 @@ def cosine_matches(queries: DataFrame, rows: DataFrame, least: float, on: list[s
     return joined.withColumn("similarity", cosine(F.col("qv"), F.col("v"))).where(F.col("similarity") >= least)
 
 
-def pair_counts(rows: DataFrame, least: float, block: str, tile: int = 2000) -> DataFrame:
-    """All pairs (ids differ, each pair once) of a block with cosine >= least, by class: class, n.
+def _unit(v: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Rows as vectors of length one (zero, missing and NaN values count as zero)."""
+    out = np.stack([np.pad(np.nan_to_num(np.asarray(x, float))[:width], (0, max(0, width - len(x)))) for x in v.to_pylist()]) if len(v) else np.zeros((0, width))
+    norm = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+
+
+def cosine_join(rows: DataFrame, least: float, emit, schema: str, pivots: int = PIVOTS, tile: int = VECTOR_TILE) -> DataFrame:
+    """All pairs of rows (each once) with cosine >= least > 0, handed to ``emit`` where they are found.
+
+    rows: id, v and other columns. emit(left, right, cosines): two tables of the rows without v and an
+    array; it returns a table of ``schema`` (pairs, or counts of pairs).
 
-    rows: id, v, day, week (whole numbers or null) and the block. A block is cut into
-    tiles of about ``tile`` rows by a hash of the id and every two tiles meet in one
-    matrix product: pairs are counted where they are found and never become rows.
+    Cells: a row's home is the nearest of ``pivots`` rows in angle. With t the angle of ``least``, the partners of a row
+    x at home in q are nearer to q than to x's own pivot, so q's angle to x exceeds x's own by 2t at most
+    and is at most q's radius + t: x visits the cells of larger number of which both hold. Pairs of one
+    cell, and of its visitors with its own, meet in tiles. If visits would copy rows more often than tiles of
+    the whole do (vectors without clusters), all rows have one home. Nothing is lost either way.
     """
-    rows = rows.where(F.col("v").isNotNull()).select("id", block, F.transform("v", lambda x: x.cast("double")).alias("v"), "day", "week")
-    size = rows.groupBy(block).agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
-    dealt = rows.join(size, block).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
-    dealt = dealt.select(block, F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "v", "day", "week")
-    kinds = ("cross-week", "same-day", "same-week")
-
-    def count(p: pd.DataFrame) -> pd.DataFrame:
-        width = max(map(len, p["v"]))
-        v = np.stack([np.pad(np.nan_to_num(np.asarray(x, float)), (0, width - len(x))) for x in p["v"]])
-        norm = np.sqrt((v * v).sum(1))
-        ids, tiles = p["id"].to_numpy(), p["tile"].to_numpy()
-        day, week = (p[c].fillna(-(10**9)).to_numpy(np.int64) for c in ("day", "week"))
-        i, j = p["i"].iloc[0], p["j"].iloc[0]
-        a, b = np.flatnonzero(tiles == i), np.flatnonzero(tiles == j)
-        both = norm[a][:, None] * norm[b][None, :]
-        cos = np.divide(v[a] @ v[b].T, both, out=np.zeros_like(both), where=both > 0)
-        x, y = np.nonzero(cos >= least)
-        x, y = a[x], b[y]
-        once = ids[x] < ids[y] if i == j else np.ones(len(x), bool)
-        x, y = x[once], y[once]
-        known = (day[x] > -(10**9)) & (day[y] > -(10**9))
-        cross = known & (week[x] != week[y])
-        same = known & ~cross & (day[x] == day[y])
-        return pd.DataFrame({"class": kinds, "n": [int(cross.sum()), int(same.sum()), int((~cross & ~same).sum())]})
-
-    parts = dealt.groupBy(block, "i", "j").applyInPandas(count, "class string, n long")
+    some = rows.where(F.col("v").isNotNull()).withColumn("v", F.transform("v", lambda x: x.cast("double")))
+    others = [c for c in rows.columns if c != "v"]
+    fields = ", ".join(f"`{c}` {some.schema[c].dataType.simpleString()}" for c in others)
+    size = some.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).first()
+    n, width = size["n"], max(1, size["width"] or 1)
+    centre = _unit(some.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").toArrow().column("v"), width) if n > tile else np.zeros((0, width))
+    t = float(np.arccos(np.clip(least, -1, 1))) + 1e-9
+
+    def angles(v: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(v @ centre.T, -1, 1))
+
+    def settle(batches):
+        for b in batches:
+            u = _unit(b.column("v"), width)
+            far = angles(u) if len(centre) else np.zeros((len(u), 1))
+            home = far.argmin(1)
+            own = far[np.arange(len(u)), home]
+            visits = ((far - own[:, None] <= 2 * t) & (np.arange(far.shape[1]) > home[:, None])).sum(1)
+            cols = [pa.array(home, pa.int32()), pa.array(own, pa.float64()), pa.array(visits, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in others], b.column("v"), *cols], names=[*others, "v", "_home", "_far", "_visits"])
+
+    at_home = stored(some.select(*others, "v").mapInArrow(settle, f"{fields}, v array<double>, _home int, _far double, _visits long"), "cells")
+    cells = {r["_home"]: r for r in at_home.groupBy("_home").agg(F.max("_far").alias("r"), F.count(F.lit(1)).alias("n"), F.sum("_visits").alias("v")).collect()}  # a row a pivot
+    within = sum(r["n"] * -(-r["n"] // tile) + r["v"] for r in cells.values())
+    pruned = len(centre) > 0 and within < n * -(-n // tile)
+    radius = np.array([cells[k]["r"] if k in cells else -10.0 for k in range(len(centre))])
+
+    def visit(batches):
+        for b in batches:
+            if pruned:
+                far, home, own = angles(_unit(b.column("v"), width)), b.column("_home").to_numpy(), b.column("_far").to_numpy()
+                row, cell = np.nonzero((far - own[:, None] <= 2 * t) & (far <= radius + t) & (np.arange(far.shape[1]) > home[:, None]))
+            else:
+                home, row, cell = np.zeros(b.num_rows, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            every = pa.array(np.concatenate([np.arange(b.num_rows), row]))
+            cols = [pa.array(np.concatenate([home, cell]), pa.int32()), pa.array(np.concatenate([np.zeros(b.num_rows, bool), np.ones(len(row), bool)]))]
+            yield pa.RecordBatch.from_arrays([*[b.column(c).take(every) for c in [*others, "v"]], *cols], names=[*others, "v", "_cell", "_guest"])
+
+    placed = at_home.mapInArrow(visit, f"{fields}, v array<double>, _cell int, _guest boolean")
+    counts = placed.groupBy("_cell").agg(F.ceil(F.count_if(~F.col("_guest")) / tile).alias("_owns"), F.ceil(F.count_if("_guest") / tile).alias("_guests"))
+    dealt = placed.join(F.broadcast(counts), "_cell").withColumn("_tile", F.pmod(F.xxhash64("id"), F.when(F.col("_guest"), F.col("_guests")).otherwise(F.col("_owns"))))
+    upto = lambda c: F.filter(F.sequence(F.lit(0).cast("bigint"), F.col(c)), lambda x: x < F.col(c))
+    meet = lambda kind, i, j: F.struct(F.lit(kind).alias("_kind"), i.alias("_i"), j.alias("_j"))
+    own = F.concat(F.transform(upto("_owns"), lambda o: meet(0, F.least("_tile", o), F.greatest("_tile", o))), F.transform(upto("_guests"), lambda o: meet(1, o, F.col("_tile"))))
+    guest = F.transform(upto("_owns"), lambda o: meet(1, F.col("_tile"), o))
+    met = dealt.withColumn("_m", F.explode(F.when(F.col("_guest"), guest).otherwise(own))).select(*others, "v", "_cell", "_guest", "_tile", "_m.*")
+
+    def match(p: pa.Table) -> pa.Table:
+        u, g, tiles = _unit(p.column("v"), width), p.column("_guest").to_numpy(), p.column("_tile").to_numpy()
+        kind, i, j = (p.column(c)[0].as_py() for c in ("_kind", "_i", "_j"))
+        a, b = (np.flatnonzero(g), np.flatnonzero(~g)) if kind else (np.flatnonzero(tiles == i), np.flatnonzero(tiles == j))
+        left, right, cos = [], [], []
+        for at in range(0, len(a), 512):  # some megabytes of products at once
+            c = u[a[at : at + 512]] @ u[b].T
+            x, y = np.nonzero(c >= least)
+            once = (a[at : at + 512][x] < b[y]) | bool(kind) | (i != j)
+            left.append(a[at : at + 512][x[once]])
+            right.append(b[y[once]])
+            cos.append(c[x, y][once])
+        left, right, cos = (np.concatenate([np.zeros(0, k), *z]) for z, k in ((left, np.int64), (right, np.int64), (cos, float)))
+        bare = p.select(others)
+        return emit(bare.take(pa.array(left)), bare.take(pa.array(right)), cos)
+
+    return met.groupBy("_cell", "_kind", "_i", "_j").applyInArrow(match, schema)
+
+
+def cosine_pairs(rows: DataFrame, least: float, block: str | None = None, **bounds: int) -> DataFrame:
+    """rows: id, v (and the block). Pairs a < b of different ids with cosine >= least: a, b, similarity."""
+
+    def emit(x: pa.Table, y: pa.Table, cos: np.ndarray) -> pa.Table:
+        i, j = x.column("id"), y.column("id")
+        keep = pc.not_equal(i, j)
+        if block:
+            keep = pc.and_(keep, pc.fill_null(pc.equal(x.column(block), y.column(block)), False))
+        return pa.table({"a": pc.if_else(pc.less(i, j), i, j), "b": pc.if_else(pc.less(i, j), j, i), "similarity": pa.array(cos, pa.float64())}).filter(keep)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return cosine_join(rows.select("id", "v", *([block] if block else [])), least, emit, f"a {kind}, b {kind}, similarity double", **bounds)
+
+
+def pair_counts(rows: DataFrame, least: float, block: str | None = None, **bounds: int) -> DataFrame:
+    """All pairs (ids differ, each pair once) with cosine >= least, by class: class, n.
+
+    rows: id, v, day, week (whole numbers or null) and, if pairs must share it, the block; with ``at`` (a number that orders
+    arrivals) and ``done`` (consumed by the report of its own day) the earlier row of a pair may be out of the later one's
+    sight. A pair is cross-week, else ``analysed`` if so, else same-day or same-week (as are pairs without a day). Pairs
+    are counted where they are found and never become rows.
+    """
+    kinds = ("cross-week", "analysed", "same-day", "same-week")
+
+    def emit(x: pa.Table, y: pa.Table, cos: np.ndarray) -> pa.Table:
+        of = lambda p, c: pc.fill_null(p.column(c).cast(pa.int64()), -(10**9)).to_numpy()
+        keep = x.column("id").to_numpy() != y.column("id").to_numpy()
+        if block:
+            keep &= pc.fill_null(pc.equal(x.column(block), y.column(block)), False).to_numpy(zero_copy_only=False)
+        known = (of(x, "day") > -(10**9)) & (of(y, "day") > -(10**9))
+        cross = known & (of(x, "week") != of(y, "week"))
+        first, gone = of(x, "at") < of(y, "at"), [pc.fill_null(p.column("done"), False).to_numpy(zero_copy_only=False) for p in (x, y)]
+        done = ~cross & (of(x, "at") != of(y, "at")) & np.where(first, *gone)
+        same = known & ~cross & ~done & (of(x, "day") == of(y, "day"))
+        return pa.table({"class": kinds, "n": [int((keep & k).sum()) for k in (cross, done, same, ~cross & ~done & ~same)]})
+
+    rows = rows if "done" in rows.columns else rows.withColumn("at", F.lit(0).cast("long")).withColumn("done", F.lit(False))
+    parts = cosine_join(rows.select("id", "v", "day", "week", "at", "done", *([block] if block else [])), least, emit, "class string, n long", **bounds)
     return parts.groupBy("class").agg(F.sum("n").alias("n")).where("n > 0")
 
 
@@ -171,33 +335,31 @@ def close_pairs(rows: DataFrame, least: float, block: str, gap: int, tile: int =
     return dealt.groupBy(block, "at", "step", "i", "j").applyInPandas(match, "a long, b long, similarity double")
 
 
-def vector_dedup(candidates: DataFrame, held: DataFrame, seen: float, near: float, block: str) -> DataFrame:
-    """candidates: id, v, n (text length) and the block; held: id, v and the block. id, last.
+def vector_dedup(candidates: DataFrame, held: DataFrame, seen: float, near: float, block: str | None = None) -> DataFrame:
+    """candidates: id, v, n (text length); held: id, v; both with the block, if pairs must share it. id, last.
 
     A candidate with cosine >= seen to a held row goes. Of the others a scan by id keeps
     slots: one with cosine >= near to a slot's row takes the slot if its text is longer, else it goes.
     Rows without a vector match nothing and come last.
     """
+    own = [block] if block else []
     some = candidates.where(F.col("v").isNotNull())
-    hits = cosine_matches(some.select(F.col("id").alias("q"), F.col("v").alias("qv"), block), held.where(F.col("v").isNotNull()).select("id", "v", block), seen, [block])
-    left = stored(some.join(hits.select(F.col("q").alias("id")).distinct(), "id", "left_anti"), "unseen")
-    pairs = cosine_matches(left.select(F.col("id").alias("q"), F.col("v").alias("qv"), block), left.select("id", "v", block), near, [block], F.col("q") < F.col("id"))
-    edges = stored(pairs.select(F.col("q").alias("a"), F.col("id").alias("b")), "edges")
-    # What a row is near to travels with it: a fold needs no vectors.
-    around = edges.union(edges.select("b", "a")).groupBy("a").agg(F.collect_set("b").alias("near")).withColumnRenamed("a", "id")
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        slots: list[list] = []
-        for i, n, close in zip(rows["id"], rows["n"], rows["near"], strict=True):
-            close = set(close) if close is not None else set()
-            slot = next((s for s in slots if s[0] in close), None)
-            if slot is None:
-                slots.append([i, n])
-            elif n > slot[1]:
-                slot[:] = [i, n]
-        return pd.DataFrame({"id": [s[0] for s in slots]})
-
-    kept = fold_components(left.select("id", "n").join(around, "id", "left"), edges, fold, "id long")
+    both = some.select(F.struct(F.lit(0).alias("side"), "id").alias("id"), "v", *own).union(held.where(F.col("v").isNotNull()).select(F.struct(F.lit(1).alias("side"), "id").alias("id"), "v", *own))
+
+    def emit(x: pa.Table, y: pa.Table, cos: np.ndarray) -> pa.Table:
+        sides = [pc.struct_field(p.column("id"), "side").combine_chunks() for p in (x, y)]
+        ids = [pc.struct_field(p.column("id"), "id").combine_chunks() for p in (x, y)]
+        keep = pc.not_equal(*sides)
+        if block:
+            keep = pc.and_(keep, pc.fill_null(pc.equal(x.column(block), y.column(block)), False))
+        return pa.table({"id": pc.if_else(pc.equal(sides[0], 0), *ids).filter(keep)})
+
+    kind = candidates.schema["id"].dataType.simpleString()
+    hits = cosine_join(both, seen, emit, f"id {kind}").distinct()
+    left = stored(some.join(hits, "id", "left_anti"), "unseen")
+    pairs = cosine_pairs(left.select("id", "v", *own), near, block)
+    edges = stored(pairs.select("a", "b"), "edges")
+    kept = fold_slots(left.select("id", F.col("id").alias("cls"), "n"), edges).select("id")
     return kept.withColumn("last", F.lit(False)).union(candidates.where(F.col("v").isNull()).select("id", F.lit(True)))
 
 
@@ -269,55 +431,65 @@ def components(edges: DataFrame) -> DataFrame:
     return label
 
 
-def fold_components(rows: DataFrame, edges: DataFrame, fold, schema: str) -> DataFrame:
-    """Run an order-sensitive fold inside each component of the graph.
-
-    rows: id, tokens, ...; rows without an edge are components of one. A fold sees the
-    rows of its component by id; it needs no others, as what it compares is linked.
-    """
-    comp = components(edges)
-    placed = rows.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return placed.groupBy("comp").applyInPandas(lambda p: fold(p.sort_values("id")), schema)
-
-
-def _similarity(a: set, b: set) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both) if a and b else 0.0
-
+def fold_slots(rows: DataFrame, edges: DataFrame, limit: int = FOLD_ROWS) -> DataFrame:
+    """The scan with replacement: slot (the id that opened it), id (what holds it in the end).
 
-def replacing_fold(over: float):
-    """Keep slots in order; a row close to a slot's row replaces it if it has more tokens.
+    rows: id, cls, n; edges: a, b (classes whose rows are near; rows of one class are near each
+    other). In the order of id a row takes the earliest slot held by a near row if its n is
+    greater, is dropped if it is not, and opens a slot where no near row holds one.
 
-    A row may stand for a class of equal sets (ids, ascending): each id comes in its
-    turn, as a copy opens a new slot when longer rows have taken the old one.
+    What a row meets are slots of its component, so components go on side by side; a component of more than
+    ``limit`` rows goes in blocks of its order: a block's group holds its rows, the slots that they
+    are near to and the links among these, and leaves the slots it changed in a table for the next one. Rounds:
+    rows of the largest component / limit.
     """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = [set(t) for t in rows["tokens"]]
-        ids = [list(i) for i in rows["ids"]] if "ids" in rows else [[i] for i in rows["id"]]
-        known: dict[tuple[int, int], bool] = {}
-
-        def close(x: int, y: int) -> bool:
-            if (x, y) not in known:
-                known[x, y] = _similarity(sets[x], sets[y]) > over
-            return known[x, y]
-
-        slots: list[list] = []
-        changes, seen = 0, [-1] * len(sets)
-        for i, x in sorted((i, x) for x, own in enumerate(ids) for i in own):
-            if sets[x] and seen[x] == changes:  # an equal set came, and no slot has changed since
+    both = stored(edges.select("a", "b").where("a <> b").union(edges.where("a <> b").select("b", "a")).distinct(), "fold-edges")
+    comp = stored(rows.select(F.col("cls").alias("id")).distinct().join(components(both), "id", "left").select(F.col("id").alias("cls"), F.coalesce("comp", "id").alias("comp")), "fold-components")
+    placed = laid_out(rows.join(comp, "cls").select("comp", "id", "cls", "n"), ["comp", "id"], "fold-rows")
+    placed = stored(ordinals(placed, ["comp"]).select("comp", "id", "cls", "n", F.floor((F.col("nth") - 1) / limit).alias("block")), "fold-blocks")
+    blocks = (placed.agg(F.max("block")).first()[0] if not placed.isEmpty() else -1) + 1
+    slots = stored(placed.where("false").select("comp", F.col("id").alias("slot"), "id", "cls", "n"), "slots")
+    schema = slots.schema
+
+    def fold(new: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        near: dict[int, list[int]] = {}
+        for c, d in zip(links["c"], links["d"], strict=True):
+            near.setdefault(c, []).append(d)
+        held: dict[int, list] = {}  # slot: id, cls, n
+        at: dict[int, set[int]] = {}  # class: its slots
+        old = new[new["block"] < 0]
+        for slot, i, c, n in zip(old["slot"], old["id"], old["cls"], old["n"], strict=True):
+            held[slot] = [i, c, n]
+            at.setdefault(c, set()).add(slot)
+        fresh = new[new["block"] >= 0].sort_values("id")
+        changed: set[int] = set()
+        for i, c, n in zip(fresh["id"], fresh["cls"], fresh["n"], strict=True):
+            met = [s for d in (c, *near.get(c, ())) for s in at.get(d, ())]
+            slot = min(met) if met else i
+            if met and n <= held[slot][2]:
                 continue
-            near = next((s for s in slots if close(s[2], x)), None)
-            if near is None:
-                slots.append([i, i, x])
-                changes += 1
-            elif len(sets[x]) > len(sets[near[2]]):
-                near[1:] = [i, x]
-                changes += 1
-            seen[x] = changes
-        return pd.DataFrame([(s[0], s[1]) for s in slots], columns=["slot", "id"])
-
-    return fold
+            if met:
+                at[held[slot][1]].discard(slot)
+            held[slot] = [i, c, n]
+            at.setdefault(c, set()).add(slot)
+            changed.add(slot)
+        comp = new["comp"].iloc[0] if len(new) else 0
+        return pd.DataFrame([(comp, s, *held[s]) for s in sorted(changed)], columns=["comp", "slot", "id", "cls", "n"])
+
+    for k in range(blocks):
+        now = placed.where(F.col("block") == k)
+        here = now.select("comp", F.col("cls").alias("c")).distinct()
+        links = stored(here.join(both.select(F.col("a").alias("c"), F.col("b").alias("d")), "c"), "fold-links")
+        wanted = links.select("comp", F.col("d").alias("cls")).union(here.select("comp", "c")).distinct()
+        old = stored(slots.join(wanted, ["comp", "cls"], "left_semi").select("comp", "slot", "id", "cls", "n", F.lit(-1).cast("long").alias("block")), "fold-slots")
+        alive = old.select(F.col("cls").alias("d")).union(here.select("c")).distinct()
+        own = now.select("comp", F.col("id").alias("slot"), "id", "cls", "n", "block").unionByName(old)
+        changed = stored(own.groupBy("comp").cogroup(links.join(alive, "d", "left_semi").select("comp", "c", "d").groupBy("comp")).applyInPandas(fold, schema), "fold-changed")
+        after = stored(slots.join(changed.select("slot"), "slot", "left_anti").select(*schema.names).unionByName(changed), "slots")
+        discard(slots, links, old, changed)
+        slots = after
+    discard(both, comp, placed)
+    return slots.select("slot", "id")
 
 
 def best_match(pairs: DataFrame, query: str, order: list[Column]) -> DataFrame:

@@ -102,12 +102,12 @@ def analysis_patch(spark, sf):
 
 _DOT = "list_inner_product({0}::double[], {1}::double[]) / sqrt(list_inner_product({0}::double[], {0}::double[]) * list_inner_product({1}::double[], {1}::double[]))"
 _VEC = """v as (select vec_id, case when vec_id % 9 <> 0 then embedding end as e, label, length(coalesce(text, '')) as n from embeddings left join documents on doc_id = vec_id),
-cand as materialized (select * from v where vec_id % 20 = 0), held as (select * from v where vec_id % 20 <> 0 and vec_id % 3 = 0)"""
+cand as materialized (select * from v where vec_id % 20 = 0), held as (select * from v where vec_id % 20 <> 0)"""
 
 
-@query(f"""with recursive {_VEC}, hit as (select distinct c.vec_id from cand c join held h on c.label = h.label where c.e is not null and h.e is not null and {_DOT.format('c.e', 'h.e')} >= 0.35),
+@query(f"""with recursive {_VEC}, hit as (select distinct c.vec_id from cand c join held h on c.e is not null and h.e is not null and {_DOT.format('c.e', 'h.e')} >= 0.4),
 t as materialized (select *, row_number() over (order by vec_id) as ord from cand where e is not null and vec_id not in (select vec_id from hit)),
-near as (select x.ord as i, y.ord as j from t x join t y on x.label = y.label and y.ord < x.ord where {_DOT.format('x.e', 'y.e')} >= 0.25),
+near as (select x.ord as i, y.ord as j from t x join t y on y.ord < x.ord where {_DOT.format('x.e', 'y.e')} >= 0.25),
 nb as materialized (select t.ord, t.n, coalesce(list(j) filter (j is not null), []) as nb from t left join near on i = t.ord group by t.ord, t.n),
 fold as (select 0::bigint as i, []::bigint[] as cur, []::bigint[] as size union all
   select i + 1, case when p is null then list_append(cur, i + 1) when n > size[p] then list_transform(range(1, len(cur) + 1), lambda q: case when q = p then i + 1 else cur[q] end) else cur end,
@@ -120,7 +120,7 @@ def embed_dedup(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 9 != 0, F.col("embedding")).alias("v"), "label")
     n = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.length(F.coalesce("text", F.lit(""))).alias("n"))
     cand = K.stored(e.where("id % 20 = 0").join(n, "id", "left").withColumn("n", F.coalesce("n", F.lit(0))), "candidates")
-    return S.vector_dedup(cand, e.where("id % 20 <> 0 and id % 3 = 0"), 0.35, 0.25, "label")
+    return S.vector_dedup(cand, e.where("id % 20 <> 0"), 0.4, 0.25)
 
 
 _NEAR = f"""with v as (select vec_id, embedding, label, ts from embeddings join events on event_id = vec_id * 20),

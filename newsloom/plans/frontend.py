@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.functions import udf as U
+from newsloom.operators import segment
 from newsloom.plans.catalog import query, table
 from newsloom.plans.views import ART, articles
 
@@ -143,3 +144,33 @@ def title_only_sources(spark, sf):
     n = c.select("conv_id", "turn", U.comparable(F.col("title")).alias("a"), U.comparable(F.col("text")).alias("b"))
     only = (F.col("b") == "") | ((F.length("b") <= F.length("a") + 24) & (F.contains("b", "a") | F.contains("a", "b")))
     return n.select("conv_id", "turn", only.alias("title_only"))
+
+
+_TITLE_WORDS = rf"""{ART}, w as (select id, regexp_extract_all(lower(title), '[\p{{L}}\p{{N}}]+') as w from art),
+dict as (select word, count(*) as freq from (select unnest(w) as word from w) group by word),
+sums as (select sum(freq)::double as total, max(length(word)) as longest from dict),
+scored as (select word, round(ln(freq / total) * 1000000)::bigint as weight from dict, sums),
+runs as (select id, k, array_to_string(w[4 * k + 1 : 4 * k + 4], '') as run from (select id, w, unnest(range(0, ceil(len(w) / 4)::bigint)) as k from w)),
+each as materialized (select distinct run from runs),
+spans as (select run, i, l from (select run, unnest(range(1, length(run) + 1)) as i, longest from each, sums) x, lateral (select unnest(range(1, least(longest, length(run) - i + 1) + 1)) as l) y),
+edges as materialized (select run, i, list({{'e': i + l - 1, 'w': weight}}) as e from spans join scored on word = substring(run, i, l) group by run, i)"""
+#: Right to left over all runs at once; then each run's path is walked.
+_LATTICE = r"""best(run, i, best, dest) as (select run, length(run) + 1, [0::bigint], []::bigint[] from each union all
+  select b.run, b.i - 1, list_prepend(m.s, best), list_prepend(m.e, dest) from (
+    select s.run, s.i, s.best, s.dest, list_max(list_prepend({'s': (case when c.weight is null then round(ln(1 / total) * 1000000)::bigint else c.weight end) + s.best[1], 'e': (s.i - 1)::bigint},
+      list_transform(list_filter(coalesce(x.e, []), lambda y: y.e >= s.i), lambda y: {'s': y.w + s.best[(y.e - s.i + 2)::bigint], 'e': y.e::bigint}))) as m
+    from best s join sums on s.i > 1 left join edges x on x.run = s.run and x.i = s.i - 1 left join scored c on c.word = substring(s.run, s.i - 1, 1)) b),
+paths as (select run, list_reduce(list_prepend({'p': 0::bigint, 'a': []::varchar[], 'one': false}, list_transform(range(1, length(run) + 1), lambda k: {'p': k::bigint, 'a': [substring(run, k::bigint, (dest[k] - k + 1)::bigint)], 'one': dest[k] = k and ord(substring(run, k::bigint, 1)) < 128})),
+  lambda s, t: case when t.p <= s.p then s when t.one and s.one then {'p': t.p, 'a': list_append(s.a[:-2], s.a[-1] || t.a[1]), 'one': true} else {'p': t.p + length(t.a[1]) - 1, 'a': s.a || t.a, 'one': t.one} end).a as parts
+  from best where i = 1)"""
+
+
+@query(f"with recursive {_TITLE_WORDS}, {_LATTICE} select w.id, coalesce(array_to_string(flatten(list(parts order by k)), ' '), '') as segments from w left join runs using (id) left join paths using (run) group by w.id")
+def segmented_titles(spark, sf):
+    """Titles without most of their blanks (four words a run), segmented by the words of all titles and their frequencies."""
+    a = articles(spark, sf)
+    w = a.select("id", T.words(F.lower(F.coalesce("title", F.lit("")))).alias("w"))
+    dictionary = w.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    groups = F.transform(F.sequence(F.lit(0), F.ceil(F.size("w") / 4).cast("int")), lambda k: F.array_join(F.slice("w", k * 4 + 1, F.lit(4)), ""))
+    joined = w.select("id", F.array_join(groups, " ").alias("title"))
+    return segment.segment(joined, F.col("title"), dictionary).select("id", F.array_join("segments", " ").alias("segments"))

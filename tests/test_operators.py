@@ -116,11 +116,58 @@ def test_jaccard_pairs_against_brute_force(spark):
         assert got == {(a, b) for a in first for b in first if a < b and sim(a, b) >= least}
 
 
-def test_replacing_fold(spark):
-    rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "b", "c"]), (3, ["x"]), (4, ["a", "b", "c", "d"])], "id bigint, tokens array<string>")
-    edges = similarity.jaccard_pairs(rows.withColumnRenamed("id", "rep"), 0.45).select("a", "b")
-    got = similarity.fold_components(rows, edges, similarity.replacing_fold(0.45), "slot long, id long").collect()
-    assert sorted((r.slot, r.id) for r in got) == [(1, 4), (3, 3)]
+def _fold(rows, near):
+    """Slots in order: [opened by, held by, class, n]."""
+    slots = []
+    for i, c, n in sorted(rows):
+        slot = next((s for s in slots if s[2] == c or (min(s[2], c), max(s[2], c)) in near), None)
+        if slot is None:
+            slots.append([i, i, c, n])
+        elif n > slot[3]:
+            slot[1:] = [i, c, n]
+    return sorted((s[0], s[1]) for s in slots)
+
+
+@pytest.mark.parametrize("seed, n, links, limit", [(0, 120, 500, 7), (1, 150, 90, 20), (2, 60, 900, 2000), (3, 90, 4000, 11)])
+def test_fold_with_replacement(spark, seed, n, links, limit):
+    """Random graphs with one giant component, in blocks of its order; rows of one class are copies."""
+    r = random.Random(seed)
+    size = [r.randrange(1, 9) for _ in range(n)]
+    rows = [(i, c, size[c]) for c in range(n) for i in {c, *(r.choices(range(n, 4 * n), k=r.randrange(4)))}]
+    rows = list({i: (i, c, m) for i, c, m in rows}.values())
+    first = {}
+    for i, c, _ in sorted(rows):
+        first.setdefault(c, i)
+    rows = [(i, first[c], m) for i, c, m in rows]
+    near = {tuple(sorted(first[c] for c in r.sample(sorted(first), 2))) for _ in range(links)}
+    df = spark.createDataFrame(rows, "id long, cls long, n int")
+    got = similarity.fold_slots(df, spark.createDataFrame(sorted(near), "a long, b long"), limit).collect()
+    assert sorted((x.slot, x.id) for x in got) == _fold(rows, near)
+
+
+def test_fold_of_nothing_and_without_links(spark):
+    df = spark.createDataFrame([(1, 1, 3), (2, 2, 4)], "id long, cls long, n int")
+    none = spark.createDataFrame([], "a long, b long")
+    assert sorted(map(tuple, similarity.fold_slots(df, none).collect())) == [(1, 1), (2, 2)]
+    assert similarity.fold_slots(df.where("false"), none).count() == 0
+
+
+def test_replaced_slots_with_copies(spark):
+    """The plan on token sets: copies after a replacement, rows without tokens, two languages."""
+    from newsloom.plans.dedup import replaced_slots
+
+    r = random.Random(6)
+    rows = [(i, r.choice("xy"), sorted(r.sample("abcdefg", r.randint(0, 6)))) for i in range(150)]
+    slots = []
+    for i, lang, t in rows:
+        t = set(t)
+        slot = next((s for s in slots if s[2] == lang and t and s[3] and len(t & s[3]) / len(t | s[3]) > 0.45), None)
+        if slot is None:
+            slots.append([i, i, lang, t])
+        elif len(t) > len(slot[3]):
+            slot[1:] = [i, lang, t]
+    got = replaced_slots(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")).collect()
+    assert sorted((x.slot, x.id) for x in got) == sorted((s[0], s[1]) for s in slots)
 
 
 def test_first_kept_with_containment_and_rows_without_tokens(spark):
@@ -178,15 +225,6 @@ def test_store(spark, tmp_path):
         store.Store(spark, "x", "wet")
 
 
-def test_report_checks(spark):
-    text = "## 摘要\n車流 12 萬 [1] 而 30% [2, 9]"
-    assert one(spark, review.unknown_citations(F.col("t"), F.lit(3)), t=text) == [9]
-    assert one(spark, review.new_numbers(F.col("t"), F.lit("12 萬")), t=text) == ["30"]
-    assert one(spark, review.missing_headings(F.col("t"), ["## 摘要", "## 展望"]), t=text) == ["## 展望"]
-    assert one(spark, review.deletion_over_cap(F.lit("x" * 10), F.lit("x" * 7))) is True
-    assert one(spark, review.title_only(F.lit("A, b"), F.lit("a b"))) is True
-
-
 def test_all_pairs_are_counted_by_class(spark):
     r = random.Random(4)
     rows = [(i, [r.uniform(-1, 1) for _ in range(4)], r.choice("ab"), r.randrange(14)) for i in range(60)] + [(7, [0.0] * 4, "a", 1), (61, None, "a", 1), (62, [0.5] * 4, "a", None)]
@@ -203,7 +241,36 @@ def test_all_pairs_are_counted_by_class(spark):
                 want[kind] = want.get(kind, 0) + 1
     assert len(want) == 3
     for tile in (7, 2000):
-        assert {x["class"]: x.n for x in similarity.pair_counts(df, 0.2, "label", tile).collect()} == want
+        assert {x["class"]: x.n for x in similarity.pair_counts(df, 0.2, "label", tile=tile).collect()} == want
+
+
+def test_consumed_rows_are_out_of_sight(spark):
+    """The earlier row of a pair was consumed before the later one came; both at once, or the later one consumed: still in sight."""
+    rows = [(1, [1.0, 0.0], 0, 0, 10, True), (2, [1.0, 0.01], 1, 0, 20, False), (3, [0.0, 1.0], 0, 0, 30, True), (4, [0.01, 1.0], 0, 0, 30, True), (5, [-1.0, 0.0], 3, 0, 40, None), (6, [-1.0, 0.01], 2, 0, 50, True), (7, [-1.0, 0.0], 9, 1, 60, True)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, day int, week int, at long, done boolean")
+    assert {x["class"]: x.n for x in similarity.pair_counts(df, 0.99).collect()} == {"analysed": 1, "same-day": 1, "same-week": 1, "cross-week": 2}
+
+
+@pytest.mark.parametrize("seed, least", [(0, 0.88), (1, 0.92), (2, 0.3)])
+def test_cosine_cells_lose_no_pair(spark, seed, least):
+    """Clusters of near copies around random centres, loose rows, zero, missing and short vectors; cells, tiles and neither."""
+    import numpy as np
+
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(12, 16))
+    v = [(centres[i % 12] + r.normal(size=16) * r.choice([0.05, 0.2, 0.4])).tolist() for i in range(260)] + r.normal(size=(40, 16)).tolist()
+    rows = [(i, x, i % 3) for i, x in enumerate(v)] + [(300, None, 0), (301, [0.0] * 16, 0), (302, [1.0, 2.0], 1), (5, v[5], 2)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, k int")
+    u = np.zeros((len(rows), 16))
+    for i, (_, x, _) in enumerate(rows):
+        u[i, : len(x or ())] = x or ()
+    u /= np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)
+    near = u @ u.T >= least
+    ids = [x[0] for x in rows]
+    for block in (None, "k"):
+        want = sorted((min(ids[i], ids[j]), max(ids[i], ids[j])) for i in range(len(rows)) for j in range(i) if near[i, j] and ids[i] != ids[j] and (block is None or rows[i][2] == rows[j][2]))
+        for bounds in ({"pivots": 12, "tile": 10}, {"pivots": 30, "tile": 1000}, {"tile": 17, "pivots": 3}):
+            assert sorted((x.a, x.b) for x in similarity.cosine_pairs(df, least, block, **bounds).collect()) == want
 
 
 def test_near_dup_pair_classes_all_counts_every_pair(spark):

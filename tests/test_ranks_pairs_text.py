@@ -104,3 +104,23 @@ def test_replies_overlay_and_labels(spark):
     assert len(got["b"].merged) == 60 and got["b"].merged.startswith("[01/01 09:00] y")
     held, new = (spark.createDataFrame(x, "id int, s string") for x in ([(1, "old")], [(1, "new"), (2, "new")]))
     assert sorted(map(tuple, store.overlay(held, new, "id").collect())) == [(1, "old"), (2, "new")]
+
+
+def test_places_among_endless_values(spark):
+    """Infinite values, NaN (the largest), spans that overflow, tiny steps, ties."""
+    from pyspark.sql import functions as F
+
+    from newsloom.operators import ranks
+
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "a": [inf, 1.0, -inf, 2.0, nan, nan, inf, 3.0], "b": [-1.7e308, 1.7e308, 0.0, 1e-300, -1e-300, 5e-324], "c": [inf, inf], "d": [nan], "e": [-inf, -inf, 1.0], "f": [1.0, 1.0 + 2**-52, 1.0 + 2**-51, inf],
+        "g": [float(i) for i in range(3000)] + [1e308, inf], "h": [nan, -1e308, -2.0],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    n = F.col("n")
+    got = {r.g: r for r in ranks.at_places(df, "g", "v", {"first": F.lit(1), "mid": F.floor((n + 1) / 2), "last": n}).collect()}
+    for g, vs in groups.items():
+        order = sorted(vs, key=lambda v: (v != v, v if v == v else 0))
+        want = order[0], order[(len(vs) + 1) // 2 - 1], order[-1]
+        assert str((got[g].first, got[g].mid, got[g].last)) == str(want)

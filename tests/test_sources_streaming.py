@@ -95,6 +95,9 @@ def test_term_base(spark):
     rows = spark.createDataFrame([(1, "a [[x]] b [[y]]"), (2, "none"), (3, None), (4, "[[x]][[x]]")], "id bigint, text string")
     values = K.precedence(spark.createDataFrame([("x", "1")], "term string, value string"), spark.createDataFrame([("x", "2")], "term string, value string"))
     assert {r.id: r.text for r in K.rewrite_markers(rows, values).collect()} == {1: "a 2 b y", 2: "none", 3: None, 4: "22"}
+    repeated = spark.createDataFrame([(1, "a [[x]] b"), (1, "c [[y]] d"), (1, "a [[x]] b"), (None, "[[x]]"), (2, "")], "id long, text string")
+    twice = spark.createDataFrame([("x", "X"), ("x", "W")], "term string, value string")
+    assert sorted((str(r.id), r.text) for r in K.rewrite_markers(repeated, twice).collect()) == [("1", "a X b"), ("1", "a X b"), ("1", "c y d"), ("2", ""), ("None", "X")]
     none = spark.createDataFrame([], "term string")
     assert sorted((r.id, r.term) for r in K.unknown_terms(rows, values, none).collect()) == [(1, "y")]
 
