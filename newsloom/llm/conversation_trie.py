@@ -44,22 +44,16 @@ KEY = ["depth", "k1", "k2"]
 BLOCK_BITS = 12
 
 
-def _half(parts: list, first: int):
-    """64 bits of the MD5 of length-prefixed parts."""
-    text = F.concat_ws("", *[F.concat(F.octet_length(p).cast("string"), F.lit(":"), p) for p in parts])
-    halves = F.unhex(F.md5(text))
-    # eight bytes as a signed long: the top bit by arithmetic on two halves of 32 bits
-    def word(at: int):
-        return F.conv(F.hex(F.substring(halves, at, 4)), 16, 10).cast("long")
-
-    return F.shiftleft(word(first), 32).bitwiseOR(word(first + 4))
+def _hash(columns: list, half: int):
+    """One of two 64-bit hashes of the columns in order."""
+    return F.xxhash64(F.lit(half), *columns)
 
 
 def turns(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, h1, h2 (hash of role and text), n_bytes (of the text): narrow rows, texts stay behind."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     return conversations.where("conv_id is not null").select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long"), _half([role, text], 1).alias("h1"), _half([role, text], 9).alias("h2"), F.octet_length(text).cast("long").alias("n_bytes")
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), _hash([role, text], 1).alias("h1"), _hash([role, text], 2).alias("h2"), F.octet_length(text).cast("long").alias("n_bytes")
     )
 
 
@@ -83,7 +77,7 @@ def rebuild(turns: DataFrame, group: int = GROUP, most: int = MOST) -> tuple[Dat
 def prefixes(convs: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """A row per conversation and depth (0 too): conv_id, depth, key (k1, k2), the parent's key (p1, p2), n_bytes."""
     tag = [F.col("depth"), F.col("h1"), F.col("h2")]
-    tagged = rebuilt.select("conv_id", "depth", "n_bytes", "_at", _half([c.cast("string") for c in tag], 1).alias("t1"), _half([c.cast("string") for c in tag], 9).alias("t2"))
+    tagged = rebuilt.select("conv_id", "depth", "n_bytes", "_at", _hash(tag, 1).alias("t1"), _hash(tag, 2).alias("t2"))
     run = running(tagged, ["conv_id"], {"k1": ("xor", F.col("t1")), "k2": ("xor", F.col("t2"))})
     below = run.select("conv_id", "depth", "k1", "k2", F.col("k1").bitwiseXOR(F.col("t1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("t2")).alias("p2"), "n_bytes")
     zero = F.lit(0).cast("long")

@@ -14,7 +14,8 @@ then only the frames that hold the documents asked for, and checks each frame's
 
 Writer: rows are range-partitioned by doc_id (null first) and sorted in their
 partition, so files in the order of (part, number) hold all documents in ascending
-order; long ids and repeated ids are spread by a hash of the text. The manifest
+order; long ids and repeated ids are spread by a hash of the text. A file ends at
+FILE_TOKENS ids or FILE_DOCS documents, whose index is held as arrays. The manifest
 (Parquet, one row a file) counts the ids of each file; prefix sums over it give
 every file's place in the corpus. A task writes under a name of its own attempt and
 renames when a file is complete.
@@ -34,6 +35,7 @@ import functools
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +49,7 @@ from .common import expand, new_path, slices, small_batches, stored, table
 from .prefix_table import vocabulary_path
 
 TOKENIZER, END = "byte_bpe_50k.json", 2
-FRAME_TOKENS, FILE_TOKENS, CACHE = 1 << 16, 1 << 27, 300_000
+FRAME_TOKENS, FILE_TOKENS, FILE_DOCS, CACHE = 1 << 16, 1 << 27, 1 << 20, 300_000
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 
 
@@ -72,7 +74,7 @@ class ByteBpe:
 
     def piece(self, piece: str) -> bytes:
         word = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
         found = self.young.get(chunk)
@@ -129,10 +131,12 @@ class _Writer:
         self.where, self.path, self.name = where, path, f"{uuid.uuid4().hex}.tok"
         self.out = where.open_output_stream(f"{path}/_{self.name}", compression=None)
         self.zstd = zstandard.ZstdCompressor(level=1, write_checksum=True)
-        self.frames, self.docs, self.starts, self.held, self.n_held, self.tokens = [], [], [], [], 0, 0
+        self.frames, self.docs, self.null, self.starts, self.held, self.n_docs, self.n_held, self.tokens = [], [], [], [], [], 0, 0, 0
 
-    def add(self, docs: list[int | None], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.docs += docs
+    def add(self, docs: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.docs.append(pc.fill_null(docs.cast(pa.int64()), 0).to_numpy().astype("<i8"))
+        self.null.append(pc.is_null(docs).to_numpy(zero_copy_only=False).astype("u1"))
+        self.n_docs += len(docs)
         self.starts.append(self.tokens + np.cumsum(sizes) - sizes)
         self.held.append(ids)
         self.n_held, self.tokens = self.n_held + len(ids), self.tokens + len(ids)
@@ -153,8 +157,8 @@ class _Writer:
     def close(self) -> tuple[str, int, int]:
         if self.n_held:
             self._frames(self.n_held)
-        n = len(self.docs)
-        index = struct.pack("<Q", n) + np.array([d or 0 for d in self.docs], "<i8").tobytes() + np.array([d is None for d in self.docs], "u1").tobytes()
+        n = self.n_docs
+        index = struct.pack("<Q", n) + np.concatenate([*self.docs, np.empty(0, "<i8")]).tobytes() + np.concatenate([*self.null, np.empty(0, "u1")]).tobytes()
         index += np.concatenate([*self.starts, [self.tokens]]).astype("<u8").tobytes()
         self.out.write(struct.pack("<II", SKIP_INDEX, len(index) + 4) + index + struct.pack("<I", zlib.crc32(index)))
         seek = b"".join(struct.pack("<III", *f) for f in self.frames) + struct.pack("<IBI", len(self.frames), 0x80, SEEK_MAGIC)
@@ -186,8 +190,7 @@ class TokenFile:
         if struct.unpack("<I", index[:4])[0] != SKIP_INDEX or zlib.crc32(body) != struct.unpack("<I", index[-4:])[0]:
             raise ValueError(f"{uri}: broken document index")
         n = struct.unpack("<Q", body[:8])[0]
-        ids, null = np.frombuffer(body, "<i8", n, 8), np.frombuffer(body, "u1", n, 8 + 8 * n)
-        self.docs = [None if z else int(d) for d, z in zip(ids, null, strict=True)]
+        self.docs = pa.array(np.frombuffer(body, "<i8", n, 8), mask=np.frombuffer(body, "u1", n, 8 + 8 * n).astype(bool))
         self.starts = np.frombuffer(body[8 + 9 * n :], "<u8").astype(np.int64)
         self._frame: tuple[int, np.ndarray] = (-1, np.empty(0, "<u4"))
 
@@ -213,12 +216,12 @@ class TokenFile:
         return np.concatenate(parts) if parts else np.empty(0, "<u4")
 
     def find(self, doc_ids: set[int | None]) -> Iterator[tuple[int | None, np.ndarray]]:
-        for row, d in enumerate(self.docs):
-            if d in doc_ids:
-                yield d, self.document(row)
+        wanted = pc.is_in(self.docs, pa.array(list(doc_ids), pa.int64()))
+        for row in np.flatnonzero(wanted.to_numpy(zero_copy_only=False)).tolist():
+            yield self.docs[row].as_py(), self.document(row)
 
 
-def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
+def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE_TOKENS, file_docs: int = FILE_DOCS) -> DataFrame:
     """Encode doc_id, text and write them in ascending doc_id. Returns the manifest:
     file, part, number, documents, tokens, first (ids of all files before)."""
     small_batches(docs.sparkSession, 10_000)  # more pieces are equal in more text
@@ -236,8 +239,8 @@ def write_files(docs: DataFrame, folder: str, path: str, file_tokens: int = FILE
                 ids, sizes = byte_bpe(path).encode(b.column("text"))
                 ended = np.insert(ids, np.cumsum(sizes), END)  # after each document
                 out = out or _Writer(where, at)
-                out.add(b.column("doc_id").to_pylist(), ended, sizes + 1)
-                if out.tokens >= file_tokens:
+                out.add(b.column("doc_id"), ended, sizes + 1)
+                if out.tokens >= file_tokens or out.n_docs >= file_docs:
                     done.append(out.close())
                     out = None
         if out is not None:
@@ -260,7 +263,7 @@ def read_files(manifest: DataFrame, batch_rows: int = 2000) -> DataFrame:
                     at = range(a, min(a + batch_rows, len(f.docs)))
                     ids = [f.document(k) for k in at]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([f.docs[k] for k in at], pa.int64()), pa.array(f.starts[a : at.stop] + first, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())],
+                        [f.docs.slice(a, len(at)), pa.array(f.starts[a : at.stop] + first, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 

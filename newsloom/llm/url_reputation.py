@@ -9,9 +9,12 @@ beta-binomial moment estimate of that level's overdispersion. A host's share of
 pages then has a beta posterior, and the host is blocked when the ``CONFIDENCE``
 quantile of it is under ``least_good``. A host without labels (n = 0) has the prior of
 its domain, or else its suffix or the corpus, and is judged by the same quantile.
+A page row brings its own host and outcome: pages are never joined to pages, so repeated
+and null page ids count once a row.
 
 The quantile test is P(share < least_good) >= CONFIDENCE, summed over ``POINTS`` equal
-steps of t, where share = sin(t) squared (which takes the poles of the density away).
+steps of t, where share = sin(t) squared (which takes the poles of the density away); the
+density's largest logarithm is known in closed form, so each point is visited once.
 
 All steps are DataFrame operations: one narrow scan, a partially aggregated count
 per host, joins of the (stored) counts by domain and suffix, and one join of the
@@ -80,12 +83,16 @@ def _low_points(least_good: float) -> int:
 
 
 def beta_below(a: Column, b: Column, least_good: float) -> Column:
-    """P(x < least_good) of a beta distribution."""
-    step = F.lit(math.pi / 2 / POINTS)
-    logs = F.transform(F.sequence(F.lit(1), F.lit(POINTS)), lambda k: (2 * a - 1) * F.ln(F.sin((k - 0.5) * step)) + (2 * b - 1) * F.ln(F.cos((k - 0.5) * step)))
-    weights = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = lambda w: F.aggregate(w, F.lit(0.0), lambda s, x: s + x)
-    return total(F.slice(weights, 1, _low_points(least_good))) / total(weights)
+    """P(x < least_good) of a beta distribution (a, b > 0)."""
+    at = [(k - 0.5) * math.pi / 2 / POINTS for k in range(1, POINTS + 1)]
+    points = [F.struct(F.lit(math.log(math.sin(t))).alias("s"), F.lit(math.log(math.cos(t))).alias("c")) for t in at]
+    u, v = 2 * a - 1, 2 * b - 1
+    value = lambda t: u * math.log(math.sin(t)) + v * math.log(math.cos(t))
+    inside = u / 2 * F.ln(u / (u + v)) + v / 2 * F.ln(v / (u + v))
+    top = F.when((u > 0) & (v > 0), inside).otherwise(F.greatest(value(at[0]), value(at[-1])))
+    total = lambda some: F.aggregate(F.array(*some), F.lit(0.0), lambda s, x: s + F.exp(u * x["s"] + v * x["c"] - top))
+    low = _low_points(least_good)
+    return F.coalesce(1 / (1 + F.try_divide(total(points[low:]), total(points[:low]))), F.lit(0.0))
 
 
 def _level(counts: DataFrame, key: str, parent: str | None, mean: float) -> DataFrame:
@@ -101,12 +108,14 @@ def _level(counts: DataFrame, key: str, parent: str | None, mean: float) -> Data
 
 
 def host_reputation(outcomes: DataFrame, least_good: float = LEAST_GOOD) -> DataFrame:
-    """outcomes: host, good (0, 1, or null: unlabelled). Returns host, domain, suffix, n, good, post, below.
+    """outcomes: host, good (0, 1, or null: unlabelled), pages (rows that it stands for). Returns host, domain, suffix, n, good, post, below.
 
     post is the posterior mean of the share of good pages, below the probability that the share is under least_good.
     """
     suffix = suffix_of(F.col("host"))
-    hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"))
+    hosts = outcomes.groupBy("host").agg(
+        F.coalesce(F.sum(F.when(F.col("good").isNotNull(), F.col("pages"))), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("good").cast("long") * F.col("pages")), F.lit(0)).alias("good")
+    )
     hosts = stored(hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     domains = stored(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
@@ -116,15 +125,23 @@ def host_reputation(outcomes: DataFrame, least_good: float = LEAST_GOOD) -> Data
     s = _level(suffixes, "suffix", None, mean)
     d = _level(stored(domains.join(s.select("suffix", F.col("post").alias("prior")), "suffix"), "domain-priors"), "domain", "suffix", mean)
     h = _level(stored(hosts.join(d.select("domain", "suffix", F.col("post").alias("prior")), ["domain", "suffix"]), "host-priors"), "host", "domain", mean)
-    logs = h.withColumn("a", F.col("good") + F.col("strength") * F.col("prior")).withColumn("b", F.col("n") - F.col("good") + F.col("strength") * (1 - F.col("prior")))
-    return logs.select("host", "domain", "suffix", "n", "good", "post", beta_below(F.col("a"), F.col("b"), least_good).alias("below"))
+    ab = h.withColumn("a", F.col("good") + F.col("strength") * F.col("prior")).withColumn("b", F.col("n") - F.col("good") + F.col("strength") * (1 - F.col("prior")))
+    return ab.select("host", "domain", "suffix", "n", "good", "post", beta_below(F.col("a"), F.col("b"), least_good).alias("below"))
+
+
+def outcomes_of(pages: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """host, good, pages: pages (url and the key) counted by host and key, then labelled (labels: key, good).
+
+    Rows are counted before they meet the labels, so a key that a third of the pages share is one row a host.
+    """
+    counted = pages.groupBy(host_of(F.col("url")).alias("host"), key).agg(F.count(F.lit(1)).alias("pages"))
+    return counted.join(labels.select(key, "good"), key, "left").select("host", "good", "pages")
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
-    """pages: page_id, url; outcomes: page_id, good. One row per page."""
+    """pages: page_id, url; outcomes: host, good, pages (``outcomes_of``; the hosts of all pages). One row per page."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    known = urls.select("page_id", "host").join(outcomes, "page_id", "left").select("host", "good")
-    bad = stored(host_reputation(known, least_good).select("host", "post", "below"), "reputation")
+    bad = stored(host_reputation(outcomes, least_good).select("host", "post", "below"), "reputation")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("below") >= CONFIDENCE, "block").otherwise("allow")
     return urls.join(bad, "host", "left").select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
@@ -137,9 +154,8 @@ DOCUMENT = r"://[^/?#]*/[a-z]+/(\d{1,18})(?:[^0-9]|$)"
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's labelled outcome is the quality label of the document that it shows."""
     pages = table(spark, sf_dir, "pages")
-    shown = pages.select("page_id", F.regexp_extract("url", DOCUMENT, 1).try_cast("bigint").alias("doc_id"))
-    outcomes = shown.join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good")), "doc_id").select("page_id", "good")
-    return judge(pages, outcomes)
+    shown = pages.select("url", F.regexp_extract("url", DOCUMENT, 1).try_cast("bigint").alias("doc_id"))
+    return judge(pages, outcomes_of(shown, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good")), "doc_id"))
 
 
 def _sql_level(name: str, source: str, prior: str) -> str:

@@ -19,11 +19,15 @@ def by_id(df):
     return out
 
 
+def judged(pages, out):
+    return url_reputation.judge(pages, url_reputation.outcomes_of(pages, out, "page_id"))
+
+
 def test_url_parts(spark):
     urls = [None, "no scheme", "HTTP://A.Example.COM/de/x?y#z", "x://h", "https://b.org/fr/?q", "http://www.example.net/en/1", "http://example.net#f", "a://b://c/d", "http://notexample.net/en/", "http://X.net\n/en/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").withColumn("host", F.lit("clash"))
     none = spark.createDataFrame([], "page_id bigint, good int")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_reputation.judge(pages, none).collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged(pages, none).collect()}
     assert got[0] == got[1] == ("", "", None, "allow")
     assert got[2] == ("a.example.com", "/de/x", "example.com/de/", "block")
     assert got[3] == ("h", "", None, "allow")
@@ -32,13 +36,13 @@ def test_url_parts(spark):
     assert got[6] == ("example.net", "", None, "allow")
     assert got[7][:2] == ("b:", "//c/d")
     assert got[8] == ("notexample.net", "/en/", "net/", "block")
-    assert url_reputation.judge(pages.where("false"), none).count() == 0
+    assert judged(pages.where("false"), none).count() == 0
 
 
 def test_url_reputation_shrinks(spark):
     pages = spark.createDataFrame([(i, f"http://{'bad' if i % 2 else 'good'}.example.xyz/{i}") for i in range(400)] + [(1000, "http://new.example.xyz/")], "page_id bigint, url string")
     out = spark.createDataFrame([(i, 1 - i % 2) for i in range(400)], "page_id bigint, good int")
-    got = {r.page_id: r.verdict for r in url_reputation.judge(pages, out).collect()}
+    got = {r.page_id: r.verdict for r in judged(pages, out).collect()}
     assert got[1] == "block" and got[0] == got[1000] == "allow"
 
 
@@ -47,9 +51,9 @@ def test_unlabelled_hosts_have_the_posterior_of_their_domain(spark):
     new = ["new.bad.xyz", "new.good.xyz", "new.other.evil", "new.other.fresh"]
     pages = spark.createDataFrame([(i, f"http://{h}/{i}") for i, h in enumerate(hosts + new)], "page_id bigint, url string")
     out = spark.createDataFrame([(i, int(400 <= i < 800)) for i in range(1200)], "page_id bigint, good int")
-    got = {r.host: r.verdict for r in url_reputation.judge(pages, out.union(spark.createDataFrame([(1200, None)], out.schema))).collect()}
+    got = {r.host: r.verdict for r in judged(pages, out.union(spark.createDataFrame([(1200, None)], out.schema))).collect()}
     assert [got[h] for h in new[:3]] == ["block", "allow", "block"]
-    rep = {r.host: r for r in url_reputation.host_reputation(pages.select("page_id", url_reputation.host_of(F.col("url")).alias("host")).join(out, "page_id", "left").select("host", "good")).collect()}
+    rep = {r.host: r for r in url_reputation.host_reputation(url_reputation.outcomes_of(pages, out, "page_id")).collect()}
     assert rep["new.other.fresh"].post == pytest.approx(401 / 1202) and (rep["new.bad.xyz"].n, rep["new.bad.xyz"].good) == (0, 0)
 
 
@@ -158,7 +162,7 @@ def test_token_files(spark, docs, empty):
     assert token_files.read_files(token_files.write_files(empty, new_path(spark, "tok"), path)).count() == 0
     uri = next(r.file for r in manifest.collect() if r.tokens > 70_000)
     f = token_files.TokenFile(uri)
-    want = next(d for k, d in enumerate(f.docs) if f.starts[k + 1] - f.starts[k] > 66_000)
+    want = next(d for k, d in enumerate(f.docs.to_pylist()) if f.starts[k + 1] - f.starts[k] > 66_000)
     (_, ids), = f.find({want})
     assert ids[-1] == token_files.END and len(ids) > token_files.FRAME_TOKENS
     import zstandard
@@ -339,3 +343,35 @@ def test_revisits_are_held_against_their_responses(spark):
     rows = [(1, "d1", "response", None), (2, "d1", "revisit", 1), (3, "d2", "revisit", 1), (4, "d1", "revisit", 9)]
     df = spark.createDataFrame(rows, "page_id bigint, payload_digest string, record_type string, refers_to bigint")
     assert sorted(r.page_id for r in warc.dangling_revisits(df).collect()) == [3, 4]
+
+
+def test_repeated_and_null_page_ids_count_once_a_row(spark, tmp_path):
+    """Pages that share an id or have none, with labels, against the SQL."""
+    import duckdb
+
+    rows = [(i % 7 if i % 3 else None, f"http://h{i % 5}.{'bad' if i % 5 < 2 else 'ok'}{i % 2}.org2/en/{i % 11}", "<p>") for i in range(400)] + [(1, None, None), (None, "x", "")]
+    labels = [(d, int(d % 5 > 1), 0) for d in range(9)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    ours = sorted(map(str, [tuple(r) for r in url_reputation.op1_url_reputation(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()]))
+    assert ours == sorted(map(str, con.execute(f"select page_id, host, path, rule, verdict from ({url_reputation.SQL_OP1})").fetchall()))
+    shown = spark.read.parquet(f"{tmp_path}/pages.parquet").select("url", F.regexp_extract("url", url_reputation.DOCUMENT, 1).try_cast("bigint").alias("doc_id"))
+    out = url_reputation.outcomes_of(shown, spark.createDataFrame([(d, q) for d, q, _ in labels], "doc_id bigint, good int"), "doc_id")
+    assert sum(r.n for r in url_reputation.host_reputation(out).collect()) == sum(i % 11 < 9 for i in range(400))
+
+
+def test_beta_quantiles(spark):
+    """P(share < 1/2) against sums of a fine grid, far ends included."""
+    import numpy as np
+
+    pairs = [(0.3, 0.2), (1, 1), (5, 2), (2, 9), (0.01, 4), (300, 280), (1e6, 2e6), (2e6, 1e6), (0.5, 0.5)]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pairs], "a double, b double")
+    got = {(r.a, r.b): r.p for r in df.select("a", "b", url_reputation.beta_below(F.col("a"), F.col("b"), 0.5).alias("p")).collect()}
+    t = (np.arange(1, 400_001) - 0.5) / 400_000 * np.pi / 2
+    for a, b in pairs:
+        x = (2 * a - 1) * np.log(np.sin(t)) + (2 * b - 1) * np.log(np.cos(t))
+        w = np.exp(x - x.max())
+        assert got[a, b] == pytest.approx(w[np.sin(t) ** 2 < 0.5].sum() / w.sum(), abs=0.01)
