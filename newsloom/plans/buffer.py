@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
@@ -10,6 +9,7 @@ from newsloom.operators import filters, knowledge
 from newsloom.operators import similarity as S
 from newsloom.operators import store as K
 from newsloom.operators import topics as P
+from newsloom.operators.ordinals import laid_out, ordinals
 from newsloom.plans.catalog import query, table
 from newsloom.plans.views import ART, TOK, articles
 
@@ -22,7 +22,8 @@ def buffer_open(spark, sf):
     """What is neither analysed nor expired, by week: newest first, rows without a time before all others."""
     e = table(spark, sf, "events").where((F.col("ts") + F.expr("interval 14 days") > F.lit("2024-01-30").cast("timestamp_ntz")) & ~(F.col("value") > 80))
     e = e.select("event_id", T.week_id(F.col("ts")).alias("week_id"), F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("published"))
-    return e.select("event_id", "week_id", F.row_number().over(Window.partitionBy("week_id").orderBy(F.desc_nulls_first("published"), "event_id")).cast("long").alias("place"))
+    placed = ordinals(laid_out(e, [F.col("week_id"), F.desc_nulls_first("published"), F.col("event_id")], "buffer-open"), ["week_id"], "place")
+    return placed.select("event_id", "week_id", "place")
 
 
 @query("""select event_id from events where strftime(ts + interval 8 hours, '%G-W%V') in (strftime(timestamp '2024-01-22 20:00:00' + interval 8 hours, '%G-W%V'), strftime(timestamp '2024-01-15 20:00:00' + interval 8 hours, '%G-W%V'))""")
@@ -32,14 +33,17 @@ def dedup_window(spark, sf):
     return table(spark, sf, "events").where(F.array_contains(weeks, T.week_id(F.col("ts")))).select("event_id")
 
 
-@query("""with b as (select event_id as id, ts as published, 'buffer' as origin from events where event_id % 2 = 0), c as (select event_id as id, case when event_id % 9 = 0 then null else ts end as published, 'collected' as origin from events where event_id % 3 = 0)
-select id, origin, published is null as undated from b union all select id, origin, published is null from c where id not in (select id from b)""")
+@query("""with b as (select event_id as id, ts as published, 'buffer' as origin from events where event_id % 2 = 0), c as (select event_id as id, case when event_id % 9 = 0 then null else ts end as published, 'collected' as origin from events where event_id % 3 = 0),
+u as (select * from b union all select * from c where id not in (select id from b))
+select id, origin, published is null as undated, row_number() over (order by published desc nulls first, id) as place from u""")
 def collected_overlay(spark, sf):
-    """A dry run's view: the buffer and what was collected beside it."""
+    """A dry run's view: the buffer and what was collected beside it, newest first, what has no time before all others."""
     e = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("published"))
     held = e.where("id % 2 = 0").withColumn("origin", F.lit("buffer"))
     new = e.where("id % 3 = 0").select("id", F.when(F.col("id") % 9 != 0, F.col("published")).alias("published"), F.lit("collected").alias("origin"))
-    return K.overlay(held, new, "id").select("id", "origin", F.col("published").isNull().alias("undated"))
+    both = K.overlay(held, new, "id").select("id", "origin", "published")
+    placed = ordinals(laid_out(both, [F.desc_nulls_first("published"), F.col("id")], "overlay"), [], "place")
+    return placed.select("id", "origin", F.col("published").isNull().alias("undated"), "place")
 
 
 @query("""with r as (select *, user_id || ':' || event_type as link, row_number() over (partition by user_id, event_type order by event_id) as n from events)
@@ -183,10 +187,10 @@ p as (select x.week, x.lang, x.source, y.week as prior_week, y.score as last_sco
 select b.week, b.lang, b.source, prior_week, last_score is null or score >= last_score * 1.5 and latest > last_latest as novel from b left join (select * from p where n = 1) p using (week, lang, source)""")
 def prior_basis(spark, sf):
     """For each week's topic the most recent earlier week's topic that shares its signature, and whether it is new against that."""
-    rows = articles(spark, sf).where("published is not null").select("id", "lang", "source", T.week_id(F.col("published")).alias("week"), F.to_date("published").alias("day"), F.col("value").alias("quality"), T.tokens(F.col("text")).alias("tokens"))
+    rows = articles(spark, sf, tokens=T.tokens(F.col("text"))).where("published is not null").select("id", "lang", "source", T.week_id(F.col("published")).alias("week"), F.to_date("published").alias("day"), F.col("value").alias("quality"), "tokens")
     key = ["week", "lang", "topic"]
     rows = rows.withColumnRenamed("source", "topic").withColumn("source", F.col("id").cast("string"))
-    b = P.momentum(rows, key).join(P.signature(rows, key), key)
+    b = K.stored(P.momentum(rows, key).join(P.signature(rows, key), key), "buckets")
     out = P.with_prior(b, "week", ["lang"], "topic", 0.3)
     novel = P.passes_novelty(F.col("score"), F.col("latest"), F.col("last_score"), F.col("last_latest"))
     return out.select("week", "lang", F.col("topic").alias("source"), "prior_week", novel.alias("novel"))

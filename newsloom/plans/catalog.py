@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from newsloom.plans import articles, buffer, dedup, frontend, measures, serving, state, tools, topics  # noqa: E402, F401
+from newsloom.plans import articles, buffer, dedup, frontend, measures, serving, state, texts, tools, topics  # noqa: E402, F401

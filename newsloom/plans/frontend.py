@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.functions import markup
 from newsloom.functions import udf as U
 from newsloom.operators import segment
 from newsloom.plans.catalog import query, table
@@ -174,3 +175,23 @@ def segmented_titles(spark, sf):
     groups = F.transform(F.sequence(F.lit(0), F.ceil(F.size("w") / 4).cast("int")), lambda k: F.array_join(F.slice("w", k * 4 + 1, F.lit(4)), ""))
     joined = w.select("id", F.array_join(groups, " ").alias("title"))
     return segment.segment(joined, F.col("title"), dictionary).select("id", F.array_join("segments", " ").alias("segments"))
+
+
+@query(r"""with p as (select page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(script|style)>.*?</(script|style)>', '', 'g') as h from pages),
+l as (select page_id, generate_subscripts(m, 1)::int - 1 as seq, unnest(m) as a from (select page_id, regexp_extract_all(h, '(?s)<a href="[^"]*">.*?</a>') as m from p))
+select page_id, seq, regexp_extract(a, 'href="([^"]*)"', 1) as href, regexp_replace(regexp_extract(a, '(?s)>(.*)</a>', 1), '<[^>]*>', '', 'g') as label from l""")
+def html_anchors(spark, sf):
+    """Anchors of all pages by the table function, in SQL: addresses and texts."""
+    markup.register(spark)
+    return spark.sql("select p.page_id, l.seq, l.href, l.label from {pages} p, lateral html_links(p.html) l", pages=table(spark, sf, "pages"))
+
+
+@query(r"""with p as (select page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(script|style)>.*?</(script|style)>', '', 'g') as h from pages)
+select page_id, len(regexp_extract_all(h, '<p>'))::bigint as paragraphs, len(regexp_extract_all(regexp_extract(h, '(?s)<nav>(.*?)</nav>', 1), '<li>'))::bigint as menu, len(regexp_extract_all(h, '<a href="[^"/]*//'))::bigint as far,
+  len(regexp_extract_all(h, '<div class="ad">'))::bigint as ads from p""")
+def html_outline(spark, sf):
+    """Elements of all pages by one selector: paragraphs (left open or not), menu entries, links to other hosts, advertisements."""
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    found = markup.chosen(pages, "html", "p, nav > ul > li, a[href*='//'], div.ad")
+    n = found.groupBy("page_id").agg(*[F.count_if(F.col("tag") == t).alias(c) for c, t in (("paragraphs", "p"), ("menu", "li"), ("far", "a"), ("ads", "div"))])
+    return pages.select("page_id").join(n, "page_id", "left").na.fill(0, ["paragraphs", "menu", "far", "ads"])

@@ -49,9 +49,10 @@ def _uptake(spark, sf):
 @query(f"with {_UP}, b as (select avg(analysed::int) as base from u) select source, count(*) as n, round(avg(analysed::int), 6) as uptake, round(avg(analysed::int) / any_value(base), 6) as multiple from u, b group by source")
 def source_uptake(spark, sf):
     u = _uptake(spark, sf)
-    base = u.agg(F.avg(F.col("analysed").cast("int"))).first()[0]  # one number
-    up = F.avg(F.col("analysed").cast("int"))
-    return u.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.round(up, 6).alias("uptake"), F.round(F.try_divide(up, F.lit(base)), 6).alias("multiple"))
+    s = u.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("analysed").cast("int")).alias("used"), F.count("analysed").alias("known"))
+    base = s.agg((F.sum("used") / F.sum("known")).alias("base"))  # one row, of the sources' sums
+    up = F.col("used") / F.col("known")
+    return s.join(F.broadcast(base)).select("source", "n", F.round(up, 6).alias("uptake"), F.round(F.try_divide(up, F.col("base")), 6).alias("multiple"))
 
 
 @query(f"with {_UP}, b as (select avg(analysed::int) as base from u), s as (select source, count(*) as n, avg(analysed::int) / any_value(base) as multiple from u, b group by source) select source, n, round(multiple, 4) as multiple, multiple < 0.95 as noise from s where n >= 15 and source not in ('src0')")
@@ -64,8 +65,8 @@ def uptake_config(spark, sf):
 def uptake_window(spark, sf):
     """Complete weeks that were not analysed whole."""
     w = _uptake(spark, sf).groupBy(T.week_id(F.col("ts")).alias("week_id")).agg(F.count(F.lit(1)).alias("n"), F.count_if("analysed").alias("analysed"))
-    last = w.agg(F.max("week_id")).first()[0]
-    return w.where((F.col("analysed") < F.col("n")) & (F.col("week_id") < F.lit(last)))
+    last = w.agg(F.max("week_id").alias("last"))  # one row
+    return w.join(F.broadcast(last)).where((F.col("analysed") < F.col("n")) & (F.col("week_id") < F.col("last"))).drop("last")
 
 
 _ECHO = r"""regexp_replace(lower(coalesce({}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"""

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.operators.store import stored
 from newsloom.plans.catalog import query, table
 from newsloom.plans.views import ART, articles
 
@@ -57,10 +58,11 @@ def week_detail_page(spark, sf):
     """A filtered week by importance and time, one page and the total."""
     a = articles(spark, sf).where((T.week_id(F.col("published")) == "2024-W02") & (F.col("lang") == "en"))
     a = a.where(F.contains(F.lower(F.concat_ws(" ", "title", "source", "text")), F.lit("tion")))
-    a = a.select("id", _importance(F.col("value")).alias("importance"), "published")
+    a = stored(a.select("id", _importance(F.col("value")).alias("importance"), "published"), "week-rows")
     rank = F.when(F.col("importance") == "高", 0).when(F.col("importance") == "中", 1).otherwise(2)
     page = a.orderBy(rank, F.col("published").desc(), "id").offset(10).limit(100)
-    return page.select("id", "importance").withColumn("total", F.lit(a.count()).cast("long"))
+    total = a.agg(F.count(F.lit(1)).alias("total"))  # one row
+    return page.select("id", "importance").join(F.broadcast(total))
 
 
 @query(f"""with {ART} select id, '<item><title>' || replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</title><pubDate>' || strftime(published, '%d %b %Y %H:%M:%S +0000') || '</pubDate></item>' as item from art where published is not null order by published desc, id limit 60""")

@@ -9,6 +9,7 @@ from newsloom import api
 from newsloom.functions import text as T
 from newsloom.operators import topics as P
 from newsloom.operators.classify import category_of
+from newsloom.operators.store import stored
 from newsloom.plans.catalog import query, table
 from newsloom.plans.views import ART, TAXONOMY, TOK, articles, sql_category, token_sets
 
@@ -46,8 +47,8 @@ ranked as (select *, row_number() over (order by quality desc nulls last, id) as
 
 
 def _pool(spark, sf):
-    rows = token_sets(spark, sf).select("id", category_of(F.col("tokens"), TAXONOMY).alias("category"))
-    return articles(spark, sf).select("id", "source", F.col("value").alias("quality"), F.to_date("published").alias("day")).join(rows, "id")
+    a = articles(spark, sf, category=category_of(T.tokens(F.col("text")), TAXONOMY))
+    return a.select("id", "source", F.col("value").alias("quality"), F.to_date("published").alias("day"), "category")
 
 
 @query(f"with {_POOL} select count(*) as pool, count(*) filter (quality >= 40) as effective, least(count(*), 100) as selected, count(distinct source) as sources from ranked")
@@ -67,8 +68,8 @@ def digest_row(spark, sf):
 @query(f"""with {_POOL}, alone as (select *, row_number() over (order by quality desc nulls last, id) as rank from pool where category = 'german')
 select id, round(quality, 6) as quality, category from ranked where rank <= 100 and id not in (select id from alone where rank <= 100)""")
 def digest_replay(spark, sf):
-    """What enters a digest when other categories are merged into its pool."""
-    pool = _pool(spark, sf)
+    """What enters a digest when other categories are merged into its pool; both ranks read one narrow table."""
+    pool = stored(_pool(spark, sf), "pool")
     top = lambda p: p.orderBy(F.col("quality").desc_nulls_last(), "id").limit(100)
     new = top(P.merged_pool(pool, "german", ["french"])).join(top(P.merged_pool(pool, "german", [])).select("id"), "id", "left_anti")
     return new.select("id", F.round("quality", 6).alias("quality"), "category")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import jaccard, tokens
 from newsloom.operators import topics as T
 from newsloom.operators.classify import category_of
+from newsloom.operators.store import stored
 from newsloom.plans.catalog import query
 from newsloom.plans.views import ART, TAXONOMY, TOK, articles, sql_category, token_sets
 
@@ -14,8 +15,8 @@ _ROWS = f"{ART}, rows_ as (select id, lang, source, published, published::date a
 _SCORE = "sum(coalesce(quality, 0)::decimal(38,9))::double * ln(count(distinct coalesce({s}, '')) + 1.0) * ln(greatest(count(distinct day), 1) + 1.0)"
 
 
-def _rows(spark, sf):
-    return articles(spark, sf).select("id", "lang", "source", "published", F.to_date("published").alias("day"), F.col("value").alias("quality"), "text")
+def _rows(spark, sf, **made):
+    return articles(spark, sf, **(made or {"one": F.lit(1)})).select("id", "lang", "source", "published", F.to_date("published").alias("day"), F.col("value").alias("quality"), *made)
 
 
 @query(f"with {_ROWS} select lang, count(*) as articles, count(distinct source) as sources, count(distinct day) as days, round({_SCORE.format(s='source')}, 4) as score, max(day)::varchar as latest from rows_ group by lang")
@@ -42,10 +43,10 @@ j as (select b.*, last_score, last_latest from b left join (select * from prior
 select lang, source, round(score, 4) as score from j where score >= 20 and (last_score is null or score >= last_score * 1.2 and latest > last_latest) order by round(score, 4) desc, lang, source limit 10""")
 def hot_topics_gate_then_cap(spark, sf):
     """Buckets of the later weeks that are hot and new against the most similar earlier bucket."""
-    rows = _rows(spark, sf).where("published is not null").withColumn("now", F.col("published") >= F.lit("2024-01-15").cast("timestamp_ntz")).withColumn("tokens", tokens(F.col("text")))
+    rows = _rows(spark, sf, tokens=tokens(F.col("text"))).where("published is not null").withColumn("now", F.col("published") >= F.lit("2024-01-15").cast("timestamp_ntz"))
     key = ["now", "lang", "source"]
     score = T.momentum(rows.select(*key, F.col("id").cast("string").alias("bucket_source"), "quality", "day").select("now", "lang", F.col("source").alias("topic"), F.col("bucket_source").alias("source"), "quality", "day"), ["now", "lang", "topic"]).withColumnRenamed("topic", "source")
-    b = score.join(T.signature(rows, key), key)
+    b = stored(score.join(T.signature(rows, key), key), "buckets")
     now, old = b.where("now"), b.where("not now").select("lang", F.col("source").alias("s2"), F.col("score").alias("last_score"), F.col("latest").alias("last_latest"), F.col("signature").alias("sig2"))
     prior = now.join(old, "lang").where(jaccard(F.col("signature"), F.col("sig2")) >= 0.3)
     prior = prior.groupBy("lang", "source").agg(F.min_by(F.struct("last_score", "last_latest"), F.struct((-F.col("last_score")).alias("k"), F.col("s2"))).alias("p")).select("lang", "source", "p.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import title_of, tokens
@@ -14,9 +14,14 @@ RULES = {"english": {"require_any": ["idiot", "with the", "from"], "exclude_any"
 KEYWORDS = ["the", "er", "en", "tion", "que"]
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, title (first line), text, source, lang, published and value of an event (the one with ten times its number)."""
+def articles(spark: SparkSession, sf_dir: str, **made: Column) -> DataFrame:
+    """id, title (first line), text, source, lang, published and value of an event (the one with ten times its number).
+
+    With columns to make (of text and title), these are made where the texts are read and the texts stay there.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), "text", "source", "lang", title_of(F.col("text")).alias("title"))
+    if made:
+        docs = docs.select("id", "source", "lang", *[c.alias(k) for k, c in made.items()])
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.col("ts").alias("published"), "value")
     return docs.withColumn("id10", F.col("id") * 10).join(events.withColumnRenamed("id", "id10"), "id10", "left").drop("id10")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.functions import markup
 from newsloom.functions.text import duration_seconds, forum_time, parse_published, strip_tags
 
 ITEM = "title STRING, link STRING, description STRING, pubDate STRING, guid STRING"
@@ -53,10 +54,8 @@ def recent(a: DataFrame, as_of: str, lookback_days: int, keywords: list[str] | N
 
 
 def page_anchors(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with href, label and seq of each anchor."""
-    anchors = F.regexp_extract_all(F.col(html), F.lit(r'(?s)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
-    out = pages.select("*", F.posexplode(anchors).alias("seq", "_a"))
-    return out.withColumn("href", F.regexp_extract("_a", r'href="([^"]*)"', 1)).withColumn("label", strip_tags(F.col("_a"))).drop("_a")
+    """pages with href, label and seq of each anchor, however its address is quoted."""
+    return markup.links(pages, html)
 
 
 def notices(pages: DataFrame, name: str, keywords: list[str], max_items: int = 10, key: str = "page_id") -> DataFrame:
@@ -279,16 +278,17 @@ def fetch_pages(urls: DataFrame, fetch: Callable[[str], tuple[int, str]]) -> Dat
 
 def or_fallback(read: Callable[[], DataFrame], fallback: DataFrame | None, policy: str = "fail") -> DataFrame:
     """What ``read`` gives. If it fails: the error (policy fail), or the fallback (policy open: history without rows,
-    prior reports without rows, candidates as they are). The policy is always named by the caller."""
+    prior reports without rows, candidates as they are). The policy is always named by the caller.
+
+    Under policy open the rows are read and stored at once, so that a file which breaks while it is read counts too.
+    """
     if policy not in ("fail", "open"):
         raise ValueError(f"unknown policy: {policy}")
+    if policy == "fail" or fallback is None:
+        return read()
     try:
-        out = read()
-        out.schema  # an unreadable table fails here  # noqa: B018
-        return out
+        return stored(read(), "or-fallback")
     except Exception:
-        if policy == "fail" or fallback is None:
-            raise
         return fallback
 
 

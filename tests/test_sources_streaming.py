@@ -148,10 +148,11 @@ def test_logs_labels_sources_and_policies(spark, tmp_path):
     one, two = (sorted(map(tuple, R.sample_per_feed(feeds, 3, seed).collect())) for seed in (1, 1))
     assert one == two and len(one) == 6 and len({x[1] for x in one}) == 6
     empty = spark.createDataFrame([], "x int")
-    bad = lambda: spark.read.parquet(str(tmp_path / "nothing"))
-    assert R.or_fallback(bad, empty, "open").count() == 0
-    with pytest.raises(Exception):
-        R.or_fallback(bad, empty, "fail")
+    (tmp_path / "broken.json").write_text('[{"x": 1}, {"x": ')
+    for bad in (lambda: spark.read.parquet(str(tmp_path / "nothing")), lambda: R.read_articles(spark, str(tmp_path / "broken.json"), "x int")):
+        assert R.or_fallback(bad, empty, "open").count() == 0
+        with pytest.raises(Exception):
+            R.or_fallback(bad, empty, "fail").collect()
     R.validate_proposal({"sources": [{"name": "a", "type": "rss"}]})
     for wrong in ([], {"sources": {}}, {"sources": [{"name": "a"}]}, {"sources": [], "source_defaults": []}):
         with pytest.raises(ValueError):
