@@ -12,7 +12,7 @@ Reader: a task streams an archive through an incremental zlib decompressor, one
 gzip member after another, cuts the record at its Content-Length, and compares the
 digests of block and payload. It holds one record and one chunk at a time. Damage
 (a broken member, a short block, a wrong digest) raises ``WarcError`` or, with
-``strict=False``, gives a row with ``error`` set. A revisit's announced digest is
+``strict=False``, gives a row with ``error`` set and goes on with the next whole member. A revisit's announced digest is
 compared with the response that it refers to (``dangling_revisits``).
 
 Equal payloads are found by a partially aggregated ``groupBy`` of SHA-256 digests;
@@ -74,23 +74,50 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 _URL = "".join(chr(c) for c in range(33, 127))
 
 
-def members(stream) -> Iterator[bytes]:
-    """The decompressed members of a gzip stream, read by chunks."""
-    z, parts, chunk = None, [], stream.read(CHUNK)
-    while chunk:
-        if z is None:
-            z, parts = zlib.decompressobj(31), []
-        try:
-            parts.append(z.decompress(chunk))
-        except zlib.error as e:
-            raise WarcError(f"broken gzip member: {e}") from e
+MAGIC = b"\x1f\x8b\x08"
+
+
+def members(stream, strict: bool = True) -> Iterator[bytes | WarcError]:
+    """The decompressed members of a gzip stream, read by chunks; holds one member.
+
+    A broken one raises WarcError or, if not strict, is given as one, and reading goes on at the next place
+    where a whole member begins (what looks like a beginning inside damage is passed over).
+    """
+    held, damaged = bytearray(), False
+    while True:
+        z, parts, at, error = zlib.decompressobj(31), [], 0, None
+        while not z.eof and error is None:
+            if at == len(held):
+                chunk = stream.read(CHUNK)
+                if not chunk:
+                    break
+                held += chunk
+            try:
+                parts.append(z.decompress(bytes(held[at:])))
+                at = len(held)
+            except zlib.error as e:
+                error = f"broken gzip member: {e}"
         if z.eof:
             yield b"".join(parts)
-            chunk, z = z.unused_data or stream.read(CHUNK), None
-        else:
+            del held[: len(held) - len(z.unused_data)]
+            damaged = False
+            continue
+        if not held:
+            return
+        error = WarcError(error or "the last gzip member is cut short")
+        if strict:
+            raise error
+        if not damaged:
+            yield error
+        damaged, start = True, 1
+        while (found := held.find(MAGIC, start)) < 0:
             chunk = stream.read(CHUNK)
-    if z is not None:
-        raise WarcError("the last gzip member is cut short")
+            if not chunk:
+                return
+            del held[:-2]
+            held += chunk
+            start = 0
+        del held[:found]
 
 
 def parse(member: bytes) -> dict:
@@ -173,11 +200,13 @@ def read_archives(manifest: DataFrame, strict: bool = True, batch_bytes: int = 8
                 where, path = fs.FileSystem.from_uri(archive)
                 rows, held = [], 0
                 with where.open_input_stream(path, compression=None) as stream:
-                    it = members(stream)
+                    it = members(stream, strict)
                     while True:
                         try:
                             if (member := next(it, None)) is None:
                                 break
+                            if isinstance(member, WarcError):
+                                raise member
                             rows.append(parse(member) | {"archive": archive})
                         except WarcError as e:
                             if strict:

@@ -375,3 +375,17 @@ def test_beta_quantiles(spark):
         x = (2 * a - 1) * np.log(np.sin(t)) + (2 * b - 1) * np.log(np.cos(t))
         w = np.exp(x - x.max())
         assert got[a, b] == pytest.approx(w[np.sin(t) ** 2 < 0.5].sum() / w.sum(), abs=0.01)
+
+
+def test_archives_are_read_on_after_damage(spark, tmp_path):
+    """Three records, the middle one broken in its body, its head or its end; a false beginning inside the damage."""
+    three = [warc.record(i, "u", bytes([65 + i]) * 3000 + b"x" * i) for i in (1, 2, 3)]
+    for name, broken in (("body", three[1][:40] + b"\x00\xff" * 8 + three[1][56:]), ("head", b"zzzz" + three[1][4:]), ("cut", three[1][:-20]), ("false", three[1][:30] + warc.MAGIC * 3 + three[1][39:]), ("last", None)):
+        path = tmp_path / f"{name}.warc.gz"
+        path.write_bytes(three[0] + three[1] + three[2][:-9] if broken is None else three[0] + broken + three[2])
+        manifest = spark.createDataFrame([(f"file://{path}",)], "archive string")
+        rows = warc.read_archives(manifest, strict=False).collect()
+        assert sorted(r.page_id for r in rows if r.error is None) == ([1, 2] if broken is None else [1, 3])
+        assert sum(r.error is not None for r in rows) == 1
+        with pytest.raises(Exception, match="WarcError"):
+            warc.read_archives(manifest).collect()
