@@ -1,7 +1,7 @@
 """Known terms, marked terms and unmarked runs of katakana in whole texts, found in one scan.
 
-An automaton of all known terms (Aho-Corasick, leftmost and longest) reads each text once in time
-linear in its length, however many terms there are. It is built once a Python worker from a broadcast list
+An automaton of all known terms (Aho-Corasick) reads each text once, in time linear in its length and what it
+meets, however many terms there are; of overlapping terms the leftmost and longest count. It is built once a Python worker from a broadcast list
 whose size is counted first: ``TERMS`` terms and ``CHARS`` characters at most, a larger base is refused.
 """
 
@@ -44,8 +44,14 @@ def scan(text: str, known, names: set[str]) -> Iterator[tuple[str, str, int, int
     inside a mark belongs to the mark, and one that is marked anywhere in the text is reported as marked only.
     """
     if known is not None:
-        for last, term in known.iter_long(text):
-            yield term, "known", last + 1 - len(term), last + 1
+        longest: dict[int, str] = {}  # by place; words that end later are longer
+        for last, term in known.iter(text):
+            longest[last + 1 - len(term)] = term
+        free = 0
+        for start in sorted(longest):
+            if start >= free:
+                free = start + len(longest[start])
+                yield longest[start], "known", start, free
     marked, spans = set(), []
     for m in MARKED.finditer(text):
         spans.append(m.span())
