@@ -156,9 +156,10 @@ def near_dup_pairs_24h(spark, sf):
     return S.close_pairs(rows, 0.3, "label", 86_400_000_000).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-@query("""select count(*) filter (vec_id % 9 = 0) as no_vector, count(*) filter (vec_id % 9 <> 0 and ts is null) as no_time, count(*) as n from embeddings left join events on event_id = vec_id * 25 and event_id % 50 = 0""")
+@query("""select count(*) filter (vec_id % 9 = 0) as no_vector, count(*) filter (vec_id % 9 <> 0 and ts is null) as no_time, count(*) as n from embeddings left join (select event_id, case when value > 20 then ts end as ts from events) on event_id = vec_id""")
 def unjudgeable_rows(spark, sf):
-    ts = table(spark, sf, "events").where("event_id % 50 = 0").select((F.col("event_id") / 25).cast("long").alias("vec_id"), "ts")
+    """Rows that no measure can judge: without a vector, or without a time (of the event of their number, if its value tells one)."""
+    ts = table(spark, sf, "events").select(F.col("event_id").alias("vec_id"), F.when(F.col("value") > 20, F.col("ts")).alias("ts"))
     e = table(spark, sf, "embeddings").select("vec_id", F.when(F.col("vec_id") % 9 != 0, F.col("embedding")).alias("v")).join(ts, "vec_id", "left")
     return e.agg(F.count_if(F.col("v").isNull()).alias("no_vector"), F.count_if(F.col("v").isNotNull() & F.col("ts").isNull()).alias("no_time"), F.count(F.lit(1)).alias("n"))
 
@@ -196,14 +197,14 @@ def prior_basis(spark, sf):
     return out.select("week", "lang", F.col("topic").alias("source"), "prior_week", novel.alias("novel"))
 
 
-@query("""with r as (select doc_id as report, [doc_id + 3, doc_id + 1, doc_id + 100000000, doc_id + 2] as links from documents where doc_id % 10 = 0),
+@query("""with r as (select doc_id as report, [doc_id + 3, doc_id + 1, doc_id + 100000000, doc_id + 2] as links from documents),
 x as (select report, unnest(links) as link, unnest([1, 2, 3, 4]) as pos from r), j as (select x.*, d.source from x left join documents d on d.doc_id = x.link)
-select report, string_agg(source, ',' order by pos) filter (source is not null) as sources, count(*) filter (source is null) as unresolved, count(*) filter (source is null) = 0 as exact from j group by report""")
+select report, coalesce(string_agg(source, ',' order by pos) filter (source is not null), '') as sources, count(*) filter (source is null) as unresolved, count(*) filter (source is null) = 0 as exact from j group by report""")
 def report_articles(spark, sf):
     """Reports with their articles in the order of their links; links that lead nowhere are counted."""
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("link"), "source")
     i = F.col("link")
-    reports = d.where("link % 10 = 0").select(i.alias("report"), F.array(i + 3, i + 1, i + 100000000, i + 2).alias("links"))
+    reports = d.select(i.alias("report"), F.array(i + 3, i + 1, i + 100000000, i + 2).alias("links"))
     out = P.ordered_articles(reports, "report", "links", d.withColumn("found", F.lit(True)), "link", "source")
     return out.select("report", F.array_join("items", ",").alias("sources"), "unresolved", (F.col("unresolved") == 0).alias("exact"))
 

@@ -81,12 +81,14 @@ def page_published_times(spark, sf):
 
 @query("select doc_id as id, md5(text) as digest from documents")
 def declared_charsets(spark, sf):
-    """Whole texts encoded as UTF-8 or Latin-1 behind a declaration, decoded again by it."""
+    """Whole texts encoded as UTF-8 or Latin-1 behind a declaration, decoded again by it (other charsets: ``udf.decode_bytes``)."""
     d = table(spark, sf, "documents").where("text is not null")
     latin = (F.col("doc_id") % 2 == 0) & ~F.col("text").rlike(r"[^\x00-\xff]")
     head = F.when(latin, '<meta charset="iso-8859-1">').otherwise('<meta charset="utf-8">')
     raw = F.when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
-    return d.select(F.col("doc_id").alias("id"), F.md5(U.decode_bytes(raw, T.declared_charset(head))).alias("digest"))
+    named = T.declared_charset(head)
+    text = F.when(F.upper(named) == "ISO-8859-1", F.decode(raw, "ISO-8859-1")).otherwise(F.decode(raw, "UTF-8"))
+    return d.select(F.col("doc_id").alias("id"), F.md5(text).alias("digest"))
 
 
 _PAGE = r"""p as (select page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) as host, regexp_extract(url, '^([^?#]*)', 1) as link, lang, week, title, text from (

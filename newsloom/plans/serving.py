@@ -100,7 +100,7 @@ def display_state(spark, sf):
     return d.select("doc_id", F.when(F.col("hidden"), "hidden").when(F.col("source") == "src5", "collapsed").otherwise("normal").alias("state"))
 
 
-@query(r"""with t as (select doc_id as id, regexp_replace(split_part(text, chr(10), 1), '([A-Z][a-zéü]+)', '[[\1]]', 'g') as text from documents),
+@query(r"""with t as (select doc_id as id, regexp_replace(text, '([A-Z][a-zéü]+)', '[[\1]]', 'g') as text from documents),
 m as (select distinct id, unnest(regexp_extract_all(text, '\[\[([^\[\]]+)\]\]', 1)) as term from t)
 select term, count(*) as n from m where term not in ('The', 'De') and term not in (select r_name from region) group by term""")
 def kb_unknown_terms(spark, sf):
@@ -108,20 +108,19 @@ def kb_unknown_terms(spark, sf):
     from newsloom.operators import knowledge as K
 
     known = spark.createDataFrame([("The",), ("De",)], "term string")
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace(T.title_of(F.col("text")), "([A-Z][a-zéü]+)", "[[$1]]").alias("text"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace("text", "([A-Z][a-zéü]+)", "[[$1]]").alias("text"))
     ignored = table(spark, sf, "region").select(F.col("r_name").alias("term"))
     return K.unknown_terms(rows, known, ignored).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(r"""select doc_id as id, replace(replace(split_part(text, chr(10), 1), 'the', 'THE'), 'de ', 'of ') as text from documents""")
+@query(r"""select doc_id as id, md5(replace(replace(text, 'the', 'THE'), 'de ', 'of ')) as digest from documents""")
 def kb_rewrite(spark, sf):
     """Markers replaced by the term base; later levels override earlier ones."""
     from newsloom.operators import knowledge as K
 
-    title = T.title_of(F.col("text"))
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.replace(F.replace(title, F.lit("the"), F.lit("[[the]]")), F.lit("de "), F.lit("[[de ]]")).alias("text"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.replace(F.replace(F.col("text"), F.lit("the"), F.lit("[[the]]")), F.lit("de "), F.lit("[[de ]]")).alias("text"))
     values = K.precedence(spark.createDataFrame([("the", "x"), ("de ", "of ")], "term string, value string"), spark.createDataFrame([("the", "THE")], "term string, value string"))
-    return K.rewrite_markers(rows, values)
+    return K.rewrite_markers(rows, values).select("id", F.md5("text").alias("digest"))
 
 
 @query(f"""with {ART}, p as (select id, lang, row_number() over (partition by lang order by value desc nulls last, id) as nth from art)
