@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import fingerprint, first_hit, url_date
+from newsloom.functions.text import fingerprint, first_hit, strip_tags, url_date
 
 
 def relevant(text: Column, include: list[str], exclude: list[str]) -> Column:
@@ -27,11 +27,14 @@ def first_year(text: Column, low: int, high: int) -> Column:
     return F.get(F.filter(years, lambda y: y.between(low, high)), F.lit(0))
 
 
-def stale(text: Column, published: Column, as_of: str, days: int = 14) -> Column:
-    """A year before last year is named first, or else the article is older than ``days``."""
+def stale(text: Column, published: Column, as_of: str, days: int = 14, lookback: Column | None = None) -> Column:
+    """A year before last year is named first, or else the article is older than ``days``; its age does not
+    count where its source has a look-back of its own (``lookback`` not null)."""
     year = int(as_of[:4])
     named = first_year(text, 2020, year + 1)
     old = published < F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval {days} days")
+    if lookback is not None:
+        old = old & lookback.isNull()
     return F.when(named.isNotNull() & (named < year - 1), True).otherwise(F.coalesce(old, F.lit(False)))
 
 
@@ -52,6 +55,19 @@ def keep_first(df: DataFrame, key: Column | str, order: str) -> DataFrame:
     return first.select("_first.*")
 
 
+def filter_chain(rows: DataFrame, as_of: str, include: list[str], exclude: list[str], topic: Column, limit: int, kinds: tuple[str, ...] = (), throttle: bool = True) -> DataFrame:
+    """Collected articles in their order (``seq``) through all filters: a title, not stale, relevant (or of a kind or source
+    that is exempt), the first of its title, and of each topic the first ``limit``.
+
+    rows: seq, title, summary, published, content_type, lookback_days, relevance_exempt and more. Tags are no text.
+    """
+    text = strip_tags(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit(""))))
+    exempt = F.coalesce(F.col("content_type").isin(*kinds), F.lit(False)) | F.coalesce("relevance_exempt", F.lit(False))
+    kept = rows.where((F.trim(F.coalesce("title", F.lit(""))) != "") & ~stale(text, F.col("published"), as_of, lookback=F.col("lookback_days")) & (exempt | relevant(text, include, exclude)))
+    one = keep_first(kept, fingerprint(F.col("title")), "seq")
+    return cap_per_key(one.withColumn("_topic", topic), "_topic", ["seq"], limit).drop("_topic") if throttle else one
+
+
 def cap_per_key(df: DataFrame, key: str, order: list, limit: int) -> DataFrame:
     """At most ``limit`` rows a key; rows with a null key all pass. Spark's group limit
     drops what cannot be among them before the shuffle."""

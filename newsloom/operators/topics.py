@@ -68,6 +68,18 @@ def ordered_articles(reports: DataFrame, key: str, links: str, articles: DataFra
     return each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["item"]).alias("items"), F.count_if(F.col("found").isNull()).alias("unresolved"))
 
 
+def allocate_seats(digests: DataFrame, hot: DataFrame, most: int, first: list, then: list) -> DataFrame:
+    """name, kind (digest or hot) and seat: digests in the order ``first`` take seats, hot topics in the order ``then`` the rest.
+
+    digests and hot hold name; at most ``most`` rows of each are ranked.
+    """
+    few = lambda df, order, kind: df.orderBy(*order).limit(most).select("name", F.lit(kind).alias("kind"), F.row_number().over(Window.orderBy(*order)).alias("seat"))
+    d = few(digests, first, "digest")
+    taken = d.agg(F.count(F.lit(1)).alias("taken"))  # one row
+    h = few(hot, then, "hot").join(F.broadcast(taken)).where(F.col("seat") + F.col("taken") <= most)
+    return d.unionByName(h.select("name", "kind", (F.col("seat") + F.col("taken")).cast("int").alias("seat")))
+
+
 def gate_then_cap(rows: DataFrame, threshold: Column, novel: Column, limit: int, order: list) -> DataFrame:
     """First the gates, then the cap, so that repeats take no seat."""
     return rows.where((F.col("score") >= threshold) & novel).orderBy(*order).limit(limit)

@@ -50,6 +50,23 @@ def category_first_match(spark, sf):
     return token_sets(spark, sf).select("id", classify.category_of(F.col("tokens"), TAXONOMY).alias("category"))
 
 
+_TAGLESS = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(title || ' ' || text, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '[\s\x{a0}]+', ' ', 'g'))"""
+
+
+@query(rf"""with {ART}, t as (select *, {_TAGLESS} as plain from art), y as (select *, list_filter(list_transform(regexp_extract_all(plain, '(20\d\d)', 1), lambda x: x::int), lambda x: x between 2020 and 2025)[1] as y from t),
+k as (select * from y where trim(title) <> '' and not (case when y is not null and y < 2023 then true else id % 5 <> 0 and coalesce(published < timestamp '{AS_OF}' - interval 14 days, false) end)
+  and (coalesce(lang = 'es', false) or coalesce(source = 'src7', false) or ((regexp_matches(plain, 'tion') or regexp_matches(plain, 'eit.*und') or regexp_matches(plain, 'ción')) and not contains(plain, 'moron') and not contains(plain, '###')))),
+o as (select * from k qualify row_number() over (partition by sha256({NORM.format('title')}) order by id) = 1),
+c as (select id, case when contains(title, 'the') and contains(title, 'tion') then 'the+tion' end as topic from o)
+select id from c where topic is null union all select id from (select *, row_number() over (partition by topic order by id) as n from c where topic is not null) where n <= 3""")
+def filter_chain(spark, sf):
+    """all filters of collected articles in their order."""
+    a = articles(spark, sf).withColumnsRenamed({"id": "seq", "text": "summary", "lang": "content_type"})
+    a = a.withColumn("lookback_days", F.when(F.col("seq") % 5 == 0, 7)).withColumn("relevance_exempt", F.col("source") == "src7")
+    topic = F.when(F.contains("title", F.lit("the")) & F.contains("title", F.lit("tion")), "the+tion")
+    return filters.filter_chain(a, AS_OF, INCLUDE, EXCLUDE, topic, 3, ("es",)).select(F.col("seq").alias("id"))
+
+
 _SHORT = {k: v[:1] for k, v in TAXONOMY.items() if k != "english"}
 
 

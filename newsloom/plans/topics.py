@@ -107,6 +107,17 @@ def digest_seats(spark, sf):
     return e.withColumn("seat", F.row_number().over(Window.orderBy(F.col("effective").desc(), "lang"))).where("seat <= 3")
 
 
+@query(f"""with {_ROWS}, e as (select lang as name, count(*) filter (quality >= 40) as n from rows_ group by lang), d as (select name, row_number() over (order by n desc, name) as seat from e where n >= 5 and name <> 'en'),
+h as (select source as name, row_number() over (order by count(*) filter (quality >= 60) desc, source) as seat from rows_ where source is not null group by source)
+select name, 'digest' as kind, seat from d where seat <= 7 union all select name, 'hot', seat + (select count(*) from d where seat <= 7) from h where seat + (select count(*) from d where seat <= 7) <= 7""")
+def report_seats(spark, sf):
+    """Seven seats: triggered digests by effective count, hot sources by good rows in what is left."""
+    rows = _rows(spark, sf)
+    digests = rows.groupBy(F.col("lang").alias("name")).agg(F.count_if(F.col("quality") >= 40).alias("n")).where("n >= 5 and name <> 'en'")
+    hot = rows.where("source is not null").groupBy(F.col("source").alias("name")).agg(F.count_if(F.col("quality") >= 60).alias("n"))
+    return T.allocate_seats(digests, hot, 7, [F.col("n").desc(), F.col("name")], [F.col("n").desc(), F.col("name")])
+
+
 @query(f"with {_ROWS}, w as (select *, case source when 'src3' then 2.0 when 'src4' then 1.0 else 0.0 end as weight from rows_) select id, row_number() over (order by weight desc, published is null, published desc, id) as rank from w qualify rank <= 100")
 def ranked_selection(spark, sf):
     """Weight desc, unknown times last, newest first; the first hundred."""
