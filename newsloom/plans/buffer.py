@@ -76,11 +76,25 @@ def report_upsert_then_mark(spark, sf):
 select count(*) filter (missing) as missing, count(*) filter (missing and not short and not filled) as written, count(*) filter (missing and short) as failed, count(*) filter (missing and not short and filled) as skipped from b""")
 def vector_backfill(spark, sf):
     """Missing vectors filled where they are still missing: written, failed (wrong length) and skipped (filled meanwhile)."""
+    return K.backfill(*_vectors_to_fill(spark, sf), 64)[1]
+
+
+@query("""with v as (select vec_id as id, case when vec_id % 10 <> 0 or vec_id % 50 = 0 or not (vec_id % 20 = 0 and label % 2 = 0) then embedding end as e from embeddings)
+select id, e is null as missing, coalesce(len(e), 0)::int as size, round(e[1]::double, 6) as first, round(list_sum(list_transform(e, lambda x: abs(x::double))), 4) as total from v""")
+def vectors_backfilled(spark, sf):
+    """The table after the backfill, its vectors included."""
+    e = F.col("vector")
+    out = K.backfill(*_vectors_to_fill(spark, sf), 64)[0]
+    total = F.aggregate(e, F.lit(0.0), lambda s, x: s + F.abs(x.cast("double")))
+    return out.select("id", e.isNull().alias("missing"), F.coalesce(F.array_size(e), F.lit(0)).alias("size"), F.round(F.get(e, F.lit(0)).cast("double"), 6).alias("first"), F.round(total, 4).alias("total"))
+
+
+def _vectors_to_fill(spark, sf):
     e = table(spark, sf, "embeddings")
     stale = e.select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 10 != 0, F.col("embedding")).alias("vector"))
     now = e.select(F.col("vec_id").alias("id"), F.when((F.col("vec_id") % 10 != 0) | (F.col("vec_id") % 50 == 0), F.col("embedding")).alias("vector"))
     made = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("id"), F.when((F.col("vec_id") % 20 == 0) & (F.col("label") % 2 == 0), F.slice("embedding", 1, 3)).otherwise(F.col("embedding")).alias("vector"))
-    return K.backfill(stale, now, made, 64)[1]
+    return stale, now, made
 
 
 @query("""with known as (select r_name as term from region), new as (select distinct case when n_nationkey % 5 = 0 then (select r_name from region where r_regionkey = n_regionkey) else n_name end as term, n_nationkey from nation),
