@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.operators import replay
 from newsloom.operators.classify import category_of
 from newsloom.operators.ranks import at_places
 from newsloom.operators.store import stored
@@ -210,3 +211,52 @@ def relevance_replay(spark, sf):
     at = lambda run: F.max(F.when(F.col("run") == run, F.col("score")))
     out = g.groupBy("week_id", "lang").agg(F.round(at("before"), 4).alias("before"), F.round(at("after"), 4).alias("after"), at("after").alias("raw"))
     return out.withColumn("still_hot", F.coalesce("raw", F.lit(0.0)) >= 500).drop("raw")
+
+
+_SLATES = f"""{ART}, v as (select a.*, strftime(published + interval 8 hours, '%G-W%V') as week, case when toxic = 1 then 'off' when quality = 1 then 'on' end as verdict, not regexp_matches(text, 'idiot|vequ|lowei|chlla') as fits from art a left join labels on doc_id = id),
+n as (select week, lang, source, count(*) as n from v where week is not null and source is not null group by all),
+e as (select v.week, v.lang || '/' || v.source as label, v.id, v.id % 97 <> 0 as found, coalesce(value, 0) as quality, coalesce(published::date, null) as day, verdict, fits, n.n + case when n.n % 5 = 4 then 1 else 0 end as bucket_size, v.source
+  from v join n on v.week = n.week and v.lang = n.lang and v.source = n.source),
+f as (select * from e where found),
+sc as (select week, label, sum(quality::decimal(38,9))::double * ln(count(distinct source) + 1.0) * ln(greatest(count(distinct day), 1) + 1.0) as before_score, sum(quality::decimal(38,9)) filter (fits)::double * ln(count(distinct source) filter (fits) + 1.0) * ln(greatest(count(distinct day) filter (fits), 1) + 1.0) as kept_score,
+  count(*) as resolved, count(*) filter (fits) as kept, count(*) filter (verdict = 'on') as before_on, count(*) filter (verdict = 'off') as before_off from f group by all),
+s0 as (select x.week, x.label, x.n_links, coalesce(resolved, 0) as resolved, bucket_size <= n_links and coalesce(resolved, 0) = n_links as exact, coalesce(kept, 0) as kept, coalesce(before_score, 0) as before_score, coalesce(kept_score, 0) as kept_score, coalesce(before_on, 0) as before_on, coalesce(before_off, 0) as before_off
+  from (select week, label, count(*) as n_links, any_value(bucket_size) as bucket_size from e group by all) x left join sc using (week, label)),
+s as (select *, case when exact then kept > 0 and kept_score >= 60 end as survives, exact and kept > 0 and abs(kept_score - 60) <= 0.05 * 60 as borderline from s0),
+a as (select week, label, count(*) as n, count(*) filter (verdict = 'on') as on_, count(*) filter (verdict = 'off') as off_ from (select *, row_number() over (partition by week, label order by quality desc, id) as nth from f where fits) where nth <= 3 group by all),
+g as (select s.week, s.label, n_links, resolved, exact, resolved - kept as dropped, kept, before_score, case when exact then kept_score end as after_score, survives, borderline, before_on, before_off, resolved - before_on - before_off as unclear,
+  case when coalesce(survives, true) then coalesce(n, 0) else 0 end as after_n, case when coalesce(survives, true) then coalesce(on_, 0) else 0 end as after_on, case when coalesce(survives, true) then coalesce(off_, 0) else 0 end as after_off from s left join a using (week, label))"""
+
+
+def _slates(spark, sf):
+    """Slates (week, language and source) with their links, one in 97 of which leads nowhere; some buckets were larger."""
+    a = articles(spark, sf, fits=~F.col("text").rlike("idiot|vequ|lowei|chlla")).where("published is not null and source is not null and lang is not null")
+    a = a.withColumn("week", T.week_id(F.col("published"))).withColumn("label", F.concat_ws("/", "lang", "source"))
+    link = F.when(F.col("id") % 97 != 0, F.col("id")).otherwise(-F.col("id") - 1)
+    n = F.count(F.lit(1))
+    slates = a.groupBy("week", "label").agg(F.array_sort(F.collect_list(F.struct("id", link.alias("link")))).alias("l"), (n + F.when(n % 5 == 4, 1).otherwise(0)).alias("bucket_size"))
+    slates = slates.select("week", "label", "bucket_size", F.transform("l", lambda x: x["link"]).alias("links"), F.lit(60.0).alias("threshold"))
+    verdicts = table(spark, sf, "labels").select(F.col("doc_id").alias("link"), F.when(F.col("toxic") == 1, "off").when(F.col("quality") == 1, "on").alias("verdict"))
+    rows = a.select(F.col("id").alias("link"), F.col("value").alias("quality"), "source", F.to_date("published").alias("day"), F.col("fits").alias("on_topic")).join(verdicts, "link", "left")
+    return slates, rows
+
+
+@query(f"with {_SLATES} select week, label, n_links, resolved, exact, dropped, kept, round(before_score, 4) as before_score, round(after_score, 4) as after_score, survives, borderline, before_on, before_off, unclear, after_n, after_on, after_off from g")
+def slate_replay(spark, sf):
+    """D8: published slates after the gate; only those that can be judged live or die."""
+    out = replay.gated(*_slates(spark, sf), cap=3)
+    return out.withColumn("before_score", F.round("before_score", 4)).withColumn("after_score", F.round("after_score", 4))
+
+
+@query(f"""with {_SLATES}, r as (select *, case when coalesce(survives, true) and after_on + after_off > 0 then after_off / (after_on + after_off) end as share, case when exact then before_on - after_on else 0 end as lost from g),
+t as (select max(share) filter (exact) as worst, max(share) as worst_of_all, coalesce(sum(before_on) filter (exact), 0)::bigint as before_on, coalesce(sum(after_on) filter (exact), 0)::bigint as after_on, coalesce(sum(lost) filter (not survives), 0)::bigint as lost_dead, coalesce(sum(lost) filter (survives), 0)::bigint as lost_missed,
+  sum(unclear)::bigint as unclear, count(*) as slates, count(*) filter (exact) as exact, count(*) filter (exact and n_links % 2 = 0) as faithful, count(*) filter (borderline) as borderline from r)
+select case when worst is null then 'none' when worst = 0 then 'ideal' when worst <= 0.2 then 'first' when worst <= 0.5 then 'gate' else 'below' end as rung,
+  case when worst_of_all is null then 'none' when worst_of_all = 0 then 'ideal' when worst_of_all <= 0.2 then 'first' when worst_of_all <= 0.5 then 'gate' else 'below' end as rung_of_all,
+  worst, worst_of_all, before_on, after_on, lost_dead, lost_missed, unclear, slates, exact, faithful, borderline, round((lost_dead + lost_missed) / nullif(before_on, 0), 6) as loss_share,
+  case when before_on = 0 then 'none' when lost_dead + lost_missed = 0 then 'ideal' when lost_dead = 0 and lost_missed / before_on <= 0.1 then 'first' when (lost_dead + lost_missed) / before_on <= 0.3 then 'gate' else 'below' end as loss_rung from t""")
+def relevance_ladder(spark, sf):
+    """A17: rungs, losses by kind and fidelity of the replay; every other recorded score is the replayed one."""
+    out = stored(replay.gated(*_slates(spark, sf), cap=3), "replayed")
+    recorded = out.select("week", "label", (F.col("before_score") + F.col("n_links") % 2).alias("recorded_score"))
+    return replay.ladder(out, recorded).withColumn("loss_share", F.round("loss_share", 6))
