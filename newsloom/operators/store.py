@@ -120,3 +120,17 @@ class Store:
         table.write.partitionBy(*partition_by).parquet(f"{self.path}/{version}")
         self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/current")
         return self.spark.read.parquet(f"{self.path}/{version}").count()
+
+
+def consumed(pool: DataFrame, selected: DataFrame, answers: DataFrame, written: DataFrame, marked: DataFrame, label: str = "label", link: str = "link") -> DataFrame:
+    """label, link of the pool's rows that digests used up.
+
+    answers: label, text (generated); written: label, ok (the report's upsert); marked: label, ok (the flags of the
+    residual). Without a text or a written report nothing of a pool is consumed; if marking the residual failed, only what was
+    selected is, and the rest comes again (the report of the same key is then replaced). A missing outcome is a failure.
+    """
+    ok = lambda df: df.where("ok").select(label).distinct()
+    done = answers.where(F.trim(F.coalesce("text", F.lit(""))) != "").select(label).distinct().join(ok(written), label, "left_semi")
+    used = selected.select(label, link).distinct().join(done, label, "left_semi")
+    rest = pool.select(label, link).distinct().join(selected.select(label, link).distinct(), [label, link], "left_anti").join(done.join(ok(marked), label, "left_semi"), label, "left_semi")
+    return used.unionByName(rest)

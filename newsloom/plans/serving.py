@@ -144,3 +144,18 @@ def verdict_drop(spark, sf):
 
     rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
     return K.drop_verdicts(rows, table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))
+
+
+@query(f"""with {ART}, p as (select id, lang, row_number() over (partition by lang order by value desc nulls last, id) as nth from art where lang is not null)
+select lang, count(*) as pool, count(*) filter (case lang when 'en' then true when 'es' then nth <= 20 else false end) as consumed from p group by lang""")
+def digest_failures(spark, sf):
+    """D9: what is consumed where all went well (en), the residual could not be marked (es), the report was not written (de) or not generated (fr)."""
+    from newsloom.operators import store as K
+    from newsloom.operators.topics import digest_pool
+
+    a = articles(spark, sf, one=F.lit(1)).where("lang is not null").select("id", "lang", F.col("value").alias("quality"))
+    best = digest_pool(a, "lang", 40, 20, [F.col("quality").desc_nulls_last(), F.col("id")]).select("lang", "id")
+    outcomes = lambda rows: spark.createDataFrame(rows, "lang string, ok boolean")
+    answers = spark.createDataFrame([("en", "x"), ("es", "x"), ("de", "x"), ("fr", " ")], "lang string, text string")
+    used = K.consumed(a, best, answers, outcomes([("en", True), ("es", True), ("fr", True), ("de", False)]), outcomes([("en", True), ("es", False), ("de", True), ("fr", True)]), "lang", "id")
+    return a.join(used.withColumn("used", F.lit(True)), ["lang", "id"], "left").groupBy("lang").agg(F.count(F.lit(1)).alias("pool"), F.count_if("used").alias("consumed"))
