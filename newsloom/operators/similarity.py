@@ -23,6 +23,8 @@ from newsloom.operators.store import discard, stored
 #: Set joins: a token is hot from 2^LEAST_HOT sets on at least, so many tokens of a block are hot at most, so
 #: many sets meet in a tile; what a pair met in the join costs (times 64 bits compared in a tile).
 LEAST_HOT, HOT_TOKENS, HOT_TILE, JOIN_COST = 4, 8192, 8192, 40
+#: Sketches (some 150 bytes each) that are broadcast; more are joined.
+SKETCHES = 200_000
 #: Vector joins: rows that name cells at most (they reach the driver), vectors on a side of a tile.
 PIVOTS, VECTOR_TILE = 64, 4096
 #: Rows of one component that a scan with replacement takes at once.
@@ -75,20 +77,27 @@ def jaccard_pairs(classes: DataFrame, least: float, block: str | None = None, ho
     cell = F.pmod(F.xxhash64("token"), F.lit(1024))
     odd = [F.bit_xor(F.when(F.floor(F.col("cell") / 64) == k, F.expr("shiftleft(1L, int(cell % 64))")).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(16)]
     counted = spread.join(common, on)
-    ranked = counted.withColumn("cell", cell).groupBy("rep", *own).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"), *odd)
+    sketch = stored(spread.withColumn("cell", cell).groupBy("rep").agg(F.count(F.lit(1)).alias("n"), *odd), "sketches")
+    ranked = counted.groupBy("rep", *own).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     n = F.size("ranked")
     short = F.slice("ranked", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))
     cold = F.filter(F.transform(short, lambda t, i: F.struct(i.alias("place"), t["token"].alias("token"), t["df"].alias("df"))), lambda t: t["df"] <= hot)
-    prefix = ranked.select("rep", *own, n.alias("n"), *[f"s{k}" for k in range(16)], F.explode(cold).alias("t")).withColumn("left", F.col("n") - F.col("t.place")).withColumn("token", F.col("t.token")).drop("t")
-    a, b = (prefix.select(*on, F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "left", *[f"s{k}" for k in range(16)])]) for x in "ab")
+    prefix = ranked.select("rep", *own, n.alias("n"), F.explode(cold).alias("t")).select("rep", *own, "n", (F.col("n") - F.col("t.place")).alias("left"), F.col("t.token").alias("token"))
+    prefix = stored(prefix, "cold-prefixes")  # both sides of the join read it
+    a, b = (prefix.select(*on, F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "left")]) for x in "ab")
     # The smaller set of a pair shares more of its tokens, so it needs a shorter prefix.
     a = a.where(F.col("left_a") >= F.ceil(F.col("n_a") * F.lit(2 * least / (1 + least)) - 1e-9))
     in_order = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
     both = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)) - 1e-9)
     near = (F.least("left_a", "left_b") >= both) & (F.least("n_a", "n_b") >= F.ceil(F.greatest("n_a", "n_b") * F.lit(least) - 1e-9))
+    met = stored(a.join(b, on).where(in_order & near).select("a", "b").distinct(), "met")
+    few = sketch.count() <= SKETCHES  # wide rows: broadcast only so many
+    x, y = (sketch.select(F.col("rep").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *[f"s{i}" for i in range(16)])]) for k in "ab")
+    x, y = (F.broadcast(x), F.broadcast(y)) if few else (x, y)
     differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(16)), F.lit(0))
-    met = a.join(b, on).where(in_order & near & (differ <= F.col("n_a") + F.col("n_b") - 2 * both))
+    met = met.join(x, "a").join(y, "b").where(differ <= F.col("n_a") + F.col("n_b") - 2 * both)
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(_hot_pairs(counted, classes.select("rep", F.size("tokens").alias("n")), common, least, own, hot)).distinct()
+    pairs = stored(pairs, "possible-pairs")
     s, t = (classes.select(F.col("rep").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     return pairs.join(s, "a").join(t, "b").select("a", "b", jaccard(F.col("ta"), F.col("tb")).alias("similarity")).where(F.col("similarity") >= least)
 

@@ -109,8 +109,8 @@ def test_jaccard_pairs_against_brute_force(spark):
     rows = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "id bigint, tokens array<string>")
     classes = similarity.set_classes(rows).collect()
     c = spark.createDataFrame(classes)
-    for least in (0.3, 0.5, 0.8):
-        got = {(p.a, p.b) for p in similarity.jaccard_pairs(c, least).collect()}
+    for least, hot in ((0.3, None), (0.5, None), (0.8, None), (0.2, 0), (0.45, 12), (0.45, 1000)):  # all tokens hot, some, none
+        got = {(p.a, p.b) for p in similarity.jaccard_pairs(c, least, hot=hot).collect()}
         first = [x.rep for x in classes]
         sim = lambda a, b: len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b]))
         assert got == {(a, b) for a in first for b in first if a < b and sim(a, b) >= least}
