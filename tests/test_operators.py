@@ -283,3 +283,22 @@ def test_near_dup_pair_classes_all_counts_every_pair(spark):
     ours, theirs = same_rows(every, SQL["near_dup_pair_classes_all"], sf)
     queried = QUERIES["near_dup_pair_classes"](spark, sf).collect()
     assert ours == theirs and sum(r.n for r in every.collect()) > 10 * sum(r.n for r in queried) > 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_jaccard_pairs_in_tiles_and_with_equal_numbers(spark, monkeypatch, clash):
+    """Many small tiles, a row without a block, counts that are too great; no candidate is a row of a join."""
+    monkeypatch.setattr(similarity, "TILE_SETS", 7)
+    monkeypatch.setattr(similarity, "COLUMN_COST", 6)
+    if clash:
+        monkeypatch.setattr(similarity, "_named", lambda t: F.transform(t, lambda x: F.pmod(F.xxhash64(x), F.lit(5))))
+    r = random.Random(4)
+    rows = [(i, r.choice(["x", "y", None]), sorted(r.sample("abcdefghijklmnopqrst", r.choice([1, 2, 3, 9, 12, 18])))) for i in range(150)]
+    c = similarity.set_classes(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>"), "lang")
+    held = c.collect()
+    for least in (0.2, 0.5):
+        found = similarity.jaccard_pairs(spark.createDataFrame(held, c.schema), least, "lang")
+        sim = lambda a, b: len({*a.tokens} & {*b.tokens}) / len({*a.tokens} | {*b.tokens})
+        want = {(a.rep, b.rep): sim(a, b) for a in held for b in held if a.rep < b.rep and a.lang is not None and a.lang == b.lang and sim(a, b) >= least}
+        assert {(x.a, x.b): x.similarity for x in found.collect()} == pytest.approx(want) and want
+        assert clash or "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
