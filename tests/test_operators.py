@@ -302,3 +302,40 @@ def test_jaccard_pairs_in_tiles_and_with_equal_numbers(spark, monkeypatch, clash
         want = {(a.rep, b.rep): sim(a, b) for a in held for b in held if a.rep < b.rep and a.lang is not None and a.lang == b.lang and sim(a, b) >= least}
         assert {(x.a, x.b): x.similarity for x in found.collect()} == pytest.approx(want) and want
         assert clash or "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_containments_of_sets_without_a_token_of_their_own(spark):
+    r = random.Random(9)
+    sets = sorted({tuple(sorted(r.sample("abcdefghijkl", r.randint(1, 8)))) for _ in range(70)} | {("a", "zz"), ("zzz",)})
+    rows = [(i, r.choice("xy"), list(t)) for i, t in enumerate(sets)]
+    got = similarity.containments(spark.createDataFrame(rows, "rep bigint, lang string, tokens array<string>"), "lang")
+    want = {(min(i, j), max(i, j)) for i, k, s in rows for j, m, t in rows if i != j and k == m and set(s) < set(t)}
+    assert {(x.a, x.b) for x in got.collect()} == want and want
+
+
+def test_first_few_kept_reads_heads(spark):
+    """As the whole scan, with heads so small that rows near to what stayed go from the rest."""
+    from newsloom.plans.dedup import first_few_kept, first_kept
+
+    r = random.Random(11)
+    rows = [(i, r.choice(["x", "y", None]), r.choice([[], None]) if r.random() < 0.05 else sorted(r.sample("abcdefghijklmnop", r.randint(1, 6)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")
+    want = sorted(x.id for x in first_kept(df).collect())
+    for most, head in ((4, 6), (len(want) + 5, 40)):
+        assert sorted(x.id for x in first_few_kept(df, most, head=head).collect()) == want[:most]
+
+
+def test_cosine_matches_in_tiles(spark, monkeypatch):
+    """No joined rows of vectors: tiles meet; missing numbers and vectors match nothing, lengths may differ."""
+    from newsloom.functions.text import cosine
+
+    monkeypatch.setattr(similarity, "VECTOR_TILE", 8)
+    r = random.Random(2)
+    vec = lambda: r.choice([None, [0.0] * 4, [1.0, None, 2.0], [r.gauss(0, 1) for _ in range(3)]]) if r.random() < 0.2 else [r.gauss(0, 1) for _ in range(4)]
+    e = spark.createDataFrame([(i, vec(), r.choice([1, 2, None]), i * 10) for i in range(90)], "id bigint, v array<float>, label int, ts bigint")
+    q = e.where("id % 5 = 0").select(F.col("id").alias("q"), F.col("v").alias("qv"), "label", F.col("ts").alias("qt"))
+    got = similarity.cosine_matches(q, e, 0.4, ["label"], (F.col("q") != F.col("id")) & (F.abs(F.col("qt") - F.col("ts")) < 600))
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    plain = q.join(e, "label").where((F.col("q") != F.col("id")) & (F.abs(F.col("qt") - F.col("ts")) < 600)).withColumn("similarity", cosine(F.col("qv"), F.col("v"))).where("similarity >= 0.4")
+    cols = ["q", "id", "label", "qt", "ts", "similarity"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect())) != []
