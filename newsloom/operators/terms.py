@@ -37,6 +37,18 @@ def automaton(terms: list[str]):
     return None
 
 
+def known_spans(text: str, known) -> Iterator[tuple[str, int, int]]:
+    """term, start, end of the known terms, leftmost and longest."""
+    longest: dict[int, str] = {}  # by place; words that end later are longer
+    for last, term in known.iter(text):
+        longest[last + 1 - len(term)] = term
+    free = 0
+    for start in sorted(longest):
+        if start >= free:
+            free = start + len(longest[start])
+            yield longest[start], start, free
+
+
 def scan(text: str, known, names: set[str]) -> Iterator[tuple[str, str, int, int]]:
     """term, kind, start, end (code points): ``known``; ``marked`` and ``katakana`` for terms that are not known.
 
@@ -44,14 +56,8 @@ def scan(text: str, known, names: set[str]) -> Iterator[tuple[str, str, int, int
     inside a mark belongs to the mark, and one that is marked anywhere in the text is reported as marked only.
     """
     if known is not None:
-        longest: dict[int, str] = {}  # by place; words that end later are longer
-        for last, term in known.iter(text):
-            longest[last + 1 - len(term)] = term
-        free = 0
-        for start in sorted(longest):
-            if start >= free:
-                free = start + len(longest[start])
-                yield longest[start], "known", start, free
+        for term, start, end in known_spans(text, known):
+            yield term, "known", start, end
     marked, spans = set(), []
     for m in MARKED.finditer(text):
         spans.append(m.span())
@@ -65,13 +71,34 @@ def scan(text: str, known, names: set[str]) -> Iterator[tuple[str, str, int, int
             yield m[0], "katakana", *m.span()
 
 
-def find_terms(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """rows: id (long), text; base: term. id, term, kind, start, end of every occurrence; a null text has none."""
+def _held(base: DataFrame):
+    """The distinct terms as a broadcast list, counted first."""
     known = base.where("term is not null and trim(term) <> ''").select("term").distinct()
     n, chars = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("term")), F.lit(0))).first()
     if n > TERMS or chars > CHARS:
         raise ValueError(f"{n} terms of {chars} characters: an automaton holds {TERMS} of {CHARS} at most")
-    held = rows.sparkSession.sparkContext.broadcast(sorted(r.term for r in known.collect()))
+    return base.sparkSession.sparkContext.broadcast(sorted(r.term for r in known.collect()))
+
+
+def known_counts(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """rows: id, text; base: term. id, n, terms (distinct), chars of each row's known terms, counted where they are found."""
+    held = _held(base)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = automaton(held.value)
+        for b in batches:
+            out = []
+            for text in b.column("text"):
+                found = list(known_spans(text.as_py(), made)) if made is not None and text.is_valid else []
+                out.append((len(found), len({t for t, _, _ in found}), sum(end - start for _, start, end in found)))
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, pa.int64()) for c in zip(*out, strict=True))] if out else [b.column("id"), *[pa.array([], pa.int64())] * 3], names=["id", "n", "terms", "chars"])
+
+    return rows.select("id", "text").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, terms long, chars long")
+
+
+def find_terms(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """rows: id (long), text; base: term. id, term, kind, start, end of every occurrence; a null text has none."""
+    held = _held(base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, names = automaton(held.value), set(held.value)

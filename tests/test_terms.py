@@ -43,3 +43,11 @@ def test_no_base_and_too_large_a_base(spark, monkeypatch):
     monkeypatch.setattr(K, "TERMS", 1)
     with pytest.raises(ValueError):
         K.find_terms(rows, spark.createDataFrame([("a",), ("b",)], "term string"))
+
+
+def test_known_counts_without_a_shuffle(spark):
+    """One row a row, as the occurrences tell; also rows of one id and without text."""
+    rows = spark.createDataFrame([(1, "abab abc"), (1, "b"), (2, None), (None, "")], "id bigint, text string")
+    got = K.known_counts(rows, spark.createDataFrame([("ab",), ("abc",), ("b",)], "term string"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 3, 2, 7), (1, 1, 1, 1), (2, 0, 0, 0), (None, 0, 0, 0)], key=str)
