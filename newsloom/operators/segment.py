@@ -6,7 +6,8 @@ wins, of equal ones the longer word at the first place they differ. Weights are
 sums do not depend on their order. Distinct runs are segmented once.
 
 A dictionary of at most ``ROWS`` words and ``CHARS`` characters (both counted) goes to the tasks as a
-trie; a larger one is joined with the runs' substrings, and a run's edges are all that a task holds.
+trie; one of at most ``WORDS`` and ``WORD_CHARS`` as an Arrow array, in which a slice's substrings are looked up; a larger one is
+joined with the runs' substrings, and a run's edges are all that a task holds.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from newsloom.functions.text import clean_title
 from newsloom.operators.store import stored
 
 ROWS, CHARS = 500_000, 5_000_000
+WORDS, WORD_CHARS = 10_000_000, 100_000_000
+#: Substrings that are looked up at once.
+LOOKUPS = 500_000
 #: Runs that are segmented; what is between them is dropped.
 RUN = r"[\p{L}\p{N}]+"
 SCALE = 1_000_000
@@ -88,7 +93,7 @@ def trie(words: dict[str, int]) -> dict[str, int | None]:
     return out | words
 
 
-def _segmented(runs: DataFrame, dictionary: DataFrame, rows: int, chars: int) -> DataFrame:
+def _segmented(runs: DataFrame, dictionary: DataFrame, rows: int, chars: int, most: int = WORDS) -> DataFrame:
     """run, parts for distinct runs."""
     words, unknown, n, size = weighted(dictionary)
     schema = pa.schema([("run", pa.string()), ("parts", pa.list_(pa.string()))])
@@ -102,6 +107,41 @@ def _segmented(runs: DataFrame, dictionary: DataFrame, rows: int, chars: int) ->
                 yield pa.RecordBatch.from_arrays([b.column("run"), pa.array([best_path(t, trie_edges(t, weights), unknown) for t in texts], schema.field("parts").type)], schema=schema)
 
         return runs.mapInArrow(from_trie, "run string, parts array<string>")
+    if n <= most and size <= WORD_CHARS:
+        table = words.toArrow()
+        array = table.column("word").combine_chunks()
+        starts = words.groupBy(F.substring("word", 1, 2).alias("s")).agg(F.max(F.length("word")).alias("n")).toArrow()
+        held = runs.sparkSession.sparkContext.broadcast((array, table.column("weight").to_numpy(), dict(zip(starts.column("s").to_pylist(), starts.column("n").to_pylist(), strict=True))))
+
+        def from_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, weights, reach = held.value
+            for b in batches:
+                texts, out = b.column("run").to_pylist(), []
+                edges: list[Edges] = [[[] for _ in t] for t in texts]
+                parts, places = [], []
+
+                def look_up(parts=parts, places=places, edges=edges):
+                    found = pc.index_in(pa.array(parts, known.type), known)
+                    hits = pc.is_valid(found).to_numpy(zero_copy_only=False).nonzero()[0]
+                    for k, w in zip(hits.tolist(), weights[found.drop_null().to_numpy()].tolist(), strict=True):
+                        r, i = places[k]
+                        edges[r][i].append((i + len(parts[k]), w))
+                    parts.clear()
+                    places.clear()
+
+                for r, t in enumerate(texts):
+                    for i in range(len(t)):
+                        last = min(len(t), i + max(reach.get(t[i : i + 1], 0), reach.get(t[i : i + 2], 0)))
+                        parts += [t[i:end] for end in range(i + 1, last + 1)]
+                        places += [(r, i)] * max(0, last - i)
+                        if len(parts) >= LOOKUPS:
+                            look_up()
+                look_up()
+                for t, e in zip(texts, edges, strict=True):
+                    out.append(best_path(t, e, unknown))
+                yield pa.RecordBatch.from_arrays([b.column("run"), pa.array(out, schema.field("parts").type)], schema=schema)
+
+        return runs.mapInArrow(from_array, "run string, parts array<string>")
     longest = dictionary.agg(F.max(F.length("word"))).first()[0]
     places = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
     spans = places.select("run", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("run") - F.col("at") + 1))).alias("size"))
@@ -121,13 +161,13 @@ def _segmented(runs: DataFrame, dictionary: DataFrame, rows: int, chars: int) ->
     return runs.join(found, "run", "left").mapInArrow(from_edges, "run string, parts array<string>")
 
 
-def segment(rows: DataFrame, text: Column, dictionary: DataFrame, out: str = "segments", rows_limit: int = ROWS, chars_limit: int = CHARS) -> DataFrame:
+def segment(rows: DataFrame, text: Column, dictionary: DataFrame, out: str = "segments", rows_limit: int = ROWS, chars_limit: int = CHARS, words_limit: int = WORDS) -> DataFrame:
     """The rows with the segments of a text column, in order. rows need an ``id`` that tells them apart.
 
     dictionary: word, freq. A null text has no segments; the text's case is left as it is.
     """
     runs = stored(rows.select("id", F.posexplode(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RUN), F.lit(0))).alias("_nth", "run")), "runs")
-    parts = _segmented(runs.select("run").distinct(), dictionary, rows_limit, chars_limit)
+    parts = _segmented(runs.select("run").distinct(), dictionary, rows_limit, chars_limit, words_limit)
     made = runs.join(parts, "run").groupBy("id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_nth", "parts"))), lambda x: x["parts"])).alias(out))
     return rows.join(made, "id", "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 

@@ -66,3 +66,16 @@ def test_no_dictionary(spark):
     rows = spark.createDataFrame([(1, "abc 天地")], "id long, t string")
     d = spark.createDataFrame([], "word string, freq long")
     assert S.segment(rows, rows["t"], d).first().segments == ["abc", "天", "地"]
+
+
+@pytest.mark.parametrize("words_limit", [100, 0])
+def test_large_dictionaries_are_looked_up(spark, monkeypatch, words_limit):
+    """Over the trie's limits: an array up to ``words_limit`` (no row a substring), the join beyond it; the same segments."""
+    monkeypatch.setattr(S, "LOOKUPS", 7)
+    d = S.dictionary_of(spark.createDataFrame([(x,) for x in ROADS.split("\n")], "value string"))
+    rows = spark.createDataFrame([(1, "台61線事故3死2傷"), (2, None), (3, "國道一號追撞 發生x9z回堵"), (4, "")], "id int, t string")
+    want = {x.id: x.segments for x in S.segment(rows, rows["t"], d).collect()}
+    got = S.segment(rows, rows["t"], d, rows_limit=0, words_limit=words_limit)
+    assert {x.id: x.segments for x in got.collect()} == want
+    parts = S._segmented(spark.createDataFrame([("台61線事故",)], "run string"), d, 0, 0, words_limit)
+    assert ("Generate" in parts._jdf.queryExecution().executedPlan().toString()) == (words_limit == 0)
