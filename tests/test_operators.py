@@ -339,3 +339,25 @@ def test_cosine_matches_in_tiles(spark, monkeypatch):
     plain = q.join(e, "label").where((F.col("q") != F.col("id")) & (F.abs(F.col("qt") - F.col("ts")) < 600)).withColumn("similarity", cosine(F.col("qv"), F.col("v"))).where("similarity >= 0.4")
     cols = ["q", "id", "label", "qt", "ts", "similarity"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect())) != []
+
+
+@pytest.mark.parametrize("twins", [16_000, 3])
+def test_set_join_moves_digests_and_numbers(spark, monkeypatch, twins):
+    """No token is shuffled; frequent tokens as bits, more equal hashes than the list takes, several groups a tile, copies of an id."""
+    for name, value in {"TWINS": twins, "FREQUENT": 9, "TILE_SETS": 40, "MET_TOKENS": 300, "COLUMN_COST": 3}.items():
+        monkeypatch.setattr(similarity, name, value)
+    monkeypatch.setattr(similarity, "_named", lambda t: F.transform(t, lambda x: F.shiftleft(F.pmod(F.xxhash64(x), F.lit(17)), 32)))
+    r = random.Random(12)
+    words = [f"w{int(60 * r.random() ** 3)}" for _ in range(4000)]
+    rows = [(i, r.choice("xy"), sorted({*r.sample(words, r.choice([2, 5, 9, 14, 25]))})) for i in range(200)]
+    rows += [rows[3], *[(i + 300, *rows[i][1:]) for i in range(0, 200, 9)]]
+    c = similarity.set_classes(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>"), "lang")
+    assert "hashpartitioning(tokens" not in c._jdf.queryExecution().executedPlan().toString()
+    held, sets = c.collect(), {}
+    for i, lang, t in rows:
+        sets.setdefault((lang, *t), []).append(i)
+    assert sorted((x.rep, x.lang, *x.tokens, x.copies) for x in held) == sorted((min(ids), *t, len(ids)) for t, ids in sets.items())
+    found = similarity.jaccard_pairs(c, 0.3, "lang").collect()
+    sim = lambda a, b: len({*a.tokens} & {*b.tokens}) / len({*a.tokens} | {*b.tokens})
+    want = {(a.rep, b.rep): sim(a, b) for a in held for b in held if a.rep < b.rep and a.lang == b.lang and sim(a, b) >= 0.3}
+    assert len(found) == len(want) > 100 and {(x.a, x.b): x.similarity for x in found} == pytest.approx(want)
