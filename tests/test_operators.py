@@ -361,3 +361,15 @@ def test_set_join_moves_digests_and_numbers(spark, monkeypatch, twins):
     sim = lambda a, b: len({*a.tokens} & {*b.tokens}) / len({*a.tokens} | {*b.tokens})
     want = {(a.rep, b.rep): sim(a, b) for a in held for b in held if a.rep < b.rep and a.lang == b.lang and sim(a, b) >= 0.3}
     assert len(found) == len(want) > 100 and {(x.a, x.b): x.similarity for x in found} == pytest.approx(want)
+
+
+def test_copies_are_found_without_shuffling_tokens(spark, monkeypatch):
+    """Rows of a class by digests: what the slots' rows are read from joins no token."""
+    from newsloom.plans import dedup
+
+    plans, write = {}, dedup.stored
+    monkeypatch.setattr(dedup, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name))
+    rows = [(1, "x", ["a", "b"]), (2, "x", ["a", "b"]), (3, "x", ["a", "b", "c"]), (4, "x", ["a", "b"]), (5, "y", ["a", "b"]), (6, "y", []), (7, "x", None)]
+    got = dedup.replaced_slots(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")).collect()
+    assert sorted((x.slot, x.id) for x in got) == [(1, 3), (5, 5), (6, 6), (7, 7)]
+    assert "tokens" not in plans["linked-rows"]
