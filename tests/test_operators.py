@@ -373,3 +373,18 @@ def test_copies_are_found_without_shuffling_tokens(spark, monkeypatch):
     got = dedup.replaced_slots(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>")).collect()
     assert sorted((x.slot, x.id) for x in got) == [(1, 3), (5, 5), (6, 6), (7, 7)]
     assert "tokens" not in plans["linked-rows"]
+
+
+def test_cosine_pairs_take_every_row_as_a_query(spark, monkeypatch, tmp_path):
+    """No row is left out as a query, in tiles and whole."""
+    from newsloom.plans.catalog import QUERIES
+
+    r = random.Random(6)
+    rows = [(i, [r.gauss(0, 1) for _ in range(3)], i % 2) for i in range(1, 60)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    cos = lambda x, y: sum(a * b for a, b in zip(x, y)) / (sum(a * a for a in x) * sum(b * b for b in y)) ** 0.5
+    want = {(i, j) for i, x, k in rows for j, y, m in rows if i != j and k == m and cos(x, y) >= 0.3}
+    for tile in (8, 4096):
+        monkeypatch.setattr(similarity, "VECTOR_TILE", tile)
+        got = QUERIES["cosine_pairs"](spark, str(tmp_path)).collect()
+        assert {(x.q, x.id) for x in got} == want and len(got) == len(want) and len({x.q for x in got}) > 50
