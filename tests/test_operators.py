@@ -388,3 +388,22 @@ def test_cosine_pairs_take_every_row_as_a_query(spark, monkeypatch, tmp_path):
         monkeypatch.setattr(similarity, "VECTOR_TILE", tile)
         got = QUERIES["cosine_pairs"](spark, str(tmp_path)).collect()
         assert {(x.q, x.id) for x in got} == want and len(got) == len(want) and len({x.q for x in got}) > 50
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_containments_look_numbers_up_in_groups(spark, monkeypatch, clash):
+    """Several groups and parts; sets longer than what is looked up, a row without a block, equal numbers; no token is a row of a join."""
+    for name, value in {"RAREST": 3, "SMALL_SETS": 30, "MET_TOKENS": 300, "TWINS": 2 if clash else 16_000}.items():
+        monkeypatch.setattr(similarity, name, value)
+    if clash:
+        monkeypatch.setattr(similarity, "_named", lambda t: F.transform(t, lambda x: F.shiftleft(F.pmod(F.xxhash64(x), F.lit(9)), 32)))
+        monkeypatch.setattr(similarity, "FREQUENT", 4)
+    plans, write = {}, similarity.stored
+    monkeypatch.setattr(similarity, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name))
+    r = random.Random(15)
+    sets = sorted({tuple(sorted({f"w{int(40 * r.random() ** 2)}" for _ in range(r.choice([1, 2, 4, 9, 20, 40]))})) for _ in range(180)})
+    rows = [(i, r.choice(["x", "x", "y", None]), list(t)) for i, t in enumerate(sets)]
+    got = similarity.containments(spark.createDataFrame(rows, "rep bigint, lang string, tokens array<string>"), "lang").collect()
+    want = {(min(i, j), max(i, j)) for i, k, s in rows for j, m, t in rows if k is not None and k == m and set(s) < set(t)}
+    assert {(x.a, x.b) for x in got} == want and len(got) == len(want) > 100
+    assert "FlatMapCoGroupsInArrow" in plans["may-contain"] and not any("hashpartitioning(token#" in p for n, p in plans.items() if n != "words")
