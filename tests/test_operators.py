@@ -399,7 +399,8 @@ def test_containments_look_numbers_up_in_groups(spark, monkeypatch, clash):
         monkeypatch.setattr(similarity, "_named", lambda t: F.transform(t, lambda x: F.shiftleft(F.pmod(F.xxhash64(x), F.lit(9)), 32)))
         monkeypatch.setattr(similarity, "FREQUENT", 4)
     plans, write = {}, similarity.stored
-    monkeypatch.setattr(similarity, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name))
+    for name in ("stored", "stored_once"):
+        monkeypatch.setattr(similarity, name, lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name), raising=False)
     r = random.Random(15)
     sets = sorted({tuple(sorted({f"w{int(40 * r.random() ** 2)}" for _ in range(r.choice([1, 2, 4, 9, 20, 40]))})) for _ in range(180)})
     rows = [(i, r.choice(["x", "x", "y", None]), list(t)) for i, t in enumerate(sets)]
@@ -407,3 +408,35 @@ def test_containments_look_numbers_up_in_groups(spark, monkeypatch, clash):
     want = {(min(i, j), max(i, j)) for i, k, s in rows for j, m, t in rows if k is not None and k == m and set(s) < set(t)}
     assert {(x.a, x.b) for x in got} == want and len(got) == len(want) > 100
     assert "FlatMapCoGroupsInArrow" in plans["may-contain"] and not any("hashpartitioning(token#" in p for n, p in plans.items() if n != "words")
+
+
+def test_tiles_meet_in_rounds_whose_shuffle_files_go(spark, monkeypatch):
+    """The same pairs; a round copies twice the sets' tokens at most on average, and leaves no shuffle file."""
+    import time
+
+    for name, value in {"TILE_SETS": 9, "MET_TOKENS": 60, "ROUND_TOKENS": 100}.items():
+        monkeypatch.setattr(similarity, name, value)
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    left, write = [], similarity.stored_once
+
+    def kept(df, name):
+        if name != "met":
+            return write(df, name)
+        before, out = files(), write(df, name)
+        for _ in range(50):
+            if files() <= before:
+                break
+            time.sleep(0.2)
+        left.append(files() - before)
+        return out
+
+    monkeypatch.setattr(similarity, "stored_once", kept)
+    r = random.Random(21)
+    rows = [(i, r.choice("xy"), sorted(r.sample("abcdefghijklmnopqrst", r.choice([2, 3, 9, 12])))) for i in range(120)]
+    c = similarity.set_classes(spark.createDataFrame(rows, "id bigint, lang string, tokens array<string>"), "lang")
+    held = c.collect()
+    found = similarity.jaccard_pairs(c, 0.5, "lang").collect()
+    sim = lambda a, b: len({*a.tokens} & {*b.tokens}) / len({*a.tokens} | {*b.tokens})
+    want = {(a.rep, b.rep) for a in held for b in held if a.rep < b.rep and a.lang == b.lang and sim(a, b) >= 0.5}
+    assert {(x.a, x.b) for x in found} == want and len(found) == len(want) > 20
+    assert len(left) > 1 and max(left) <= 0
