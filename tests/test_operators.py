@@ -440,3 +440,15 @@ def test_tiles_meet_in_rounds_whose_shuffle_files_go(spark, monkeypatch):
     want = {(a.rep, b.rep) for a in held for b in held if a.rep < b.rep and a.lang == b.lang and sim(a, b) >= 0.5}
     assert {(x.a, x.b) for x in found} == want and len(found) == len(want) > 20
     assert len(left) > 1 and max(left) <= 0
+
+
+def test_fold_takes_small_components_together(spark, monkeypatch):
+    """Two hundred components in a few groups, not a group each."""
+    plans, write = {}, similarity.stored_once
+    monkeypatch.setattr(similarity, "stored_once", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name))
+    r = random.Random(8)
+    rows = [(i, i // 3 * 3 + r.randrange(3), r.randint(1, 9)) for i in range(600)]
+    near = {(3 * k, 3 * k + d) for k in range(200) for d in (1, 2) if r.random() < 0.8}
+    got = similarity.fold_slots(spark.createDataFrame(rows, "id long, cls long, n long"), spark.createDataFrame(sorted(near), "a long, b long"), 100).collect()
+    assert sorted((x.slot, x.id) for x in got) == _fold(rows, near)
+    assert "FlatMapCoGroupsInPandas [_group#" in plans["fold-changed"]
